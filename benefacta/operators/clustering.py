@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
@@ -14,6 +15,7 @@ from .scaling import Moments, fit_moments
 
 FEATURES = "features"
 CLUSTER = "cluster"
+PARALLEL_FITS = 8
 
 
 def scaling_stages(moments: dict[str, Moments]) -> list:
@@ -35,15 +37,20 @@ def scaled_vectors(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list]:
 
 
 def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 0, iterations: int = 300,
-               tolerance: float = 1e-4) -> KMeansModel:
-    """Best of several seeded fits by the sum of squared distances."""
-    best = None
-    for attempt in range(restarts):
+               tolerance: float = 1e-4, parallelism: int = PARALLEL_FITS) -> KMeansModel:
+    """Best of several seeded fits by the sum of squared distances; some fits run at the same time."""
+    def fit(attempt):
         model = KMeans(k=k, seed=seed + attempt, maxIter=iterations, tol=tolerance, featuresCol=FEATURES,
                        predictionCol=CLUSTER).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+        return model.summary.trainingCost, attempt, model
+
+    return min(_side_by_side(fit, range(restarts), parallelism), key=lambda f: f[:2])[2]
+
+
+def _side_by_side(fn, items, parallelism: int) -> list:
+    """Submit independent Spark jobs from a few driver threads."""
+    with ThreadPool(max(1, min(parallelism, len(items)))) as pool:
+        return pool.map(fn, items, chunksize=1)
 
 
 def silhouette(labelled: DataFrame) -> float:
@@ -52,13 +59,14 @@ def silhouette(labelled: DataFrame) -> float:
                                distanceMeasure="squaredEuclidean").evaluate(labelled)
 
 
-def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123) -> list[tuple[int, float]]:
+def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123,
+             parallelism: int = PARALLEL_FITS) -> list[tuple[int, float]]:
     """``(k, silhouette)`` of one fit per k. ``vectors`` should be persisted."""
-    scores = []
-    for k in ks:
+    def score(k):
         model = fit_kmeans(vectors, k, restarts=1, seed=seed)
-        scores.append((k, silhouette(model.transform(vectors))))
-    return scores
+        return k, silhouette(model.transform(vectors))
+
+    return _side_by_side(score, ks, parallelism)
 
 
 def pick_k(scores: list[tuple[int, float]]) -> int:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,14 +80,15 @@ def split_by_type(df: DataFrame, columns: list[str]) -> tuple[list[str], list[st
     return ([c for c in columns if kinds[c] != "string"], [c for c in columns if kinds[c] == "string"])
 
 
-def _prototype_literals(runs: dict[int, list[dict]], numeric, categorical) -> Column:
-    """All prototypes of all runs as one constant array."""
-    def record(i, p):
-        return F.struct(F.lit(i).alias("cluster"), *[F.lit(float(p[c])).alias(c) for c in numeric],
-                        *[F.lit(p[c]).cast("string").alias(c) for c in categorical])
-
-    return F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[record(i, p) for i, p in enumerate(prototypes)])
-                              .alias("prototypes")) for k, prototypes in runs.items()])
+def _prototype_constant(runs: dict[int, list[dict]], numeric, categorical) -> Column:
+    """All prototypes of all runs as one constant array of ``(k, prototypes)``."""
+    record = T.StructType([T.StructField("cluster", T.IntegerType())]
+                          + [T.StructField(c, T.DoubleType()) for c in numeric]
+                          + [T.StructField(c, T.StringType()) for c in categorical])
+    run = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("prototypes", T.ArrayType(record))])
+    content = [{"k": k, "prototypes": [{**p, "cluster": i} for i, p in enumerate(prototypes)]}
+               for k, prototypes in runs.items()]
+    return F.from_json(F.lit(json.dumps(content)), T.ArrayType(run))
 
 
 def _assigned(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical, gamma) -> DataFrame:
@@ -99,7 +101,7 @@ def _assigned(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical
     def closest(run):
         return F.array_min(F.transform(run["prototypes"], lambda p: F.struct(cost(p).alias("cost"), p["cluster"])))
 
-    choices = F.transform(_prototype_literals(runs, numeric, categorical),
+    choices = F.transform(_prototype_constant(runs, numeric, categorical),
                           lambda run: F.struct(run["k"].alias("k"), closest(run).alias("best")))
     return rows.withColumn("_choice", F.explode(choices)).select(
         *numeric, *categorical, "_choice.k", "_choice.best.cluster", "_choice.best.cost")
@@ -123,7 +125,7 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
             gamma = 0.5 * sum(deviations) / len(numeric)
         # distinct records first, so that the sample cannot hold the same record twice
         records = rows.groupBy(*numeric, *categorical).agg(F.min(key).alias(key))
-        start = [r.asDict() for r in seeded_sample(records, key, max(ks), seed).collect()]
+        start = [r.asDict() for r in seeded_sample(records, key, max(ks), seed).drop(key).collect()]
         runs = {k: start[:k] for k in ks if k <= len(start)}
         costs: dict[int, float] = {}
         spent = {k: 0 for k in runs}

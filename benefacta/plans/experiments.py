@@ -1,10 +1,15 @@
-"""Clustering experiments on the lifetime-value table."""
+"""Clustering experiments on the lifetime-value table.
+
+Each experiment reads its table many times (quantiles, moments, fits), so the columns it needs are
+written to the shared folder first.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 from ..operators import clustering, outliers, quality, reduction
+from ..session import materialise
 
 KMEANS_COLUMNS = ["dltv", "age", "churn_max"]
 MIXED_NUMERIC = ["dltv", "age", "avg_paid", "avg_unpaid"]
@@ -14,20 +19,20 @@ PCA_COLUMNS = ["age", "avg_paid", "avg_unpaid", "channels", "dltv", "churn_max"]
 
 def kmeans_experiment(values: DataFrame, k: int = 5, restarts: int = 10, seed: int = 0) -> clustering.Segmentation:
     """Five segments of the donors without value outliers."""
-    normal, _ = outliers.split_outliers(values, "dltv")
+    normal, _ = outliers.split_outliers(materialise(values, "kmeans-table"), "dltv")
     return clustering.segment(normal, KMEANS_COLUMNS, k, restarts, seed)
 
 
 def pca_experiment(table: DataFrame, k: int | None = None, restarts: int = 10,
                    seed: int = 0) -> clustering.Segmentation:
     """Segments on three component scores; the number of segments is chosen by silhouette."""
-    normal, _ = outliers.split_outliers(table, "dltv")
+    normal, _ = outliers.split_outliers(materialise(table, "pca-table"), "dltv")
     scores = reduction.pca_scores(normal, PCA_COLUMNS)
     return clustering.segment(scores, list(reduction.SCORE_NAMES), k, restarts, seed)
 
 
 def hierarchical_experiment(table: DataFrame, clusters: int = 4) -> DataFrame:
-    normal, _ = outliers.split_outliers(table, "dltv")
+    normal, _ = outliers.split_outliers(materialise(table, "hierarchy-table"), "dltv")
     return clustering.hierarchical_segments(normal, MIXED_NUMERIC, MIXED_CATEGORICAL, clusters)
 
 

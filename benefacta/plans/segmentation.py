@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.labels import NEW_DONOR, SEGMENTS, UNASSIGNED, mapped
 from ..operators import clustering, joins, outliers, scaling, scoring
+from ..session import materialise
 
 FEATURES = ["dltv", "churn_prob", "effectiveness"]
 
@@ -24,10 +25,11 @@ def train_segments(table: DataFrame, features: list[str] | None = None, k: int |
                    restarts: int = 10, seed: int = 0) -> Training:
     """Fit on the donors inside the fences of value and risk, then label the others with that model.
 
-    Outliers are scaled with the statistics of the training rows, which the model contains.
+    Outliers are scaled with the statistics of the training rows, which the model contains. The
+    table is read many times, so it is written to the shared folder first.
     """
     features = features or FEATURES
-    complete = scoring.drop_null_features(table, features)
+    complete = materialise(scoring.drop_null_features(table, features), "training-table")
     normal, outside = outliers.split_outliers_chained(complete, features[:2])
     fitted = clustering.segment(normal, features, k, restarts, seed)
     labelled_outside = clustering.without_vectors(fitted.model.transform(outside), features)

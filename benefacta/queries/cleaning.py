@@ -163,7 +163,7 @@ def _(t):
 
 # A word counts if its whole run of letters, digits and underscores consists of Latin-1 letters.
 _WORDS = r"""list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[A-Za-zÀ-ÖØ-öø-ÿ]+'))"""
-_TITLED = f"array_to_string(list_transform({_WORDS}, lambda w: upper(w[1]) || lower(w[2:])), ' ')"
+_TITLED = f"array_to_string(list_transform({_WORDS}, lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(w[2:])), ' ')"
 
 
 @query("place_tokens", f"SELECT doc_id, {_TITLED} AS words FROM documents")

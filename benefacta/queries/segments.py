@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clustering, features, mixed, outliers, quality, reduction, scaling, scoring
 from ..plans import experiments, lifetime, segmentation
+from ..session import materialise
 from ..streaming.scoring import score_available
 from .registry import query
 from .values import CHANNELS_SQL, EFFECT_SQL, LFV_SQL, lifetime_table
@@ -221,7 +222,7 @@ def _(t):
 
 @query("best_k")
 def _(t):
-    table = scoring.drop_null_features(segmentation_table(t), segmentation.FEATURES)
+    table = materialise(scoring.drop_null_features(segmentation_table(t), segmentation.FEATURES), "training-table")
     vectors, _stages = clustering.scaled_vectors(table, segmentation.FEATURES)
     vectors = vectors.persist()
     scores = clustering.k_scores(vectors)
@@ -245,7 +246,7 @@ def _(t):
 
 @query("pca_scores")
 def _(t):
-    normal, _out = outliers.split_outliers(experiment_table(t), "dltv")
+    normal, _out = outliers.split_outliers(materialise(experiment_table(t), "pca-table"), "dltv")
     return reduction.pca_scores(normal, experiments.PCA_COLUMNS).select("donor_id", *reduction.SCORE_NAMES)
 
 
