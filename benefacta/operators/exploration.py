@@ -36,11 +36,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def describe_columns(df: DataFrame, columns: list[str], decimals: int = 2) -> DataFrame:
     """``column, statistic, value``: count, mean, std, min, quartiles, max."""
-    values = long_values(df, columns)
-    moments = values.groupBy("column").agg(
-        F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
-        F.stddev("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    long = moments.unpivot("column", ["count", "mean", "std", "min", "max"], "statistic", "value")
+    cells, wide = [], []
+    for i, c in enumerate(columns):
+        known = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+        for name, fn in (("count", F.count), ("mean", F.avg), ("std", F.stddev), ("min", F.min), ("max", F.max)):
+            wide.append(fn(known).cast("double").alias(f"{name}{i}"))
+            cells.append(F.struct(F.lit(c).alias("column"), F.lit(name).alias("statistic"),
+                                  F.col(f"{name}{i}").alias("value")))
+    long = df.agg(*wide).select(F.explode(F.array(*cells)).alias("c")).select("c.*")
     names = F.concat((F.col("probability") * 100).cast("int").cast("string"), F.lit("%"))
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).select(
         "column", names.alias("statistic"), F.col("quantile").alias("value"))
@@ -68,15 +71,18 @@ def box_statistics(df: DataFrame, columns: list[str], by: tuple[str, ...] = ())
 def _limits(df: DataFrame, column: str) -> Column:
     """Lowest and highest value; a single value gets a range of one around it."""
     lo, hi = F.min(column).cast("double"), F.max(column).cast("double")
-    limits = df.agg(lo.alias("lo"), hi.alias("hi")).select(F.struct(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi")))
-    return limits.scalar()
+    return df.agg(_widened(lo, hi)).scalar()
+
+
+def _widened(lo: Column, hi: Column) -> Column:
+    return F.struct(F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
+                    F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"))
 
 
 def _bin(column: str, limits: str, bins: int) -> Column:
-    bucket = F.width_bucket(F.col(column).cast("double"), F.col(f"{limits}.lo"), F.col(f"{limits}.hi"), F.lit(bins))
-    return F.least(bucket, F.lit(bins)).cast("int")
+    lo, hi = F.col(f"{limits}.lo"), F.col(f"{limits}.hi")
+    bucket = F.width_bucket(F.col(column).cast("double"), lo, hi, F.lit(bins))
+    return F.when(F.col(column).isNotNull(), F.least(bucket, F.lit(bins)).cast("int"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -89,14 +95,30 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
                          (F.col("_l.lo") + F.col("bin") * width).alias("upper"), "n")
 
 
-def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
-    """``x_bin, y_bin, n``: the density of a scatter plot."""
-    known = df.select(x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 20, by: tuple[str, ...] = ()) -> DataFrame:
+    """``by..., x_bin, y_bin, n``: the density of a scatter plot, per colour if ``by`` is given."""
+    known = df.select(x, y, *by).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     limited = known.withColumn("_x", _limits(known, x)).withColumn("_y", _limits(known, y))
-    return (limited.groupBy(_bin(x, "_x", bins).alias("x_bin"), _bin(y, "_y", bins).alias("y_bin"))
+    return (limited.groupBy(*by, _bin(x, "_x", bins).alias("x_bin"), _bin(y, "_y", bins).alias("y_bin"))
             .agg(F.count("*").alias("n")))
 
 
+def pair_bins(df: DataFrame, columns: list[str], bins: int = 20) -> DataFrame:
+    """``x, y, x_bin, y_bin, n`` for every pair of columns, in one pass after the limits.
+
+    Bins of a column run over all its values, whatever the other column of the pair.
+    """
+    limits = df.agg(F.struct(*[_widened(F.min(c).cast("double"), F.max(c).cast("double")).alias(c)
+                               for c in columns]).alias("l"))
+    limited = df.select(*columns).withColumn("_l", limits.scalar())
+    binned = limited.select(*[_bin(c, f"_l.{c}", bins).alias(c) for c in columns])
+    cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(a).alias("x_bin"), F.col(b).alias("y_bin"))
+             for a, b in combinations(columns, 2)]
+    pairs = binned.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    known = pairs.filter(F.col("x_bin").isNotNull() & F.col("y_bin").isNotNull())
+    return known.groupBy("x", "y", "x_bin", "y_bin").agg(F.count("*").alias("n"))
+
+
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Lower triangle as ``column_a, column_b, correlation``; all pairs in one aggregate."""
     pairs = list(combinations(columns, 2))
@@ -118,24 +140,26 @@ def by_date(df: DataFrame, date: str, value: str | None = None, alias: str = "n"
     return df.filter(F.col(date).isNotNull()).groupBy(date).agg(measure.alias(alias))
 
 
-def donor_mean_by_category(transactions: DataFrame, donors: DataFrame, tx_category: str, donor_category: str,
-                           value: str = "amount") -> DataFrame:
-    """Mean, count and standard error of a transaction value by two categories, one per table.
+def donor_mean_by_category(transactions: DataFrame, donors: DataFrame, tx_category: str | None,
+                           donor_category: str, value: str = "amount") -> DataFrame:
+    """Mean, count and standard error of a transaction value by a donor category and, if given, by
+    one of the transaction.
 
     Transactions are reduced to (donor, category) before the join, so a donor with very many
     transactions is one row per category there.
     """
     known = transactions.filter(F.col(value).isNotNull())
-    partial = known.groupBy("donor_id", tx_category).agg(
+    of_tx = [tx_category] if tx_category else []
+    partial = known.groupBy("donor_id", *of_tx).agg(
         F.count("*").alias("n"), F.sum(F.col(value).cast("decimal(18,2)")).alias("s"),
         F.sum(F.col(value) * F.col(value)).alias("ss"))
     joined = partial.join(donors.select("donor_id", donor_category), "donor_id")
-    totals = joined.groupBy(tx_category, donor_category).agg(
+    totals = joined.groupBy(*of_tx, donor_category).agg(
         F.sum("n").alias("n"), F.sum("s").cast("double").alias("s"), F.sum("ss").alias("ss"))
     mean = F.col("s") / F.col("n")
     spread = F.greatest(F.col("ss") - F.col("s") * mean, F.lit(0.0))
     deviation = F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1)))
-    return totals.select(tx_category, donor_category, "n", mean.alias("mean"),
+    return totals.select(*of_tx, donor_category, "n", mean.alias("mean"),
                          (deviation / F.sqrt(F.col("n"))).alias("standard_error"))
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .sampling import seeded_sample
+from .sampling import sample_order, seeded_sample
 
 
 def column_ranges(df: DataFrame, numeric: list[str]) -> dict[str, float]:
@@ -107,6 +107,22 @@ def _assigned(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical
         *numeric, *categorical, "_choice.k", "_choice.best.cluster", "_choice.best.cost")
 
 
+def _first_records(rows: DataFrame, key: str, n: int, seed: int, look: int = 1000) -> list[dict]:
+    """The first ``n`` distinct records in hash order.
+
+    A bounded head of that order nearly always holds them; only if copies fill it are all records
+    grouped, by the first place of each.
+    """
+    columns = [c for c in rows.columns if c != key]
+    head = seeded_sample(rows, key, look, seed).select(*columns).collect()
+    distinct = list(dict.fromkeys(tuple(r) for r in head))
+    if len(distinct) < n and len(head) == look:
+        place = F.min(F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key")))
+        first = rows.groupBy(*columns).agg(place.alias("_place")).orderBy("_place").limit(n)
+        distinct = [tuple(r) for r in first.select(*columns).collect()]
+    return [dict(zip(columns, record)) for record in distinct[:n]]
+
+
 def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10),
                       max_iterations: int = 20, gamma: float | None = None, seed: int = 123) -> DataFrame:
     """Cost of k-prototypes for each k: ``k, cost, iterations``.
@@ -123,9 +139,7 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
         if gamma is None:
             deviations = rows.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first()
             gamma = 0.5 * sum(deviations) / len(numeric)
-        # distinct records first, so that the sample cannot hold the same record twice
-        records = rows.groupBy(*numeric, *categorical).agg(F.min(key).alias(key))
-        start = [r.asDict() for r in seeded_sample(records, key, max(ks), seed).drop(key).collect()]
+        start = _first_records(rows, key, max(ks), seed)
         runs = {k: start[:k] for k in ks if k <= len(start)}
         costs: dict[int, float] = {}
         spent = {k: 0 for k in runs}

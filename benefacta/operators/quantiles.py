@@ -37,6 +37,22 @@ class _Range:
         self.ranks = ranks  # {rank within the range: rank within the column}
 
 
+def _whole_ranges(df: DataFrame, columns: list[str], by: tuple[str, ...]) -> list[_Range]:
+    """Rows, lowest and highest value of each group and column; one wide aggregate."""
+    wide = []
+    for i, c in enumerate(columns):
+        known = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+        wide += [F.count(known).alias(f"rows{i}"), F.min(known).alias(f"lo{i}"), F.max(known).alias(f"hi{i}")]
+    groups = df.groupBy(*by).agg(*wide).limit(LARGEST_REPORT + 1).collect()
+    if len(groups) * len(columns) > LARGEST_REPORT:
+        raise ValueError(f"more than {LARGEST_REPORT} groups; use percentile() in a groupBy for key columns")
+    ranges = [_Range((*(g[c] for c in by), name), g[f"lo{i}"], g[f"hi{i}"], g[f"rows{i}"], {})
+              for g in groups for i, name in enumerate(columns) if g[f"rows{i}"]]
+    if any(math.isinf(r.lo) or math.isinf(r.hi) for r in ranges):
+        raise ValueError("infinite values have no interpolated quantile")
+    return ranges
+
+
 def _frame(spark, schema, rows):
     return spark.createDataFrame(rows, schema)
 
@@ -99,20 +115,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     Nulls and NaN do not count. ``by`` must be a report grouping, not a key of the data.
     """
     values = long_values(df, columns, by)
-    totals = (values.groupBy(*by, "column")
-              .agg(F.count("*").alias("rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-              .limit(LARGEST_REPORT + 1).collect())
-    if len(totals) > LARGEST_REPORT:
-        raise ValueError(f"more than {LARGEST_REPORT} groups; use percentile() in a groupBy for key columns")
-    if any(math.isinf(t["lo"]) or math.isinf(t["hi"]) for t in totals):
-        raise ValueError("infinite values have no interpolated quantile")
-
-    keys = {tuple(t[c] for c in (*by, "column")): t["rows"] for t in totals}
-    ranges = []
-    for t in totals:
-        key, last = tuple(t[c] for c in (*by, "column")), t["rows"] - 1
-        ranks = {int(r) for p in probabilities for r in (math.floor(p * last), math.ceil(p * last))}
-        ranges.append(_Range(key, t["lo"], t["hi"], t["rows"], {r: r for r in ranks}))
+    ranges = _whole_ranges(df, columns, by)
+    for r in ranges:
+        last = r.rows - 1
+        ranks = {int(rank) for p in probabilities for rank in (math.floor(p * last), math.ceil(p * last))}
+        r.ranks = {rank: rank for rank in ranks}
+    keys = {r.key: r.rows for r in ranges}
 
     at_rank: dict[tuple, float] = {}
     while ranges:

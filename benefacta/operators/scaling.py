@@ -31,9 +31,9 @@ def fit_moments(df: DataFrame, columns: list[str]) -> dict[str, Moments]:
     return {c: Moments(row[f"{c}_mean"], row[f"{c}_sd"]) for c in columns}
 
 
-def zscore(df: DataFrame, columns: list[str], suffix: str = "_std") -> DataFrame:
-    """Scale by the moments of the frame itself; stays lazy (one-row subquery)."""
-    stats = df.agg(F.struct(*_moments(columns)).alias("m")).scalar()
+def zscore(df: DataFrame, columns: list[str], suffix: str = "_std", over: DataFrame | None = None) -> DataFrame:
+    """Scale by the moments of the frame itself, or of ``over``; stays lazy (one-row subquery)."""
+    stats = (df if over is None else over).agg(F.struct(*_moments(columns)).alias("m")).scalar()
     scaled = {c + suffix: standardised(F.col(c), F.col(f"_m.{c}_mean"), F.col(f"_m.{c}_sd")) for c in columns}
     return df.withColumn("_m", stats).withColumns(scaled).drop("_m")
 

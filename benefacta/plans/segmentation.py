@@ -42,30 +42,32 @@ def with_segments(donors: DataFrame, labelled: DataFrame) -> DataFrame:
     return donors.join(labelled.select("donor_id", "cluster", "dltv", "effectiveness"), "donor_id", "left")
 
 
-def label_donors(donors: DataFrame, coded: DataFrame, new_donors: DataFrame | None = None) -> DataFrame:
-    """Segment names on the donor table: unassigned where there is no code, new donors marked as such.
+def label_donors(coded: DataFrame, new_donors: DataFrame | None = None) -> DataFrame:
+    """Segment names from the ``cluster`` column: unassigned where it is null, new donors marked.
 
-    ``new_donors`` are appended if the donor table does not hold them.
+    ``new_donors`` are appended if the table does not hold them.
     """
-    names = coded.select("donor_id", mapped(F.col("cluster"), SEGMENTS).alias("segment"))
-    out = (donors.join(names, "donor_id", "left")
-           .withColumn("segment", F.coalesce("segment", F.lit(UNASSIGNED))))
+    name = F.coalesce(mapped(F.col("cluster"), SEGMENTS), F.lit(UNASSIGNED))
+    out = coded.withColumn("segment", name).drop("cluster")
     if new_donors is None:
         return out
     out = joins.mark_members(out, new_donors, "donor_id", "segment", NEW_DONOR)
-    missing = new_donors.join(donors.select("donor_id"), "donor_id", "left_anti")
+    missing = new_donors.join(coded.select("donor_id"), "donor_id", "left_anti")
     return out.unionByName(missing.withColumn("segment", F.lit(NEW_DONOR)), allowMissingColumns=True)
 
 
 def assign_segments(donors: DataFrame, features: DataFrame, centroids: dict[int, tuple[float, ...]],
                     new_donors: DataFrame | None = None) -> DataFrame:
-    """Scale the complete rows by their own moments, take the nearest centroid, name the segment."""
+    """Scale by the moments of the complete rows, take the nearest centroid, name the segment.
+
+    Incomplete rows get no code, so the codes need not be joined back to the donors.
+    """
     extra = features.select("donor_id", "lifespan", "dltv", "effectiveness")
     joined = donors.join(extra, "donor_id", "left")
-    complete = scoring.drop_null_features(joined, FEATURES)
-    scaled = scaling.zscore(complete, FEATURES)
+    scaled = scaling.zscore(joined, FEATURES, over=scoring.drop_null_features(joined, FEATURES))
     code = clustering.nearest_centroid([f"{c}_std" for c in FEATURES], centroids)
-    return label_donors(joined, scaled.withColumn("cluster", code), new_donors)
+    coded = scaled.withColumn("cluster", code).drop(*[f"{c}_std" for c in FEATURES])
+    return label_donors(coded, new_donors)
 
 
 def assign_with_model(table: DataFrame, model: PipelineModel, features: list[str] | None = None) -> DataFrame:

@@ -124,6 +124,24 @@ def _(t):
         {"mean": F.round("mean", 4), "standard_error": F.round("standard_error", 4)})
 
 
+@query("mean_by_marital_status", """
+SELECT marital_status, count(*) AS n, round(avg(amount), 4) AS mean,
+       round(stddev_samp(amount) / sqrt(count(*)), 4) AS standard_error
+FROM transactions t JOIN donor_file f ON t.donor_id = CAST(f.donor_id AS BIGINT) GROUP BY marital_status""")
+def _(t):
+    people = t.donor_file.select(F.col("donor_id").cast("bigint").alias("donor_id"), "marital_status")
+    return ex.donor_mean_by_category(t.transactions, people, None, "marital_status").withColumns(
+        {"mean": F.round("mean", 4), "standard_error": F.round("standard_error", 4)})
+
+
+@query("count_payment_by_band", f"""WITH {_BANDED}
+SELECT payment_method, band, count(*) AS n FROM transaction_file t JOIN b ON CAST(t.donor_id AS BIGINT) = b.donor_id
+GROUP BY payment_method, band""")
+def _(t):
+    paid = t.transaction_file.select(F.col("donor_id").cast("bigint").alias("donor_id"), "payment_method")
+    return ex.donor_count_by_category(paid, banded(t), "payment_method", "band")
+
+
 @query("count_by_category", f"""WITH {_BANDED}
 SELECT record_type, band, count(*) AS n FROM transactions JOIN b USING (donor_id) GROUP BY record_type, band""")
 def _(t):
@@ -143,7 +161,7 @@ def _(t):
 def _histogram_sql(table: str, column: str) -> str:
     return f"""
 SELECT bin, round(lo + (bin - 1) * (hi - lo) / 20, 6) AS lower, round(lo + bin * (hi - lo) / 20, 6) AS upper, count(*) AS n
-FROM (SELECT lo, hi, CAST(least(floor(({column} - lo) / (hi - lo) * 20) + 1, 20) AS INT) AS bin
+FROM (SELECT lo, hi, CAST(least(floor(20 * ({column} - lo) / (hi - lo)) + 1, 20) AS INT) AS bin
       FROM {table}, (SELECT CAST(min({column}) AS DOUBLE) AS lo, CAST(max({column}) AS DOUBLE) AS hi FROM {table})
       WHERE {column} IS NOT NULL) GROUP BY bin, lo, hi"""
 
@@ -207,8 +225,8 @@ def _(t):
 
 
 @query("scatter_bins", """
-SELECT CAST(least(floor((age - alo) / (ahi - alo) * 20) + 1, 20) AS INT) AS x_bin,
-       CAST(least(floor((current_amount - clo) / (chi - clo) * 20) + 1, 20) AS INT) AS y_bin, count(*) AS n
+SELECT CAST(least(floor(20 * (age - alo) / (ahi - alo)) + 1, 20) AS INT) AS x_bin,
+       CAST(least(floor(20 * (current_amount - clo) / (chi - clo)) + 1, 20) AS INT) AS y_bin, count(*) AS n
 FROM donors, (SELECT CAST(min(age) AS DOUBLE) AS alo, CAST(max(age) AS DOUBLE) AS ahi, min(current_amount) AS clo,
                      max(current_amount) AS chi FROM donors WHERE age IS NOT NULL AND current_amount IS NOT NULL)
 WHERE age IS NOT NULL AND current_amount IS NOT NULL GROUP BY 1, 2""")
@@ -218,8 +236,8 @@ def _(t):
 
 @query("scatter_age_amount", """WITH d AS (
   SELECT age, amount FROM transactions JOIN donors USING (donor_id) WHERE age IS NOT NULL)
-SELECT CAST(least(floor((age - alo) / (ahi - alo) * 20) + 1, 20) AS INT) AS x_bin,
-       CAST(least(floor((amount - clo) / (chi - clo) * 20) + 1, 20) AS INT) AS y_bin, count(*) AS n
+SELECT CAST(least(floor(20 * (age - alo) / (ahi - alo)) + 1, 20) AS INT) AS x_bin,
+       CAST(least(floor(20 * (amount - clo) / (chi - clo)) + 1, 20) AS INT) AS y_bin, count(*) AS n
 FROM d, (SELECT CAST(min(age) AS DOUBLE) AS alo, CAST(max(age) AS DOUBLE) AS ahi, min(amount) AS clo, max(amount) AS chi FROM d)
 GROUP BY 1, 2""")
 def _(t):
@@ -227,6 +245,32 @@ def _(t):
     return ex.scatter_bins(joined, "age", "amount")
 
 
+_PAIR_COLUMNS = ["age", "churn_prob", "instalments_paid", "current_amount"]
+
+
+@query("pair_bins", "WITH " + ", ".join(
+    f"b_{c} AS (SELECT donor_id, CAST(least(floor(20 * ({c} - lo) / (hi - lo)) + 1, 20) AS INT) AS bin FROM donors, "
+    f"(SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM donors))" for c in _PAIR_COLUMNS)
+       + " " + " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, p.bin AS x_bin, q.bin AS y_bin, count(*) AS n FROM b_{a} p JOIN b_{b} q USING (donor_id) "
+    f"WHERE p.bin IS NOT NULL AND q.bin IS NOT NULL GROUP BY 3, 4" for a, b in combinations(_PAIR_COLUMNS, 2)))
+def _(t):
+    return ex.pair_bins(t.donors, _PAIR_COLUMNS)
+
+
+@query("cluster_scatter", """
+SELECT label AS cluster, CAST(least(floor(20 * (a - alo) / (ahi - alo)) + 1, 20) AS INT) AS x_bin,
+       CAST(least(floor(20 * (b - blo) / (bhi - blo)) + 1, 20) AS INT) AS y_bin, count(*) AS n
+FROM (SELECT label, CAST(embedding[1] AS DOUBLE) AS a, CAST(embedding[2] AS DOUBLE) AS b FROM embeddings),
+     (SELECT CAST(min(embedding[1]) AS DOUBLE) AS alo, CAST(max(embedding[1]) AS DOUBLE) AS ahi,
+             CAST(min(embedding[2]) AS DOUBLE) AS blo, CAST(max(embedding[2]) AS DOUBLE) AS bhi FROM embeddings)
+GROUP BY 1, 2, 3""")
+def _(t):
+    frame = t.embeddings.select(F.col("label").alias("cluster"), *[
+        F.col("embedding")[i].cast("double").alias(f"x{i}") for i in (0, 1)])
+    return ex.scatter_bins(frame, "x0", "x1", by=("cluster",))
+
+
 _FENCES = """fences AS (SELECT q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper
   FROM (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events))"""
 
@@ -239,7 +283,7 @@ def _(t):
 
 
 _CHAINED = f"""{_FENCES},
-step1 AS (SELECT *, value < lower OR value > upper AS out1, user_id % 1000 AS score FROM events, fences),
+step1 AS (SELECT *, value < lower OR value > upper AS out1, user_id AS score FROM events, fences),
 fences2 AS (SELECT q1 - 1.5 * (q3 - q1) AS lower2, q3 + 1.5 * (q3 - q1) AS upper2
   FROM (SELECT quantile_cont(score * score, 0.25) AS q1, quantile_cont(score * score, 0.75) AS q3 FROM step1 WHERE NOT out1)),
 labelled AS (SELECT event_id, value, score * score AS score, out1 OR score * score < lower2 OR score * score > upper2 AS is_outlier
@@ -247,8 +291,7 @@ labelled AS (SELECT event_id, value, score * score AS score, out1 OR score * sco
 
 
 def _chained(t):
-    score = (F.col("user_id") % 1000)
-    frame = t.events.select("event_id", "value", (score * score).alias("score"))
+    frame = t.events.select("event_id", "value", (F.col("user_id") * F.col("user_id")).alias("score"))
     return outliers.split_outliers_chained(frame, ["value", "score"])
 
 

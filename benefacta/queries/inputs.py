@@ -120,7 +120,7 @@ SELECT CAST(o_custkey AS STRING) AS donor_id,
        CASE WHEN o_custkey % 20 = 0 THEN NULL ELSE '01/08/2001' END AS last_donation,
        CASE CAST(o_custkey % 3 AS INT) WHEN 0 THEN 'economic' WHEN 1 THEN 'contact' ELSE 'other' END AS reason,
        'Baja' AS status
-FROM orders WHERE o_custkey % 10 = 0 GROUP BY o_custkey""",
+FROM orders GROUP BY o_custkey""",
     "inflation_m": """
 SELECT CAST(y * 100 + m AS STRING) AS period, 2 + CAST((y * 12 + m) % 7 AS DOUBLE) / 2 AS pct
 FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS y, CAST(month(o_orderdate) AS INT) AS m FROM orders) a""",

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import clustering, features, mixed, outliers, quality, reduction, scaling, scoring
+from ..functions import dates
+from ..operators import cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring
 from ..plans import experiments, lifetime, segmentation
 from ..session import materialise
 from ..streaming.scoring import score_available
+from .inputs import AS_OF
 from .registry import query
 from .values import CHANNELS_SQL, EFFECT_SQL, LFV_SQL, lifetime_table
 
@@ -64,11 +66,13 @@ def _(t):
 
 @query("assign_segments", f"""WITH {_TABLE}, {_NEAREST}
 SELECT d.donor_id, round(f.dltv, 2) AS dltv,
-       CASE WHEN d.donor_id % 50 = 0 THEN 'Nuevo' ELSE coalesce({NAMES_SQL.format('cluster')}, 'No asignado') END AS segment
+       CASE WHEN d.donor_id IN (SELECT donor_id FROM transactions GROUP BY donor_id HAVING max(tx_date) > DATE '2001-05-04') THEN 'Nuevo'
+            ELSE coalesce({NAMES_SQL.format('cluster')}, 'No asignado') END AS segment
 FROM donors d LEFT JOIN features f ON d.donor_id = f.donor_id LEFT JOIN coded ON d.donor_id = coded.donor_id
 UNION ALL SELECT s_suppkey + 1000000000, NULL, 'Nuevo' FROM supplier""")
 def _(t):
-    known = t.donors.filter("donor_id % 50 = 0").select("donor_id")
+    captured = t.transactions.groupBy("donor_id").agg(F.max("tx_date").alias("capture_date"))
+    known = cleaning.split_recent(captured, "capture_date", dates.days_before(AS_OF))[1].select("donor_id")
     unknown = t.supplier.select((F.col("s_suppkey") + 1_000_000_000).alias("donor_id"))
     out = segmentation.assign_segments(t.donors, donor_table(t), CENTROIDS, known.unionByName(unknown))
     return out.select("donor_id", F.round("dltv", 2).alias("dltv"), "segment")
@@ -201,7 +205,7 @@ _PROTOTYPES_SQL = "protos AS (SELECT * FROM (VALUES " + ", ".join(
 SELECT k.donor_id, CAST(p.prototype AS INT) AS prototype, round({_GOWER.format(a='k', b='p')}, 6) AS distance
 FROM known k, protos p, spans""")
 def _(t):
-    table = experiment_table(t).dropna(subset=_NUMERIC)
+    table = materialise(experiment_table(t).dropna(subset=_NUMERIC), "mixed-table")
     return mixed.gower_to_prototypes(table, "donor_id", _NUMERIC, _CATEGORICAL, PROTOTYPES).withColumn(
         "distance", F.round("distance", 6))
 

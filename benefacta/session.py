@@ -41,8 +41,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
-    """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/benefacta/{purpose}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing else uses, in a folder of this application.
+
+    Once the application is done, its folder can be removed as a whole.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/benefacta/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

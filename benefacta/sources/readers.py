@@ -19,6 +19,11 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
     return reader.csv(path)
 
 
+def read_dataset(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
+    """A training or test file of the data folder, in UTF-8."""
+    return read_delimited(spark, f"{folder.rstrip('/')}/{file_name}", encoding="UTF-8")
+
+
 def read_inflation_export(spark: SparkSession, path: str, sep: str = ";",
                           encoding: str = LATIN1) -> DataFrame:
     """Monthly inflation (period ``yyyymm``, percent) from a CSV export of the statistics sheet.

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from benefacta.functions import labels
 from benefacta.operators import clustering, mixed, quality, reduction, sampling, scaling, scoring
@@ -64,10 +63,9 @@ def test_nearest_centroid(spark):
 
 
 def test_label_donors(spark):
-    donors = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "donor_id long, gender string")
-    coded = spark.createDataFrame([(1, 3), (2, 0)], "donor_id long, cluster int")
-    new = spark.createDataFrame([(2,), (9,)], "donor_id long")
-    out = {r["donor_id"]: r["segment"] for r in segmentation.label_donors(donors, coded, new).collect()}
+    coded = spark.createDataFrame([(1, "a", 3), (2, "b", 0), (3, "c", None)], "donor_id long, gender string, cluster int")
+    new = spark.createDataFrame([(2,), (9,), (9,)], "donor_id long").distinct()
+    out = {r["donor_id"]: r["segment"] for r in segmentation.label_donors(coded, new).collect()}
     assert out == {1: "Campeones", 2: labels.NEW_DONOR, 3: labels.UNASSIGNED, 9: labels.NEW_DONOR}
 
 
@@ -198,8 +196,9 @@ def test_kprototypes_like_by_hand(spark):
     rng = np.random.default_rng(5)
     records = [{"id": i, "x": float(rng.integers(0, 40)), "g": "abc"[rng.integers(0, 3)]} for i in range(60)]
     df = spark.createDataFrame([(r["id"], r["x"], r["g"]) for r in records], "id long, x double, g string")
-    start = [r.asDict() for r in sampling.seeded_sample(
-        df.groupBy("x", "g").agg(F.min("id").alias("id")), "id", 4, 123).collect()]
+    in_order = [(r["x"], r["g"]) for r in df.orderBy(sampling.sample_order("id", 123)).collect()]
+    start = [{"x": x, "g": g} for x, g in list(dict.fromkeys(in_order))[:4]]
+    assert mixed._first_records(df, "id", 4, 123) == mixed._first_records(df, "id", 4, 123, look=3) == start
     got = {}
     for parts in (1, 5):
         out = mixed.kprototypes_costs(df.repartition(parts), ["x", "g"], "id", range(2, 5), gamma=30.0).collect()
