@@ -249,7 +249,7 @@ _PAIR_COLUMNS = ["age", "churn_prob", "instalments_paid", "current_amount"]
 
 
 @query("pair_bins", "WITH " + ", ".join(
-    f"b_{c} AS (SELECT donor_id, CAST(least(floor(20 * ({c} - lo) / (hi - lo)) + 1, 20) AS INT) AS bin FROM donors, "
+    f"b_{c} AS (SELECT donor_id, CASE WHEN {c} IS NOT NULL THEN CAST(least(floor(20 * ({c} - lo) / (hi - lo)) + 1, 20) AS INT) END AS bin FROM donors, "
     f"(SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM donors))" for c in _PAIR_COLUMNS)
        + " " + " UNION ALL ".join(
     f"SELECT '{a}' AS x, '{b}' AS y, p.bin AS x_bin, q.bin AS y_bin, count(*) AS n FROM b_{a} p JOIN b_{b} q USING (donor_id) "
