@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -13,9 +14,25 @@ DAY_FIRST = (ISO_DATE, "d/M/yyyy[ H:m[:s]]")
 MONTH_FIRST = (ISO_DATE, "M/d/yyyy[ H:m[:s]]", "d/M/yyyy[ H:m[:s]]")
 
 
+# What a date part may look like; a layout is only tried on text of its shape.
+PARTS = {"yyyy": "[0-9]{4}", "M": "(?:0?[1-9]|1[0-2])", "d": "(?:0?[1-9]|[12][0-9]|3[01])",
+         "H": "[0-9]{1,2}", "m": "[0-9]{1,2}", "s": "[0-9]{1,2}", "[": "(?:", "]": ")?"}
+
+
+def shape(layout: str) -> str:
+    """Regular expression for texts that may fit the layout."""
+    pieces = re.findall(r"y+|[A-Za-z]|.", layout)
+    return "^" + "".join(PARTS.get(p) or re.escape(p) for p in pieces) + "$"
+
+
 def tolerant_date(col: Column, formats: tuple[str, ...] = DAY_FIRST) -> Column:
-    """First layout that fits; null where none does."""
-    return F.coalesce(*[F.try_to_timestamp(F.trim(col), F.lit(f)).cast("date") for f in formats])
+    """First layout that fits; null where none does.
+
+    A failed parse is far dearer than a match, so the shape decides which layouts are tried.
+    """
+    trimmed = F.trim(col)
+    return F.coalesce(*[F.when(trimmed.rlike(shape(f)), F.try_to_timestamp(trimmed, F.lit(f)).cast("date"))
+                        for f in formats])
 
 
 def days_before(as_of: dt.date, days: int = 90) -> Column:

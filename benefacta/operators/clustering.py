@@ -38,10 +38,14 @@ def scaled_vectors(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list]:
 
 def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 0, iterations: int = 300,
                tolerance: float = 1e-4, parallelism: int = PARALLEL_FITS) -> KMeansModel:
-    """Best of several seeded fits by the sum of squared distances; some fits run at the same time."""
+    """Best of several seeded fits by the sum of squared distances; some fits run at the same time.
+
+    ``tolerance`` bounds the squared shift of all centroids together, relative to unit variance;
+    the estimator's own setting bounds the plain shift of each one.
+    """
     def fit(attempt):
-        model = KMeans(k=k, seed=seed + attempt, maxIter=iterations, tol=tolerance, featuresCol=FEATURES,
-                       predictionCol=CLUSTER).fit(vectors)
+        model = KMeans(k=k, seed=seed + attempt, maxIter=iterations, tol=(tolerance / k) ** 0.5,
+                       featuresCol=FEATURES, predictionCol=CLUSTER).fit(vectors)
         return model.summary.trainingCost, attempt, model
 
     return min(_side_by_side(fit, range(restarts), parallelism), key=lambda f: f[:2])[2]

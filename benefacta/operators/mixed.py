@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,31 +79,50 @@ def split_by_type(df: DataFrame, columns: list[str]) -> tuple[list[str], list[st
     return ([c for c in columns if kinds[c] != "string"], [c for c in columns if kinds[c] == "string"])
 
 
-def _prototype_constant(runs: dict[int, list[dict]], numeric, categorical) -> Column:
-    """All prototypes of all runs as one constant array of ``(k, prototypes)``."""
-    record = T.StructType([T.StructField("cluster", T.IntegerType())]
-                          + [T.StructField(c, T.DoubleType()) for c in numeric]
-                          + [T.StructField(c, T.StringType()) for c in categorical])
-    run = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("prototypes", T.ArrayType(record))])
-    content = [{"k": k, "prototypes": [{**p, "cluster": i} for i, p in enumerate(prototypes)]}
-               for k, prototypes in runs.items()]
-    return F.from_json(F.lit(json.dumps(content)), T.ArrayType(run))
+def _reduced(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical, gamma) -> DataFrame:
+    """Closest prototype of each row in each run (lower number on ties), reduced where the row lies.
 
+    One row per batch, run, cluster, column and word: ``n`` rows with that word, and on the leading
+    column also the cost and the sums of the numbers. Distances are one matrix per batch and run;
+    the same in column expressions would be interpreted term by term.
+    """
+    columns = list(categorical) or [None]
+    carried = ["cost", *numeric]
 
-def _assigned(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical, gamma) -> DataFrame:
-    """One row per row and run: the closest prototype (lower number on ties) and its cost."""
-    def cost(p):
-        parts = [(F.col(c) - p[c]) * (F.col(c) - p[c]) for c in numeric]
-        parts += [F.when(F.col(c).eqNullSafe(p[c]), 0.0).otherwise(float(gamma)) for c in categorical]
-        return sum(parts, F.lit(0.0))
-
-    def closest(run):
-        return F.array_min(F.transform(run["prototypes"], lambda p: F.struct(cost(p).alias("cost"), p["cluster"])))
-
-    choices = F.transform(_prototype_constant(runs, numeric, categorical),
-                          lambda run: F.struct(run["k"].alias("k"), closest(run).alias("best")))
-    return rows.withColumn("_choice", F.explode(choices)).select(
-        *numeric, *categorical, "_choice.k", "_choice.best.cluster", "_choice.best.cost")
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[numeric].to_numpy(dtype="float64")
+            coded = [pd.factorize(batch[c].where(batch[c].notna(), None), use_na_sentinel=False) if c else
+                     (np.zeros(len(batch), dtype="int64"), np.array([None], dtype=object)) for c in columns]
+            parts = []
+            for k, prototypes in runs.items():
+                center = np.array([[p[c] for c in numeric] for p in prototypes], dtype="float64")
+                cost = ((x[:, None, :] - center[None]) ** 2).sum(axis=2)
+                for c, (codes, words) in zip(columns, coded):
+                    if c:
+                        differs = [[not _same(w, p[c]) for p in prototypes] for w in words]
+                        cost += gamma * np.array(differs, dtype="float64")[codes]
+                own = cost.argmin(axis=1)
+                sums = np.column_stack([cost[np.arange(len(own)), own], x])
+                for i, (c, (codes, words)) in enumerate(zip(columns, coded)):
+                    cell = own * len(words) + codes
+                    seen, place, n = np.unique(cell, return_inverse=True, return_counts=True)
+                    part = pd.DataFrame({"k": k, "cluster": seen // len(words), "column": c or "",
+                                         "word": [None if pd.isna(w) else w for w in words[seen % len(words)]], "n": n})
+                    for name, values in zip(carried, sums.T):
+                        part[name] = np.bincount(place, weights=values) if i == 0 else np.nan
+                    parts.append(part)
+            yield pd.concat(parts, ignore_index=True)
+
+    schema = ("k int, cluster int, column string, word string, n long, "
+              + ", ".join(f"`{c}` double" for c in carried))
+    reduced = rows.select(*numeric, *categorical).mapInPandas(reduce, schema)
+    return reduced.groupBy("k", "cluster", "column", "word").agg(
+        F.sum("n").alias("n"), *[F.sum(F.nanvl(c, F.lit(None))).alias(c) for c in carried])
+
+
+def _same(a, b) -> bool:
+    return a == b or (pd.isna(a) and pd.isna(b))
 
 
 def _first_records(rows: DataFrame, key: str, n: int, seed: int, look: int = 1000) -> list[dict]:
@@ -128,8 +146,8 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
     """Cost of k-prototypes for each k: ``k, cost, iterations``.
 
     All k advance together, so an iteration is one pass over the data whatever the number of k. The
-    state between passes is the prototypes only, a few records that become literals of the next
-    plan; no lineage builds up. Prototypes are means and most frequent categories. The start is the
+    state between passes is the prototypes only, a few records that go along with the next pass;
+    no lineage builds up. Prototypes are means and most frequent categories. The start is the
     first k distinct records in hash order, which the partitioning does not change.
     """
     numeric, categorical = split_by_type(df, columns)
@@ -145,9 +163,9 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
         spent = {k: 0 for k in runs}
         moving = dict(runs)
         for _ in range(max_iterations):
-            assigned = _assigned(rows, moving, numeric, categorical, gamma)
             before = dict(costs)
-            updated = _updated_prototypes(assigned, moving, numeric, categorical, costs)
+            reduced = _reduced(rows, moving, numeric, categorical, gamma)
+            updated = _updated_prototypes(reduced, moving, numeric, categorical, costs)
             still = {}
             for k, prototypes in updated.items():
                 spent[k] += 1
@@ -158,7 +176,7 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
             moving = still
             if not moving:
                 break
-        final = _assigned(rows, runs, numeric, categorical, gamma).groupBy("k").agg(F.sum("cost").alias("cost"))
+        final = _reduced(rows, runs, numeric, categorical, gamma).groupBy("k").agg(F.sum("cost").alias("cost"))
         results = {r["k"]: r["cost"] for r in final.collect()}
     finally:
         rows.unpersist()
@@ -166,21 +184,20 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
     return df.sparkSession.createDataFrame(table, "k int, cost double, iterations int")
 
 
-def _updated_prototypes(assigned, moving, numeric, categorical, costs) -> dict[int, list[dict]]:
-    """New prototypes per run; an empty cluster keeps its old one."""
-    means = assigned.groupBy("k", "cluster").agg(
-        F.sum("cost").alias("cost"), *[F.avg(c).alias(c) for c in numeric]).collect()
+def _updated_prototypes(reduced, moving, numeric, categorical, costs) -> dict[int, list[dict]]:
+    """New prototypes per run from the reduced rows; an empty cluster keeps its old one."""
+    carried = ["cost", *numeric]
+    frequent = F.min(F.struct((-F.col("n")).alias("order"), F.col("word").alias("word")))["word"]
+    clusters = reduced.groupBy("k", "cluster", "column").agg(
+        F.sum("n").alias("n"), frequent.alias("word"), *[F.sum(c).alias(c) for c in carried]).collect()
+
     updated = {k: [dict(p) for p in prototypes] for k, prototypes in moving.items()}
-    for k in moving:
-        costs[k] = sum(m["cost"] for m in means if m["k"] == k)
-    for m in means:
-        updated[m["k"]][m["cluster"]].update({c: m[c] for c in numeric})
-    if categorical:
-        words = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("word")) for c in categorical])
-        counts = (assigned.select("k", "cluster", F.explode(words).alias("w"))
-                  .groupBy("k", "cluster", "w.column", "w.word").agg(F.count("*").alias("n")))
-        modes = counts.groupBy("k", "cluster", "column").agg(
-            F.min(F.struct((-F.col("n")).alias("order"), F.col("word").alias("word")))["word"].alias("word"))
-        for m in modes.collect():
-            updated[m["k"]][m["cluster"]][m["column"]] = m["word"]
+    costs.update({k: 0.0 for k in moving})
+    for c in clusters:  # one row per run, cluster and categorical column
+        prototype = updated[c["k"]][c["cluster"]]
+        if c["column"] in categorical:
+            prototype[c["column"]] = c["word"]
+        if c["cost"] is not None:
+            costs[c["k"]] += c["cost"]
+            prototype.update({name: c[name] / c["n"] for name in numeric})
     return updated

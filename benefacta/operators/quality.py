@@ -44,33 +44,43 @@ def squared_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key:
     """Exact silhouette of every row with squared Euclidean distance, without any pair of rows.
 
     The mean squared distance of a row to a cluster follows from the cluster's size, sum vector and
-    sum of squared norms. Those are one row per cluster, gathered into one small array.
+    sum of squares. Those are one row per cluster; with them each batch of rows is scored on its own.
     """
-    x = F.transform(F.col(vector), lambda v: v.cast("double"))
-    rows = df.select(key, F.col(cluster).alias("c"), x.alias("x"))
+    rows = df.select(key, F.col(cluster).alias("_c"), F.col(vector).cast("array<double>").alias("_x"))
+    packed = array_to_vector("_x")
+    totals = rows.groupBy("_c").agg(
+        F.count("*").alias("n"), vector_to_array(Summarizer.sum(packed)).alias("s"),
+        vector_to_array(Summarizer.normL2(packed)).alias("norms")).orderBy("_c").collect()
+    names = pd.Index([r["_c"] for r in totals])
+    sizes = np.array([r["n"] for r in totals], dtype="float64")
+    sums = np.array([r["s"] for r in totals])
+    squares = np.array([np.square(r["norms"]).sum() for r in totals])
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = np.stack(batch["_x"].to_numpy()).astype("float64")
+            to_cluster = np.square(x).sum(axis=1)[:, None] * sizes - 2 * x @ sums.T + squares
+            yield pd.DataFrame({key: batch[key], cluster: batch["_c"], "silhouette": _widths(
+                np.maximum(to_cluster, 0.0), names.get_indexer(batch["_c"]), sizes)})
+
+    return rows.mapInPandas(score, _silhouette_schema(df, key, cluster))
 
-    def norm(v):
-        return F.aggregate(v, F.lit(0.0), lambda acc, e: acc + e * e)
 
-    per_cluster = rows.groupBy("c").agg(
-        F.count("*").alias("n"), F.sum(norm(F.col("x"))).alias("q"),
-        vector_to_array(Summarizer.sum(array_to_vector("x"))).alias("s"))
-    clusters = per_cluster.agg(F.collect_list(F.struct("c", "n", "q", "s"))).scalar()
+def _silhouette_schema(df, key, cluster):
+    return T.StructType([df.schema[key], T.StructField(cluster, df.schema[cluster].dataType),
+                         T.StructField("silhouette", T.DoubleType())])
 
-    def total_distance(k):
-        dot = F.aggregate(F.zip_with(F.col("x"), k["s"], lambda a, b: a * b), F.lit(0.0), lambda acc, e: acc + e)
-        return k["n"] * F.col("xx") - 2 * dot + k["q"]
 
-    scored = (rows.withColumn("xx", norm(F.col("x"))).withColumn("k", clusters)
-              .withColumn("d", F.transform("k", lambda k: F.struct(
-                  k["c"].alias("c"), k["n"].alias("n"), total_distance(k).alias("t")))))
-    own = F.filter("d", lambda e: e["c"] == F.col("c"))[0]
-    others = F.array_min(F.transform(F.filter("d", lambda e: e["c"] != F.col("c")), lambda e: e["t"] / e["n"]))
-    a = F.when(own["n"] > 1, own["t"] / (own["n"] - 1))
-    width = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
-    return (scored.withColumn("a", a).withColumn("b", others)
-            .select(key, F.col("c").alias(cluster), F.when(F.col("a").isNull(), 0.0)
-                    .otherwise(F.coalesce(width, F.lit(0.0))).alias("silhouette")))
+def _widths(to_cluster: np.ndarray, own: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Silhouettes from the total distance of each row to each cluster; 0 in a cluster of one."""
+    at = np.arange(len(own))
+    a = to_cluster[at, own] / np.maximum(sizes[own] - 1, 1)
+    means = to_cluster / sizes
+    means[at, own] = np.inf
+    b = means.min(axis=1)
+    largest = np.maximum(a, b)
+    usable = (largest > 0) & np.isfinite(largest) & (sizes[own] > 1)
+    return np.divide(b - a, largest, out=np.zeros_like(a), where=usable)
 
 
 def sampled_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key: str = "id",
@@ -91,21 +101,11 @@ def sampled_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key:
             own = pd.Index(names).get_indexer(batch["_c"])
             x = np.stack(batch["_x"].to_numpy()).astype("float64")
             distance = np.stack([np.sqrt(((points - row) ** 2).sum(axis=1)) for row in x])
-            to_cluster = distance @ member
-            at = np.arange(len(own))
-            a = to_cluster[at, own] / np.maximum(sizes[own] - 1, 1)
-            means = to_cluster / sizes
-            means[at, own] = np.inf
-            b = means.min(axis=1)
-            largest = np.maximum(a, b)
-            width = np.divide(b - a, largest, out=np.zeros_like(a), where=largest > 0)
             yield pd.DataFrame({key: batch[key], cluster: batch["_c"],
-                                "silhouette": np.where(sizes[own] > 1, width, 0.0)})
+                                "silhouette": _widths(distance @ member, own, sizes)})
 
-    schema = T.StructType([df.schema[key], T.StructField(cluster, df.schema[cluster].dataType),
-                           T.StructField("silhouette", T.DoubleType())])
     spread = df.sparkSession.createDataFrame(members, sample.schema).repartition(8, key)
-    return spread.mapInPandas(score, schema)
+    return spread.mapInPandas(score, _silhouette_schema(df, key, cluster))
 
 
 def segment_importance(df: DataFrame, columns: list[str], key: str, cluster: str = CLUSTER, seed: int = 1,

@@ -28,7 +28,9 @@ def validate(df: DataFrame, types: dict[str, str] | None = None) -> DataFrame:
     def clean(c, kind):
         return F.when(~F.isnan(cast[c]), cast[c]) if kind in ("double", "float") else cast[c]
 
-    return df.withColumn("errors", F.array_compact(F.array(*bad))).withColumns(
+    names = F.concat_ws(",", *bad)
+    errors = F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))
+    return df.withColumn("errors", errors).withColumns(
         {c: clean(c, kind) for c, kind in types.items()})
 
 

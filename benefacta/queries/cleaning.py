@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates, labels, numbers, places, text
 from ..operators import cleaning, joins, scaling, scoring
 from ..plans import cleaning_jobs
+from ..session import materialise
 from ..sources import readers, schemas
 from .inputs import AS_OF
 from .registry import query
@@ -228,7 +229,8 @@ cleaned AS (SELECT donor_id, CASE WHEN valid THEN birth_date ELSE DATE '2001-08-
 
 
 def cleaned_donors(t):
-    return cleaning_jobs.clean_donors(raw_file(t.donor_file, schemas.DONORS), AS_OF)
+    staged = materialise(raw_file(t.donor_file, schemas.DONORS), "donors-raw")  # as the cleaning job does
+    return cleaning_jobs.clean_donors(staged, AS_OF)
 
 
 @query("clean_donors", f"WITH {_CLEAN} SELECT * FROM cleaned")

@@ -59,7 +59,7 @@ def segmentation_table(t):
 
 @query("assign_centroids", f"WITH {_TABLE}, {_NEAREST} SELECT donor_id, CAST(cluster AS INT) AS cluster FROM coded")
 def _(t):
-    table = scoring.drop_null_features(segmentation_table(t), segmentation.FEATURES)
+    table = materialise(scoring.drop_null_features(segmentation_table(t), segmentation.FEATURES), "training-table")
     code = clustering.nearest_centroid([f"{c}_std" for c in segmentation.FEATURES], CENTROIDS)
     return scaling.zscore(table, segmentation.FEATURES).select("donor_id", code.alias("cluster"))
 
@@ -74,7 +74,8 @@ def _(t):
     captured = t.transactions.groupBy("donor_id").agg(F.max("tx_date").alias("capture_date"))
     known = cleaning.split_recent(captured, "capture_date", dates.days_before(AS_OF))[1].select("donor_id")
     unknown = t.supplier.select((F.col("s_suppkey") + 1_000_000_000).alias("donor_id"))
-    out = segmentation.assign_segments(t.donors, donor_table(t), CENTROIDS, known.unionByName(unknown))
+    table = materialise(donor_table(t), "donor-features")  # stored by the lifetime-value job
+    out = segmentation.assign_segments(t.donors, table, CENTROIDS, known.unionByName(unknown))
     return out.select("donor_id", F.round("dltv", 2).alias("dltv"), "segment")
 
 
