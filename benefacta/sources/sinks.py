@@ -30,12 +30,13 @@ def write_outputs(df: DataFrame, outputs: dict[str, tuple[str, object]],
     """Write several filtered views of one plan: ``{name: (path, condition)}``.
 
     The plan is computed once into the shared folder; each output is then a filtered copy of it.
+    With a layout the outputs are CSV files with its columns only.
     """
     once = materialise(df, "outputs")
     for path, condition in outputs.values():
         part = once.filter(condition)
         if layout is not None:
-            write_csv(part, path, layout)
+            write_csv(part.select(*[f.name for f in layout]), path, layout)
         else:
             write_table(part, path)
 
