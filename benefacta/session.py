@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_cleaned: set[str] = set()
+
 
 def local_session(app_name: str = "benefacta", cores: str = "*", shuffle_partitions: int = 8,
                   memory: str | None = None) -> SparkSession:
@@ -28,25 +30,31 @@ def local_session(app_name: str = "benefacta", cores: str = "*", shuffle_partiti
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Root folder that every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session may fall back to a folder of this machine.
-    """
+    """Root folder that every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="benefacta-")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def fresh_path(spark: SparkSession, purpose: str) -> str:
-    """A path below the shared folder that nothing else uses, in a folder of this application.
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session is gone; the folder carries the application's name
+        pass
 
-    Once the application is done, its folder can be removed as a whole.
-    """
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/benefacta/{application}/{purpose}-{uuid.uuid4().hex}"
+
+def application_folder(spark: SparkSession) -> str:
+    """Folder of this application below the shared one; removed as a whole when the program ends."""
+    folder = f"{shared_folder(spark)}/benefacta/{spark.sparkContext.applicationId}"
+    if folder not in _cleaned:
+        _cleaned.add(folder)
+        atexit.register(_remove, spark, folder)
+    return folder
+
+
+def fresh_path(spark: SparkSession, purpose: str) -> str:
+    """A path below the application's folder that nothing else uses."""
+    return f"{application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
