@@ -1,7 +1,7 @@
 """Toxicity: a logistic model whose scores are held steady when identity terms are swapped.
 
-Words of labelled texts (lower case, runs of letters and digits) are presence features; those that go with the label by a
-chi-squared test are kept. In every sentence of a labelled text that names a group, the term is swapped for
+Words of labelled texts (lower case, runs of letters and digits) and their beginnings of 5 to 8 bytes are presence
+features; those that go with the label by a chi-squared test are kept. In every sentence of a labelled text that names a group, the term is swapped for
 the next one of its axis. The loss is the logistic one, plus an L2 term, plus ``steadiness`` times the mean
 squared change of the log odds between a text and its swapped copy. A group that happens to be named in toxic texts
 thus earns no weight that its counterpart lacks.
@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import add_columns
-from .textarrays import ALNUM, FOLD, blocks, find_words, signed, text_buffer, word_hashes
+from .textarrays import ALNUM, FOLD, beginning_hashes, blocks, find_words, signed, text_buffer, word_hashes
 
 THRESHOLD = 0.3
+BEGINNINGS = (5, 6, 7, 8)
 #: Groups on one axis; a term is swapped for the next one, the last for the first.
 AXES = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
@@ -58,11 +59,21 @@ def swapper(axes=AXES):
     return swap
 
 
-def _features(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Distinct word hashes of each text."""
+def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words and beginnings, and the text of each."""
     words = find_words(data, offsets, ALNUM)
-    hashes = word_hashes(words, ALNUM, FOLD)
-    return [np.unique(hashes[a:b]) for a, b in zip(words.first[:-1], words.first[1:])]
+    of = words.text_of
+    parts = [(np.arange(len(of)), word_hashes(words, ALNUM, FOLD)), *beginning_hashes(words, BEGINNINGS, FOLD)]
+    return np.concatenate([h for _, h in parts]), np.concatenate([of[at] for at, _ in parts])
+
+
+def _distinct(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """Distinct features of each text."""
+    hashes, of = _features(data, offsets)
+    order = np.argsort(of, kind="stable")
+    hashes, of = hashes[order], of[order]
+    cuts = np.searchsorted(of, np.arange(len(offsets)))
+    return [np.unique(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _sample(rows: DataFrame, text: str, axes) -> DataFrame:
@@ -73,8 +84,8 @@ def _sample(rows: DataFrame, text: str, axes) -> DataFrame:
             for part, data, offsets in blocks(batch, text):
                 texts = [data[a:b].tobytes().decode("utf-8") for a, b in zip(offsets[:-1], offsets[1:])]
                 other = [swap(t) for t in texts]
-                own = _features(data, offsets)
-                changed = _features(*text_buffer(pa.array(other, pa.string())))
+                own = _distinct(data, offsets)
+                changed = _distinct(*text_buffer(pa.array(other, pa.string())))
                 yield pa.RecordBatch.from_arrays([
                     part.column(part.schema.get_field_index("label")), pa.array([signed(x) for x in own], pa.list_(pa.int64())),
                     pa.array([None if o is None else signed(c) for o, c in zip(other, changed)], pa.list_(pa.int64()))],
@@ -85,18 +96,20 @@ def _sample(rows: DataFrame, text: str, axes) -> DataFrame:
 
 @dataclass
 class SteadyLogistic:
-    keys: np.ndarray  # sorted word hashes
+    keys: np.ndarray  # sorted hashes of features
     weights: np.ndarray
     intercept: float
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        words = find_words(data, offsets, ALNUM)
         n, odds = len(offsets) - 1, np.full(len(offsets) - 1, self.intercept)
-        if len(self.keys) and len(words.starts):
-            hashes = word_hashes(words, ALNUM, FOLD)
-            near = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-            at = np.flatnonzero(self.keys[near] == hashes)
-            pairs = np.unique(words.text_of[at] * len(self.keys) + near[at])  # a word counts once in a text
+        hashes, of = _features(data, offsets)
+        if len(self.keys) and len(hashes):
+            maybe = np.zeros(1 << 16, bool)
+            maybe[self.keys >> np.uint64(48)] = True
+            at = np.flatnonzero(maybe[hashes >> np.uint64(48)])
+            near = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+            same = self.keys[near] == hashes[at]
+            pairs = np.unique(of[at[same]] * len(self.keys) + near[same])  # a feature counts once in a text
             odds += np.bincount(pairs // len(self.keys), self.weights[pairs % len(self.keys)], minlength=n)
         return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 

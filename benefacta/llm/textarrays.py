@@ -133,6 +133,21 @@ def word_hashes(words: Words, is_word: np.ndarray = PLAIN, fold: np.ndarray | No
     return mix(np.add.reduceat(values, words.starts - base) + lengths.astype(np.uint64) * _MULTIPLIER)
 
 
+def beginning_hashes(words: Words, sizes: tuple[int, ...], fold: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of ``sizes``: the words with more bytes than that, and the hash of so many first bytes."""
+    table = _BYTE[fold if fold is not None else np.arange(256)]
+    lengths = words.ends - words.starts
+    out, hashes, chosen = [], np.zeros(len(lengths), np.uint64), np.arange(len(lengths))
+    for size in range(1, max(sizes, default=0) + 1):
+        on = lengths[chosen] >= size
+        chosen, hashes = chosen[on], hashes[on]
+        hashes = hashes * _MULTIPLIER + table[words.data[words.starts[chosen] + size - 1]]
+        if size in sizes:
+            longer = lengths[chosen] > size
+            out.append((chosen[longer], mix(hashes[longer] + np.uint64(size))))
+    return out
+
+
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive values, by doubling; run ``i`` starts at value ``i``."""
     if len(hashes) < size:
