@@ -1,13 +1,14 @@
 """Language identification by compression with zstandard raw-content dictionaries.
 
-For each language a bounded sample of its texts becomes a dictionary of raw content. A text is cut into pieces of
-``piece`` bytes; each piece is compressed with each dictionary, and the language with the least total size is
+For each language a bounded sample of its texts becomes a dictionary of raw content. Texts and dictionaries are in lower
+case, with one blank for each run of characters other than letters, so neither capitals nor symbols tell languages apart. A
+text is cut into pieces of ``piece`` bytes; each piece is compressed with each dictionary, and the language with the least total size is
 chosen. Where the second best is nearly as small, the guess is rejected: the margin (share of bytes that the best saves
 against the second) is below ``least_margin``.
 
 The sample is bounded: ``slices`` texts of each language with the least hashed ids, of each a slice of ``slice_chars``
 characters at a place chosen by the hash. Predictions read whole texts. Null texts and texts without a letter
-are ``und`` with score 0. Ties go to the language that comes first by name. With one learned language only, every text with
+are ``und`` with score 0. Ties go to the language with more learned rows, then by name. With one learned language only, every text with
 letters is that language; with none, all are ``und``. The driver holds languages x slices x slice_chars.
 """
 
@@ -27,8 +28,16 @@ UNKNOWN = "und"
 LEAST_MARGIN = 0.02
 
 
+#: ASCII bytes other than small letters become blanks
+_LETTERS = bytes(b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+
+
+def plain(text: str) -> bytes:
+    return b" ".join(text.lower().encode().translate(_LETTERS).split())
+
+
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", slices: int = 64, slice_chars: int = 1000) -> dict[str, bytes]:
-    """Raw dictionary content of each language of ``rows`` (which have a ``doc_id``)."""
+    """Raw dictionary content of each language of ``rows`` (which have a ``doc_id``), the language with most rows first."""
     key = F.xxhash64("doc_id", text)
     known = rows.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     place = F.pmod(F.xxhash64(key), F.greatest(F.length(text) - F.lit(slice_chars), F.lit(0)) + 1)
@@ -38,14 +47,15 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", slices: int =
     found: dict[str, list] = {}
     for row in ranked.where(F.col("rank") <= slices).collect():
         found.setdefault(row["lang"], []).append((row["rank"], row["piece"]))
-    return {name: "\n".join(p for _, p in sorted(pieces)).encode() for name, pieces in sorted(found.items())}
+    sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    return {name: plain("\n".join(p for _, p in sorted(found[name]))) for name in sorted(found, key=lambda x: (-sizes[x], x))}
 
 
 class Encoders:
     """One compressor per language, with its dictionary digested once."""
 
     def __init__(self, contents: dict[str, bytes], level: int):
-        self.names = sorted(contents)
+        self.names = list(contents)
         self.compressors = []
         for name in self.names:
             content = zstandard.ZstdCompressionDict(contents[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -60,7 +70,7 @@ class Encoders:
         return [sum(len(c.compress(p)) for p in parts) for c in self.compressors]
 
 
-def with_language(docs: DataFrame, contents: dict[str, bytes], text: str = "text", piece: int = 2048, level: int = 3,
+def with_language(docs: DataFrame, contents: dict[str, bytes], text: str = "text", piece: int = 1024, level: int = 6,
                   least_margin: float = LEAST_MARGIN) -> DataFrame:
     """``docs`` with ``lang_pred`` (best language), ``score`` (0 to 1; below 0.5 the margin is too narrow) and
     ``lang_sure`` (``lang_pred``, or ``und`` where rejected). Names that the input has already get underscores."""
@@ -84,7 +94,7 @@ def with_language(docs: DataFrame, contents: dict[str, bytes], text: str = "text
                     guess.append(encoders.names[0])
                     score.append(1.0)
                 else:
-                    sizes = np.array(encoders.sizes(data[a:b].tobytes(), piece))
+                    sizes = np.array(encoders.sizes(plain(data[a:b].tobytes().decode()), piece))
                     order = np.argsort(sizes, kind="stable")
                     margin = 1 - sizes[order[0]] / sizes[order[1]]
                     guess.append(encoders.names[order[0]])
