@@ -78,21 +78,6 @@ def canonical(col: Column, rules: list[tuple[str, str]]) -> Column:
     return out
 
 
-def canonical_places(df: DataFrame, rules_by_column: dict[str, list[tuple[str, str]]],
-                     largest_dictionary: int = 20_000) -> DataFrame:
-    """Replace place columns by their canonical names.
-
-    Place names repeat, so the rules run once per distinct text and the result is joined back,
-    as long as the number of distinct texts stays below ``largest_dictionary`` and can be
-    broadcast. Beyond that the rules run on every row, which needs no shuffle at all.
-    """
-    for column, rules in rules_by_column.items():
-        texts = df.select(F.col(column).alias("_text")).filter("_text is not null").distinct()
-        if texts.limit(largest_dictionary + 1).count() > largest_dictionary:
-            df = df.withColumn(column, canonical(F.col(column), rules))
-            continue
-        dictionary = texts.withColumn("_place", canonical(F.col("_text"), rules))
-        df = (df.join(F.broadcast(dictionary), F.col(column) == F.col("_text"), "left")
-              .withColumn(column, F.coalesce("_place", F.lit("")))
-              .drop("_text", "_place"))
-    return df
+def canonical_places(df: DataFrame, rules_by_column: dict[str, list[tuple[str, str]]]) -> DataFrame:
+    """Replace place columns by their canonical names; expressions of the row, without a shuffle. Null becomes ''."""
+    return df.withColumns({column: canonical(F.col(column), rules) for column, rules in rules_by_column.items()})

@@ -13,6 +13,7 @@ from ..sources.schemas import Field
 ERROR_TEXT = "Nº de error"
 MORE_THAN_TEN = "mas de 10"
 NO = "No"
+YES_WORDS, NO_WORDS = ("si", "sí"), ("no",)
 COLLECTED, LOST = "Cobrada", "Perdida"
 REGULAR_KINDS = (
     "DI - Regular",
@@ -106,8 +107,10 @@ def fill_defaults(df: DataFrame) -> DataFrame:
 
 
 def flag(col: Column) -> Column:
-    """Text or number to boolean."""
-    return F.coalesce(col.try_cast("boolean"), col.try_cast("double") != 0)
+    """Text or number to boolean; the Spanish words count as well."""
+    word = F.lower(F.trim(col.cast("string")))
+    spoken = F.when(word.isin(*YES_WORDS), True).when(word.isin(*NO_WORDS), False)
+    return F.coalesce(col.try_cast("boolean"), spoken, col.try_cast("double") != 0)
 
 
 def conform(df: DataFrame, layout: list[Field], date_formats: tuple[str, ...] = dates.DAY_FIRST) -> DataFrame:

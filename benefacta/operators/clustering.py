@@ -5,10 +5,13 @@ from __future__ import annotations
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .scaling import Moments, fit_moments
@@ -63,12 +66,92 @@ def silhouette(labelled: DataFrame) -> float:
                                distanceMeasure="squaredEuclidean").evaluate(labelled)
 
 
-def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123,
+def nearest_of(centres: np.ndarray):
+    """Function from a vector column to the number of its nearest centre; one matrix per batch."""
+    @F.pandas_udf("int")
+    def nearest(column: pd.Series) -> pd.Series:
+        return pd.Series(_distances(np.stack(column.to_list()), centres).argmin(axis=1)) if len(column) else pd.Series([], dtype="int32")
+
+    return lambda column: nearest(vector_to_array(column))
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows to all centres."""
+    return np.maximum(np.square(x).sum(axis=1)[:, None] - 2 * x @ centres.T + np.square(centres).sum(axis=1), 0.0)
+
+
+def _spread_starts(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """``k`` points, each drawn in proportion to its squared distance from those before it."""
+    chosen = [points[rng.integers(len(points))]]
+    while len(chosen) < k:
+        far = _distances(points, np.array(chosen)).min(axis=1)
+        share = far / far.sum() if far.sum() > 0 else None
+        chosen.append(points[rng.choice(len(points), p=share)])
+    return np.array(chosen)
+
+
+def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations: int = 300, tolerance: float = 1e-4,
+               start_rows: int = 2000) -> list[tuple[float, np.ndarray]]:
+    """``(cost, centres)`` of one k-means run for each k and seed.
+
+    All runs advance together: an iteration is one pass over the vectors, whatever the number of runs, and each
+    task returns one row per run and cluster. Starts are spread over a sample of ``start_rows`` rows in
+    hash order; the centres are what passes between iterations, so no lineage grows.
+    """
+    values = vectors.select(vector_to_array(FEATURES).alias("x"))
+    head = values.orderBy(F.xxhash64("x"), "x").limit(start_rows).toPandas()["x"]
+    points = np.stack(head.to_list())
+    dims = points.shape[1]
+    centres = [_spread_starts(points, k, np.random.default_rng(seed)) for k, seed in zip(ks, seeds)]
+    costs = [np.inf] * len(ks)
+
+    def reduced(moving: dict[int, np.ndarray]) -> list:
+        def work(batches):
+            for batch in batches:
+                x = np.stack(batch["x"].to_list())
+                parts = []
+                for run, centre in moving.items():
+                    distance = _distances(x, centre)
+                    own = distance.argmin(axis=1)
+                    weights = [distance[np.arange(len(x)), own], *x.T]
+                    sums = np.array([np.bincount(own, w, len(centre)) for w in weights])
+                    parts.append(np.column_stack([np.full(len(centre), run), np.arange(len(centre)), np.bincount(own, minlength=len(centre)), sums.T]))
+                yield pd.DataFrame(np.concatenate(parts), columns=names)
+
+        names = ["run", "cluster", "n", "cost", *(f"s{i}" for i in range(dims))]
+        rows = values.mapInPandas(work, ", ".join(f"{n} double" for n in names))
+        return rows.groupBy("run", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect()
+
+    moving = dict(enumerate(centres))
+    for _ in range(iterations):
+        sums: dict[int, list] = {}
+        for r in reduced(moving):
+            sums.setdefault(int(r["run"]), []).append(r)
+        for run, rows in sums.items():
+            costs[run] = sum(r["cost"] for r in rows)
+            new = moving[run].copy()  # an empty cluster keeps its centre
+            for r in rows:
+                if r["n"]:
+                    new[int(r["cluster"])] = [r[f"s{i}"] / r["n"] for i in range(dims)]
+            shift, centres[run] = np.square(new - moving[run]).sum(), new
+            if shift <= tolerance:
+                del moving[run]
+            else:
+                moving[run] = new
+        if not moving:
+            break
+    return list(zip(costs, centres))
+
+
+def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123, restarts: int = 10,
              parallelism: int = PARALLEL_FITS) -> list[tuple[int, float]]:
-    """``(k, silhouette)`` of one fit per k. ``vectors`` should be persisted."""
+    """``(k, silhouette)`` of the best of ``restarts`` runs for each k. ``vectors`` should be persisted."""
+    fits = [(k, seed + attempt) for k in ks for attempt in range(restarts)]
+    runs = lloyd_runs(vectors, [k for k, _ in fits], [s for _, s in fits])
+    best = {k: min((run for (of, _), run in zip(fits, runs) if of == k), key=lambda run: run[0])[1] for k in ks}
+
     def score(k):
-        model = fit_kmeans(vectors, k, restarts=1, seed=seed)
-        return k, silhouette(model.transform(vectors))
+        return k, silhouette(vectors.withColumn(CLUSTER, nearest_of(best[k])(F.col(FEATURES))))
 
     return _side_by_side(score, ks, parallelism)
 
@@ -92,7 +175,7 @@ def segment(df: DataFrame, columns: list[str], k: int | None = None, restarts: i
     vectors, stages = scaled_vectors(df, columns)
     vectors = vectors.persist()
     try:
-        scores = [] if k else k_scores(vectors)
+        scores = [] if k else k_scores(vectors, restarts=restarts)
         k = k or pick_k(scores)
         kmeans = fit_kmeans(vectors, k, restarts, seed)
     finally:
@@ -105,6 +188,12 @@ def without_vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.drop(FEATURES, *[f"{c}_std" for c in columns])
 
 
+def lloyd_step(df: DataFrame, columns: list[str], centroids: dict[int, tuple[float, ...]]) -> DataFrame:
+    """``cluster, n, <columns>``: means of the rows nearest to each centroid; one partial aggregate."""
+    nearest = df.select(nearest_centroid(columns, centroids).alias(CLUSTER), *columns).filter(F.col(CLUSTER).isNotNull())
+    return nearest.groupBy(CLUSTER).agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in columns])
+
+
 def nearest_centroid(columns: list[str], centroids: dict[int, tuple[float, ...]]) -> Column:
     """Code of the closest centroid, lower code on ties; null if a coordinate is null."""
     def distance(center):

@@ -38,15 +38,23 @@ def segmentation_input(features: DataFrame, donors: DataFrame) -> DataFrame:
     return features.join(donors.select("donor_id", "churn_prob"), "donor_id")
 
 
+def category_counts(df: DataFrame, key: str, column: str, counted: str = "amount") -> DataFrame:
+    """``key, category, n``: non-null ``counted`` per key and category found, null included."""
+    return (df.filter(F.col(counted).isNotNull())
+            .groupBy(key, F.col(column).alias("category")).agg(F.count("*").alias("n")))
+
+
 def count_pivot(df: DataFrame, key: str, column: str, values: dict[str, str],
-                counted: str = "amount") -> DataFrame:
-    """Non-null ``counted`` per key and category, one column per given category.
+                counted: str = "amount", other: str = "other") -> DataFrame:
+    """Non-null ``counted`` per key, one column per given category and ``other`` for all the rest.
 
-    ``values`` is ``{category: column name}``; known categories make this one aggregate.
+    ``values`` is ``{category: column name}``; known categories make this one aggregate. The long form
+    with every category is ``category_counts``.
     """
+    listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
     counts = [F.count(F.when(F.col(column) == category, F.col(counted))).alias(name)
               for category, name in values.items()]
-    return df.groupBy(key).agg(*counts)
+    return df.groupBy(key).agg(*counts, F.count(F.when(~listed, F.col(counted))).alias(other))
 
 
 def donor_channels(transactions: DataFrame, channel: str = "record_type") -> DataFrame:

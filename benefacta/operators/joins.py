@@ -4,37 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_SHARE = 0.002      # a key with more than this share of the rows is split
-HOT_ROWS = 1_000_000   # but only if it also has this many rows
-TRACKED = 10_000       # size of the frequency sketch
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, least_rows: int = HOT_ROWS) -> list:
-    """Keys that hold more than ``share`` of the rows; at most ``1 / share`` of them.
-
-    One pass over the key column with a bounded frequency sketch, no shuffle by key.
-    """
-    most = int(1 / share)
-    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {max(TRACKED, most)})")
-    row = df.filter(F.col(key).isNotNull()).agg(F.count("*").alias("total"), sketch.alias("top")).first()
-    limit = max(row["total"] * share, least_rows)
-    return [t["item"] for t in (row["top"] or []) if t["count"] > limit]
-
-
 def balanced_join(fact: DataFrame, dimension: DataFrame, key: str, how: str = "inner",
-                  spread_by: tuple[str, ...] = (), salts: int = 64, hot: list | None = None) -> DataFrame:
-    """Join a fact to a dimension on ``key`` (inner or left), splitting hot keys.
+                  spread_by: tuple[str, ...] = (), salts: int = 64, hot: tuple = ()) -> DataFrame:
+    """Join a fact to a dimension on ``key`` (inner or left); adaptive execution splits skewed keys.
 
-    Rows of a hot key are spread over ``salts`` tasks by the hash of ``spread_by``, and only the
-    dimension rows of those keys are repeated. Without hot keys this is the plain join, for which
-    Catalyst picks the strategy.
+    Where it cannot, as before an aggregate on the same key, the caller names the ``hot`` keys: their rows are
+    spread over ``salts`` tasks by the hash of ``spread_by``, and only their dimension rows are repeated.
     """
     if how not in ("inner", "left"):
         raise ValueError("only inner and left joins keep the fact side whole")
-    hot = hot_keys(fact, key) if hot is None else hot
     if not hot:
         return fact.join(dimension, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    is_hot = F.coalesce(F.col(key).isin(*hot), F.lit(False))
     spread = F.pmod(F.xxhash64(*(spread_by or fact.columns)), F.lit(salts)).cast("int")
     salted = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -42,9 +23,20 @@ def balanced_join(fact: DataFrame, dimension: DataFrame, key: str, how: str = "i
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def unique(df: DataFrame, key: str) -> DataFrame:
+    """``df``, which must have one row per ``key``; a repeated key is an error when the rows are read.
+
+    The check is an aggregate by the key, whose partitioning a join on the key uses again.
+    """
+    repeated = F.raise_error(F.concat(F.lit(f"more than one row with {key} "), F.col(key).cast("string")))
+    others = [c for c in df.columns if c != key]
+    checked = df.groupBy(key).agg(*[F.any_value(c).alias(c) for c in others], F.count("*").alias("_rows"))
+    return checked.filter(F.when(F.col("_rows") == 1, F.lit(True)).otherwise(repeated.cast("boolean"))).select(*df.columns)
+
+
 def keep_members(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``keys``; repeated keys do not repeat rows."""
-    return df.join(keys.select(key), key, "left_semi")
+    """Rows whose key occurs in ``keys``; these are reduced to distinct keys before they are shuffled."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
 
 
 def mark_members(df: DataFrame, keys: DataFrame, key: str, column: str, value: str) -> DataFrame:

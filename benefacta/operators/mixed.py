@@ -51,12 +51,12 @@ def gower_matrix(df: DataFrame, key: str, numeric: list[str], categorical: list[
     def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         safe = np.where(spans > 0, spans, 1.0)
         for batch in batches:
-            rows = []
-            for record in batch.to_dict("records"):
-                gap = np.abs(numbers - np.array([float(record[c]) for c in numeric])) / safe
-                differs = words != np.array([record[c] for c in categorical], dtype=object)
-                rows.append(((gap.sum(axis=1) + differs.sum(axis=1)) / parts).tolist())
-            yield pd.DataFrame({key: batch[key], "others": [keys] * len(batch), "distances": rows})
+            x = batch[numeric].to_numpy(dtype="float64")
+            own = batch[categorical].astype(object).where(batch[categorical].notna(), None).to_numpy(dtype=object)
+            gaps = (np.abs(x[:, None, :] - numbers[None]) / safe).sum(axis=2)
+            differs = (own[:, None, :] != words[None]).sum(axis=2)
+            yield pd.DataFrame({key: batch[key], "others": [keys] * len(batch),
+                                "distances": list((gaps + differs) / parts)})
 
     key_type = df.schema[key].dataType
     schema = T.StructType([T.StructField(key, key_type), T.StructField("others", T.ArrayType(key_type)),
@@ -125,20 +125,15 @@ def _same(a, b) -> bool:
     return a == b or (pd.isna(a) and pd.isna(b))
 
 
-def _first_records(rows: DataFrame, key: str, n: int, seed: int, look: int = 1000) -> list[dict]:
-    """The first ``n`` distinct records in hash order.
-
-    A bounded head of that order nearly always holds them; only if copies fill it are all records
-    grouped, by the first place of each.
-    """
+def _first_records(rows: DataFrame, key: str, n: int, seed: int) -> list[dict]:
+    """The first ``n`` distinct records in hash order, by the first place of each; an error if there are fewer."""
     columns = [c for c in rows.columns if c != key]
-    head = seeded_sample(rows, key, look, seed).select(*columns).collect()
-    distinct = list(dict.fromkeys(tuple(r) for r in head))
-    if len(distinct) < n and len(head) == look:
-        place = F.min(F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key")))
-        first = rows.groupBy(*columns).agg(place.alias("_place")).orderBy("_place").limit(n)
-        distinct = [tuple(r) for r in first.select(*columns).collect()]
-    return [dict(zip(columns, record)) for record in distinct[:n]]
+    place = F.min(F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key")))
+    first = rows.groupBy(*columns).agg(place.alias("_place")).orderBy("_place").limit(n)
+    found = [r.asDict() for r in first.select(*columns).collect()]
+    if len(found) < n:
+        raise ValueError(f"{n} clusters need as many distinct records; there are {len(found)}")
+    return found
 
 
 def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10),
@@ -158,7 +153,7 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
             deviations = rows.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first()
             gamma = 0.5 * sum(deviations) / len(numeric)
         start = _first_records(rows, key, max(ks), seed)
-        runs = {k: start[:k] for k in ks if k <= len(start)}
+        runs = {k: start[:k] for k in ks}
         costs: dict[int, float] = {}
         spent = {k: 0 for k in runs}
         moving = dict(runs)
@@ -184,6 +179,15 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
     return df.sparkSession.createDataFrame(table, "k int, cost double, iterations int")
 
 
+def kprototypes_step(df: DataFrame, columns: list[str], prototypes: list[dict], gamma: float) -> tuple[list[dict], float]:
+    """Prototypes after one pass from the given ones, and the cost of that pass."""
+    numeric, categorical = split_by_type(df, columns)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in numeric], *categorical).dropna(subset=numeric)
+    runs, costs = {len(prototypes): prototypes}, {}
+    reduced = _reduced(rows, runs, numeric, categorical, gamma)
+    return _updated_prototypes(reduced, runs, numeric, categorical, costs)[len(prototypes)], costs[len(prototypes)]
+
+
 def _updated_prototypes(reduced, moving, numeric, categorical, costs) -> dict[int, list[dict]]:
     """New prototypes per run from the reduced rows; an empty cluster keeps its old one."""
     carried = ["cost", *numeric]

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .sampling import sample_order, seeded_sample
 
@@ -35,9 +35,23 @@ def cluster_metrics(profile: DataFrame, run_id: str, cluster: str = CLUSTER) ->
 
 
 def cluster_category_counts(df: DataFrame, column: str, values: dict[str, str],
-                            cluster: str = CLUSTER) -> DataFrame:
-    """Rows per cluster and category, one column per given category."""
-    return df.groupBy(cluster).agg(*[F.count_if(F.col(column) == v).alias(name) for v, name in values.items()])
+                            cluster: str = CLUSTER, other: str = "other") -> DataFrame:
+    """Rows per cluster, one column per given category and ``other`` for all the rest."""
+    listed = F.coalesce(F.col(column).isin(*values), F.lit(False))
+    return df.groupBy(cluster).agg(*[F.count_if(F.col(column) == v).alias(name) for v, name in values.items()],
+                                   F.count_if(~listed).alias(other))
+
+
+def run_metrics(spark: SparkSession, run_id: str, parameters: dict[str, object], scores: dict[str, float]) -> DataFrame:
+    """Parameters and run-level scores in the long form of ``cluster_metrics``; their cluster is null."""
+    rows = [(run_id, None, name, float(value), None) for name, value in scores.items()]
+    rows += [(run_id, None, name, None, str(value)) for name, value in parameters.items()]
+    return spark.createDataFrame(rows, "run_id string, cluster int, metric string, value double, parameter string")
+
+
+def cluster_categories(df: DataFrame, column: str, cluster: str = CLUSTER) -> DataFrame:
+    """``cluster, category, n`` for every category found, null included."""
+    return df.groupBy(cluster, F.col(column).alias("category")).agg(F.count("*").alias("n"))
 
 
 def squared_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key: str = "id") -> DataFrame:
@@ -100,7 +114,7 @@ def sampled_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key:
         for batch in batches:
             own = pd.Index(names).get_indexer(batch["_c"])
             x = np.stack(batch["_x"].to_numpy()).astype("float64")
-            distance = np.stack([np.sqrt(((points - row) ** 2).sum(axis=1)) for row in x])
+            distance = np.sqrt(np.maximum(((x[:, None, :] - points[None]) ** 2).sum(axis=2), 0.0))
             yield pd.DataFrame({key: batch[key], cluster: batch["_c"],
                                 "silhouette": _widths(distance @ member, own, sizes)})
 

@@ -9,11 +9,14 @@ are its values sorted. What reaches the driver is one row per wanted rank.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.window import Window
 
-LARGEST_REPORT = 20_000  # rows of (group, column); quantiles per group are for reports
+GROUPS_AT_ONCE = 5_000  # groups whose ranges the driver holds at the same time
 
 
 def long_values(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
@@ -37,20 +40,20 @@ class _Range:
         self.ranks = ranks  # {rank within the range: rank within the column}
 
 
-def _whole_ranges(df: DataFrame, columns: list[str], by: tuple[str, ...]) -> list[_Range]:
-    """Rows, lowest and highest value of each group and column; one wide aggregate."""
+def _whole_ranges(df: DataFrame, columns: list[str], by: tuple[str, ...]) -> Iterator[list[_Range]]:
+    """Rows, lowest and highest value of each group and column, some groups at a time; one wide aggregate."""
     wide = []
     for i, c in enumerate(columns):
         known = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
         wide += [F.count(known).alias(f"rows{i}"), F.min(known).alias(f"lo{i}"), F.max(known).alias(f"hi{i}")]
-    groups = df.groupBy(*by).agg(*wide).limit(LARGEST_REPORT + 1).collect()
-    if len(groups) * len(columns) > LARGEST_REPORT:
-        raise ValueError(f"more than {LARGEST_REPORT} groups; use percentile() in a groupBy for key columns")
-    ranges = [_Range((*(g[c] for c in by), name), g[f"lo{i}"], g[f"hi{i}"], g[f"rows{i}"], {})
-              for g in groups for i, name in enumerate(columns) if g[f"rows{i}"]]
-    if any(math.isinf(r.lo) or math.isinf(r.hi) for r in ranges):
-        raise ValueError("infinite values have no interpolated quantile")
-    return ranges
+    groups = df.groupBy(*by).agg(*wide)
+    groups = iter(groups.toLocalIterator() if by else groups.collect())
+    while some := list(islice(groups, GROUPS_AT_ONCE)):
+        ranges = [_Range((*(g[c] for c in by), name), g[f"lo{i}"], g[f"hi{i}"], g[f"rows{i}"], {})
+                  for g in some for i, name in enumerate(columns) if g[f"rows{i}"]]
+        if any(math.isinf(r.lo) or math.isinf(r.hi) for r in ranges):
+            raise ValueError("infinite values have no interpolated quantile")
+        yield ranges
 
 
 def _frame(spark, schema, rows):
@@ -72,7 +75,7 @@ def _members(values: DataFrame, ranges: list[_Range], by: tuple[str, ...]) -> Da
     condition = inside
     for part in same_key:
         condition = part & condition
-    # at most one range per wanted rank, see LARGEST_REPORT
+    # at most one range per wanted rank of the groups at hand, see GROUPS_AT_ONCE
     return values.filter(F.col("value").between(lowest, highest)).join(F.broadcast(table), condition)
 
 
@@ -112,10 +115,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
                     by: tuple[str, ...] = (), gather_rows: int = 50_000, bins: int = 2048) -> DataFrame:
     """Quantiles with linear interpolation: ``by..., column, rows, probability, quantile``.
 
-    Nulls and NaN do not count. ``by`` must be a report grouping, not a key of the data.
+    Nulls and NaN do not count. Groups are worked off in bounded lots, so any number of them is possible; ``by``
+    is meant for report groupings, since each lot reads the column anew.
     """
     values = long_values(df, columns, by)
-    ranges = _whole_ranges(df, columns, by)
+    schema = T.StructType([values.schema[c] for c in (*by, "column")]
+                          + [T.StructField("rows", T.LongType()), T.StructField("probability", T.DoubleType()),
+                             T.StructField("quantile", T.DoubleType())])
+    lots = [_frame(df.sparkSession, schema, _quantiles_of(values, ranges, probabilities, by, gather_rows, bins))
+            for ranges in _whole_ranges(df, columns, by)]
+    return reduce(DataFrame.unionByName, lots) if lots else _frame(df.sparkSession, schema, [])
+
+
+def _quantiles_of(values: DataFrame, ranges: list[_Range], probabilities: list[float], by: tuple[str, ...],
+                  gather_rows: int, bins: int) -> list[tuple]:
     for r in ranges:
         last = r.rows - 1
         ranks = {int(rank) for p in probabilities for rank in (math.floor(p * last), math.ceil(p * last))}
@@ -139,10 +152,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
             place = p * (rows - 1)
             low, high = at_rank[key, math.floor(place)], at_rank[key, math.ceil(place)]
             out.append((*key, rows, float(p), low + (high - low) * (place - math.floor(place))))
-    schema = T.StructType([values.schema[c] for c in (*by, "column")]
-                          + [T.StructField("rows", T.LongType()), T.StructField("probability", T.DoubleType()),
-                             T.StructField("quantile", T.DoubleType())])
-    return _frame(df.sparkSession, schema, out)
+    return out
 
 
 def column_quantiles(df: DataFrame, column: str, probabilities: list[float], **options) -> list[float]:

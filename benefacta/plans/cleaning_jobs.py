@@ -56,17 +56,22 @@ def accepted(cleaned: DataFrame) -> DataFrame:
     return cleaned.filter(F.col("row_status") == "ok")
 
 
+def _with_date_status(raw: DataFrame, layout) -> DataFrame:
+    """Every row, typed, with ``row_status``: ``ok``, or ``text_date`` for words in a date column (null there)."""
+    columns = [f.name for f in layout if f.kind == "date"]
+    tagged = raw.withColumn("_text_date", _text_in_dates(layout, columns))
+    typed = cleaning.conform(tagged, [*layout, schemas.Field("_text_date", "", "_text_date", "bool")], dates.DAY_FIRST)
+    return typed.withColumn("row_status", F.when(F.col("_text_date"), "text_date").otherwise("ok")).drop("_text_date")
+
+
 def clean_transactions(raw: DataFrame) -> DataFrame:
-    """Typed transactions; dates are day first, amounts have a decimal comma."""
-    columns = [f.name for f in schemas.TRANSACTIONS if f.kind == "date"]
-    kept = raw.filter(~_text_in_dates(schemas.TRANSACTIONS, columns))
-    return cleaning.conform(kept, schemas.TRANSACTIONS, dates.DAY_FIRST)
+    """Every transaction, typed, with ``row_status``; dates are day first, amounts have a decimal comma."""
+    return _with_date_status(raw, schemas.TRANSACTIONS)
 
 
 def clean_cancellations(raw: DataFrame) -> DataFrame:
-    columns = [f.name for f in schemas.CANCELLATIONS if f.kind == "date"]
-    kept = raw.filter(~_text_in_dates(schemas.CANCELLATIONS, columns))
-    return cleaning.conform(kept, schemas.CANCELLATIONS, dates.DAY_FIRST)
+    """Every cancellation, typed, with ``row_status``."""
+    return _with_date_status(raw, schemas.CANCELLATIONS)
 
 
 def write_clean_donors(cleaned: DataFrame, good: str, new: str, age_errors: str) -> None:

@@ -36,6 +36,18 @@ def hierarchical_experiment(table: DataFrame, clusters: int = 4) -> DataFrame:
     return clustering.hierarchical_segments(normal, MIXED_NUMERIC, MIXED_CATEGORICAL, clusters)
 
 
+def run_record(fitted: clustering.Segmentation, columns: list[str], run_id: str, **parameters) -> DataFrame:
+    """Everything a run leaves behind: parameters (``clusters``, ``variables`` and those given), run-level scores
+    (``best_k``, ``n_clusters``, ``silhouette``) and the profile of each cluster."""
+    vectors = fitted.model.transform(fitted.labelled.drop("cluster"))
+    scores = {"best_k": fitted.k, "n_clusters": len(fitted.model.stages[-1].clusterCenters()),
+              "silhouette": clustering.silhouette(vectors)}
+    scores |= {f"silhouette_k{k}": s for k, s in fitted.scores}
+    run = quality.run_metrics(fitted.labelled.sparkSession, run_id,
+                              {"clusters": fitted.k, "variables": ", ".join(columns), **parameters}, scores)
+    return run.unionByName(profile_metrics(fitted.labelled, columns, run_id), allowMissingColumns=True)
+
+
 def profile_metrics(labelled: DataFrame, features: list[str], run_id: str) -> DataFrame:
     """Size, share and means per cluster in the long form of the metrics sink."""
     return quality.cluster_metrics(quality.cluster_profile(labelled, features), run_id)

@@ -10,10 +10,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators import features, outliers
+from ..operators import features, outliers, reduction
 from ..session import materialise
 from ..sources import readers, registry, schemas, sinks
-from . import cleaning_jobs, lifetime, segmentation
+from . import cleaning_jobs, experiments, lifetime, segmentation
 
 # Tables between the jobs, below the output folder, as parquet with this package's column names.
 TABLES = ("donors", "transactions", "cancellations", "lifetime_value", "segments")
@@ -23,8 +23,13 @@ def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out.rstrip('/')}/{name}")
 
 
+def _transactions(spark: SparkSession, out: str) -> DataFrame:
+    """The accepted transactions; the filter prunes the stored folders."""
+    return cleaning_jobs.accepted(_table(spark, out, "transactions")).drop("row_status")
+
+
 def run_cleaning(spark: SparkSession, root: str, out: str, as_of: dt.date) -> None:
-    """Clean the three client files; donors are stored by row status, transactions by stage."""
+    """Clean the three client files; all rows are stored, by row status, transactions also by stage."""
     def staged(name):
         return materialise(registry.load(spark, name, root), f"{name}-raw")
 
@@ -32,9 +37,9 @@ def run_cleaning(spark: SparkSession, root: str, out: str, as_of: dt.date) -> No
     sinks.write_table(donors, f"{out}/donors", ("row_status",))
     # each of the others is one narrow pass, so the text is read directly
     transactions = cleaning_jobs.clean_transactions(registry.load(spark, "transactions", root))
-    sinks.write_table(transactions, f"{out}/transactions", ("stage",))
+    sinks.write_table(transactions, f"{out}/transactions", ("row_status", "stage"))
     cancellations = cleaning_jobs.clean_cancellations(registry.load(spark, "cancellations", root))
-    sinks.write_table(cancellations, f"{out}/cancellations")
+    sinks.write_table(cancellations, f"{out}/cancellations", ("row_status",))
 
 
 def export_cleaned(spark: SparkSession, out: str, csv_root: str) -> None:
@@ -47,30 +52,33 @@ def export_cleaned(spark: SparkSession, out: str, csv_root: str) -> None:
                        ("donors_age_errors", F.col("age_was_error") & (F.col("row_status") != "text_date"))):
         part = donors.filter(rows).select(*[f.name for f in schemas.DONORS])
         sinks.write_csv(part, target(name), schemas.DONORS)
-    transactions = _table(spark, out, "transactions").select(*[f.name for f in schemas.TRANSACTIONS])
-    sinks.write_csv(transactions, target("transactions_clean"), schemas.TRANSACTIONS)
-    sinks.write_csv(_table(spark, out, "cancellations"), target("cancellations_clean"), schemas.CANCELLATIONS)
+    for name, table, layout in (("transactions_clean", "transactions", schemas.TRANSACTIONS),
+                                ("cancellations_clean", "cancellations", schemas.CANCELLATIONS)):
+        rows = cleaning_jobs.accepted(_table(spark, out, table))
+        sinks.write_csv(rows.select(*[f.name for f in layout]), target(name), layout)
 
 
 def run_lifetime_value(spark: SparkSession, out: str, inflation_export: str, as_of: dt.date) -> None:
     """Lifetime values of the accepted donors; the stage filter prunes the stored transactions."""
     donors = cleaning_jobs.accepted(_table(spark, out, "donors"))
     monthly = readers.read_inflation_export(spark, inflation_export)
-    values = lifetime.donor_lifetime_value(donors, _table(spark, out, "transactions"), monthly, as_of)
+    values = lifetime.donor_lifetime_value(donors, _transactions(spark, out), monthly, as_of)
     sinks.write_table(values, f"{out}/lifetime_value")
 
 
 def segmentation_table(spark: SparkSession, out: str) -> DataFrame:
     donors = cleaning_jobs.accepted(_table(spark, out, "donors"))
-    values = features.donor_features(_table(spark, out, "lifetime_value"), _table(spark, out, "transactions"))
+    values = features.donor_features(_table(spark, out, "lifetime_value"), _transactions(spark, out))
     return features.segmentation_input(values, donors)
 
 
 def run_training(spark: SparkSession, out: str, version: str, k: int | None = None, restarts: int = 10) -> str:
-    """Train, label all donors, store the labels and the model; returns the path of the model."""
+    """Train, label all donors, store the labels, the run's metrics and the model; returns the path of the model."""
     training = segmentation.train_segments(segmentation_table(spark, out), k=k, restarts=restarts)
     donors = cleaning_jobs.accepted(_table(spark, out, "donors"))
     sinks.write_table(segmentation.with_segments(donors, training.labelled), f"{out}/segments")
+    record = experiments.run_record(training, segmentation.FEATURES, version, restarts=restarts)
+    sinks.append_metrics(record, f"{out}/metrics", "training")
     return sinks.save_model(training.model, f"{out}/models", version)
 
 
@@ -86,6 +94,19 @@ def run_assignment(spark: SparkSession, out: str, model_path: str) -> DataFrame:
     return _table(spark, out, "segments")
 
 
+def run_experiments(spark: SparkSession, out: str, run_id: str) -> None:
+    """K-means on the stored lifetime values, and the same on component scores; their records go to the metrics."""
+    values = _table(spark, out, "lifetime_value")
+    fitted = experiments.kmeans_experiment(values)
+    sinks.append_metrics(experiments.run_record(fitted, experiments.KMEANS_COLUMNS, run_id), f"{out}/metrics", "kmeans")
+    donors = cleaning_jobs.accepted(_table(spark, out, "donors"))
+    table = features.experiment_table(lifetime.with_instalment_averages(values, donors), donors, _transactions(spark, out))
+    fitted = experiments.pca_experiment(table)
+    names = list(reduction.SCORE_NAMES)
+    record = experiments.run_record(fitted, names, run_id, n_components=len(names))
+    sinks.append_metrics(record, f"{out}/metrics", "pca")
+
+
 def split_values(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """Stored lifetime values without and with outliers."""
     return outliers.split_outliers(_table(spark, out, "lifetime_value"), "dltv")

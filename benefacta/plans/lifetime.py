@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..functions import numbers
-from ..operators import cleaning
+from ..operators import cleaning, joins
+from ..session import materialise
 
 
 def inflation_yearly(monthly: DataFrame) -> DataFrame:
@@ -35,14 +36,17 @@ def inflation_factors(years: DataFrame, inflation: DataFrame, as_of: dt.date) ->
 def present_value_history(donations: DataFrame, inflation: DataFrame, as_of: dt.date) -> DataFrame:
     """``donor_id, total_value, first_year`` of donations with a ``tx_year``.
 
-    One aggregate by donor with partial sums before the shuffle; the yearly factors are broadcast
-    (one row per calendar year).
+    The donations are read once, into exact sums per donor and year; years, factors and totals follow
+    from that stored table. The yearly factors are broadcast (one row per calendar year). A donor's years
+    are added up in their order, so the last digits do not depend on the partitioning.
     """
-    years = donations.select(F.col("tx_year").alias("year"))
-    factors = inflation_factors(years, inflation, as_of)
-    valued = donations.join(F.broadcast(factors), F.col("tx_year") == F.col("year"))
+    yearly = materialise(yearly_donations(donations), "yearly-donations")
+    factors = inflation_factors(yearly.select(F.col("tx_year").alias("year")), inflation, as_of)
+    valued = yearly.join(F.broadcast(factors), F.col("tx_year") == F.col("year"))
+    value = F.struct("tx_year", (F.col("amount").cast("double") * F.col("factor")).alias("value"))
     return valued.groupBy("donor_id").agg(
-        F.sum(F.col("amount") * F.col("factor")).alias("total_value"),
+        F.aggregate(F.array_sort(F.collect_list(value)), F.lit(0.0), lambda total, v: total + F.coalesce(
+            v["value"], F.lit(0.0))).alias("total_value"),
         F.min("tx_year").alias("first_year"),
     )
 
@@ -57,11 +61,18 @@ def yearly_donations(donations: DataFrame) -> DataFrame:
 
 
 def yearly_donations_pivot(donations: DataFrame, years: list[int]) -> DataFrame:
-    """One column per given year, 0 where the donor gave nothing; conditional sums, one shuffle."""
+    """One column per given year, 0 where the donor gave nothing, and ``other_years`` for all the rest.
+
+    Conditional sums, one shuffle; the long form with every year is ``yearly_donations``.
+    """
     amount = numbers.money(F.col("amount"))
-    sums = [F.coalesce(F.sum(F.when(F.col("tx_year") == y, amount)), F.lit(0)).cast("double").alias(f"y{y}")
-            for y in years]
-    return donations.groupBy("donor_id").agg(*sums)
+
+    def total(condition, name):
+        return F.coalesce(F.sum(F.when(condition, amount)), F.lit(0)).cast("double").alias(name)
+
+    listed = F.coalesce(F.col("tx_year").isin(*years), F.lit(False))
+    return donations.groupBy("donor_id").agg(
+        *[total(F.col("tx_year") == y, f"y{y}") for y in years], total(~listed, "other_years"))
 
 
 def lifespan(donors: DataFrame) -> DataFrame:
@@ -84,7 +95,7 @@ def donor_lifetime_value(donors: DataFrame, transactions: DataFrame, inflation_m
     history = present_value_history(donations, inflation, as_of)
     active, _ = cleaning.split_active(lifespan(donors))
     tenure = F.lit(as_of.year) - F.col("first_year")
-    joined = history.join(active.select("donor_id", "lifespan", "age", "churn_max"), "donor_id")
+    joined = history.join(joins.unique(active.select("donor_id", "lifespan", "age", "churn_max"), "donor_id"), "donor_id")
     valued = joined.withColumns({
         "tenure_years": tenure,
         "yearly_average": F.try_divide(F.col("total_value"), tenure + 1),
@@ -97,7 +108,7 @@ def donor_lifetime_value(donors: DataFrame, transactions: DataFrame, inflation_m
 
 def with_instalment_averages(values: DataFrame, donors: DataFrame) -> DataFrame:
     """Add paid and unpaid instalments per year of tenure, as the experiments expect them."""
-    counts = donors.select("donor_id", "instalments_paid", "instalments_unpaid")
+    counts = joins.unique(donors.select("donor_id", "instalments_paid", "instalments_unpaid"), "donor_id")
     years = F.col("tenure_years") + 1
     return (values.join(counts, "donor_id", "left")
             .withColumns({"avg_paid": F.try_divide(F.col("instalments_paid"), years),

@@ -52,7 +52,7 @@ def label_donors(coded: DataFrame, new_donors: DataFrame | None = None) -> DataF
     if new_donors is None:
         return out
     out = joins.mark_members(out, new_donors, "donor_id", "segment", NEW_DONOR)
-    missing = new_donors.join(coded.select("donor_id"), "donor_id", "left_anti")
+    missing = new_donors.dropDuplicates(["donor_id"]).join(coded.select("donor_id"), "donor_id", "left_anti")
     return out.unionByName(missing.withColumn("segment", F.lit(NEW_DONOR)), allowMissingColumns=True)
 
 

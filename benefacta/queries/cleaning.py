@@ -49,13 +49,14 @@ SELECT CAST(donor_id AS BIGINT) AS donor_id, CAST(birth_date AS DATE) AS birth_d
        CAST(try_strptime(payment_anniversary, '%Y-%m-%d') AS DATE) AS payment_anniversary,
        CAST(age AS INT) AS age, TRY_CAST(children AS INT) AS children,
        TRY_CAST(churn_prob AS DOUBLE) AS churn_prob, TRY_CAST(lapsed_prob AS DOUBLE) AS lapsed_prob,
+       CASE has_children WHEN 'Si' THEN true WHEN 'No' THEN false END AS has_children,
        is_active = '1' AS is_active, contact_type, gender, marital_status, occupation, rfm_segment,
        CAST(instalments_paid AS INT) AS instalments_paid,
        CAST(trunc(CAST(instalments_unpaid AS DOUBLE)) AS INT) AS instalments_unpaid, campaign, city, department,
        CAST(current_amount AS DOUBLE) AS current_amount
 FROM donor_file""")
 def _(t):
-    return cleaning.conform(raw_file(t.donor_file, schemas.DONORS), schemas.DONORS, dates.MONTH_FIRST).drop("has_children")
+    return cleaning.conform(raw_file(t.donor_file, schemas.DONORS), schemas.DONORS, dates.MONTH_FIRST)
 
 
 @query("active_donors", "SELECT donor_id, is_active FROM donors")
@@ -162,6 +163,12 @@ def _(t):
     return t.donors_raw.select("psn", text.decimal_comma(F.col("amount_text")).alias("amount"))
 
 
+# The letters of Latin-1 that lose a mark, written down apart from the code: one string of marked letters per plain one.
+_BARE = {"A": "ÀÁÂÃÄÅ", "C": "Ç", "E": "ÈÉÊË", "I": "ÌÍÎÏ", "D": "Ð", "N": "Ñ", "O": "ÒÓÔÕÖØ", "U": "ÙÚÛÜ", "Y": "ÝŸ",
+         "a": "àáâãäå", "c": "ç", "e": "èéêë", "i": "ìíîï", "d": "ð", "n": "ñ", "o": "òóôõöø", "u": "ùúûü", "y": "ýÿ",
+         "x": "×", "/": "÷"}
+
+
 # A word counts if its whole run of letters, digits and underscores consists of Latin-1 letters.
 _WORDS = r"""list_filter(regexp_extract_all(text, '[\p{L}\p{N}_]+'), lambda w: regexp_full_match(w, '[A-Za-zÀ-ÖØ-öø-ÿ]+'))"""
 _TITLED = f"array_to_string(list_transform({_WORDS}, lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(w[2:])), ' ')"
@@ -176,7 +183,9 @@ _PAIRS = [("Æ", "AE"), ("æ", "ae"), ("Þ", "Th"), ("þ", "th"), ("ß", "ss")]
 
 
 def _plain_sql(col: str) -> str:
-    out = f"translate({col}, '{text.MARKED}', '{text.PLAIN}')"
+    out = col
+    for bare, marked in _BARE.items():
+        out = f"regexp_replace({out}, '[{marked}]', '{bare}', 'g')"
     for letter, pair in _PAIRS:
         out = f"replace({out}, '{letter}', '{pair}')"
     return out
@@ -252,16 +261,18 @@ def _day_first(col):
 SELECT CAST(donor_id AS BIGINT) AS donor_id, {_day_first('tx_date')}, {_day_first('booking_date')},
        {_day_first('first_charge')}, {_day_first('last_donation')},
        TRY_CAST(replace(amount, ',', '.') AS DOUBLE) AS amount, stage, campaign_channel, status, commitment,
-       payment_method, record_type
-FROM transaction_file WHERE NOT regexp_matches(tx_date, '[A-Za-z]')""")
+       payment_method, record_type,
+       CASE WHEN regexp_matches(tx_date, '[A-Za-z]') THEN 'text_date' ELSE 'ok' END AS row_status
+FROM transaction_file""")
 def _(t):
     return cleaning_jobs.clean_transactions(raw_file(t.transaction_file, schemas.TRANSACTIONS))
 
 
 @query("clean_cancellations", f"""
 SELECT CAST(donor_id AS BIGINT) AS donor_id, {_day_first('cancel_date')}, {_day_first('first_charge')},
-       {_day_first('last_donation')}, reason, status
-FROM cancellation_file WHERE NOT regexp_matches(cancel_date, '[A-Za-z]')""")
+       {_day_first('last_donation')}, reason, status,
+       CASE WHEN regexp_matches(cancel_date, '[A-Za-z]') THEN 'text_date' ELSE 'ok' END AS row_status
+FROM cancellation_file""")
 def _(t):
     return cleaning_jobs.clean_cancellations(raw_file(t.cancellation_file, schemas.CANCELLATIONS))
 

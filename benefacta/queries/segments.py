@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import dates
 from ..operators import cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring
 from ..plans import experiments, lifetime, segmentation
-from ..session import materialise
+from ..session import fresh_path, materialise
 from ..streaming.scoring import score_available
 from .inputs import AS_OF
 from .registry import query
@@ -48,6 +48,8 @@ coded AS (SELECT donor_id, first(code ORDER BY d, code) AS cluster
   FROM (SELECT donor_id, code, (a - x) * (a - x) + (b - y) * (b - y) + (c - z) * (c - z) AS d FROM scaled CROSS JOIN centroids)
   GROUP BY donor_id)"""
 
+TABLE_SQL, NEAREST_SQL = _TABLE, _NEAREST  # for other modules
+
 
 def donor_table(t):
     return features.donor_features(lifetime_table(t), t.transactions)
@@ -100,38 +102,52 @@ def _(t):
 @query("score_stream", f"WITH {_SCORED}")
 def _(t):
     scored = score_available(t.spark, t.folder, "events.parquet", lambda events: t.view("requests", events=events),
-                             SERVICE_CENTROIDS)
+                             SERVICE_CENTROIDS, fresh_path(t.spark, "scores"), fresh_path(t.spark, "scores-progress"))
     return scored.drop("errors")
 
 
+DIMENSIONS = 64  # of the embeddings
+
+
+def embedding_columns(t):
+    return t.embeddings.select(F.col("label").alias("cluster"), *[
+        F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(DIMENSIONS)])
+
+
 @query("cluster_profile", """
-SELECT label AS cluster, count(*) AS size, round(avg(embedding[1]), 6) AS mean_x0, round(avg(embedding[2]), 6) AS mean_x1,
+SELECT label AS cluster, count(*) AS size, """ + ", ".join(f"round(avg(embedding[{i + 1}]), 5) AS mean_x{i}" for i in range(DIMENSIONS)) + """,
        round(count(*) / (SELECT count(*) FROM embeddings), 8) AS share FROM embeddings GROUP BY label""")
 def _(t):
-    frame = t.embeddings.select(F.col("label").alias("cluster"), *[
-        F.col("embedding")[i].cast("double").alias(f"x{i}") for i in (0, 1)])
-    profile = quality.cluster_profile(frame, ["x0", "x1"])
-    return profile.withColumns({"mean_x0": F.round("mean_x0", 6), "mean_x1": F.round("mean_x1", 6),
-                                "share": F.round("share", 8)})
+    names = [f"x{i}" for i in range(DIMENSIONS)]
+    profile = quality.cluster_profile(embedding_columns(t), names)
+    return profile.withColumns({f"mean_{x}": F.round(f"mean_{x}", 5) for x in names} | {"share": F.round("share", 8)})
 
 
 @query("cluster_metrics_long", """WITH p AS (
-  SELECT label AS cluster, CAST(count(*) AS DOUBLE) AS size, avg(embedding[1]) AS mean_x0,
-         count(*) / (SELECT count(*) FROM embeddings) AS share FROM embeddings GROUP BY label)
-SELECT 'run' AS run_id, cluster, 'size' AS metric, round(size, 6) AS value FROM p
-UNION ALL SELECT 'run', cluster, 'mean_x0', round(mean_x0, 6) FROM p
-UNION ALL SELECT 'run', cluster, 'share', round(share, 6) FROM p""")
+  SELECT label AS cluster, CAST(count(*) AS DOUBLE) AS size, count(*) / (SELECT count(*) FROM embeddings) AS share FROM embeddings GROUP BY label),
+m AS (SELECT label AS cluster, i, avg(embedding[i + 1]) AS mean FROM embeddings, range(64) AS r(i) GROUP BY 1, 2)
+SELECT 'run' AS run_id, cluster, 'size' AS metric, round(size, 5) AS value FROM p
+UNION ALL SELECT 'run', cluster, 'mean_x' || i, round(mean, 5) FROM m
+UNION ALL SELECT 'run', cluster, 'share', round(share, 5) FROM p""")
 def _(t):
-    frame = t.embeddings.select(F.col("label").alias("cluster"), F.col("embedding")[0].cast("double").alias("x0"))
-    return experiments.profile_metrics(frame, ["x0"], "run").withColumn("value", F.round("value", 6))
+    return experiments.profile_metrics(embedding_columns(t), [f"x{i}" for i in range(DIMENSIONS)], "run").withColumn(
+        "value", F.round("value", 5))
 
 
 _KINDS = {"DI - Regular": "regular", "PF - Padrinazgo familiar": "family", "PI - Padrinazgo individual": "individual",
-          "Unica": "single", "Evento": "event"}
+          "Unica": "single"}  # other channels, such as Evento, go to other
+
+
+@query("cluster_categories", f"""WITH {CHANNELS_SQL}
+SELECT gender AS cluster, main_channel AS category, count(*) AS n FROM donors JOIN channels USING (donor_id) GROUP BY 1, 2""")
+def _(t):
+    table = t.donors.join(features.donor_channels(t.transactions), "donor_id")
+    return quality.cluster_categories(table.withColumn("cluster", F.col("gender")), "main_channel")
 
 
 @query("cluster_category_counts", f"""WITH {CHANNELS_SQL}
-SELECT gender AS cluster, {", ".join(f"count(*) FILTER (main_channel = '{k}') AS {v}" for k, v in _KINDS.items())}
+SELECT gender AS cluster, {", ".join(f"count(*) FILTER (main_channel = '{k}') AS {v}" for k, v in _KINDS.items())},
+       count(*) FILTER (main_channel NOT IN {tuple(_KINDS)}) AS other
 FROM donors JOIN channels USING (donor_id) GROUP BY gender""")
 def _(t):
     table = t.donors.join(features.donor_channels(t.transactions), "donor_id")
@@ -160,9 +176,10 @@ def _(t):
 
 
 _MIXED_SQL = f"""{LFV_SQL}, {CHANNELS_SQL},
-mixed AS (SELECT lfv.donor_id, dltv, lfv.age, instalments_paid / (tenure_years + 1) AS avg_paid,
-                 instalments_unpaid / (tenure_years + 1) AS avg_unpaid, gender, main_channel
+mixed AS (SELECT lfv.donor_id, dltv, lfv.age, churn_max, instalments_paid / (tenure_years + 1) AS avg_paid,
+                 instalments_unpaid / (tenure_years + 1) AS avg_unpaid, gender, main_channel, channels
   FROM lfv JOIN donors USING (donor_id) LEFT JOIN channels USING (donor_id))"""
+MIXED_SQL = _MIXED_SQL.removeprefix(f"{LFV_SQL}, ")
 _NUMERIC = experiments.MIXED_NUMERIC
 _CATEGORICAL = experiments.MIXED_CATEGORICAL
 
@@ -201,6 +218,8 @@ _PROTOTYPES_SQL = "protos AS (SELECT * FROM (VALUES " + ", ".join(
     f"({code}, {p['dltv']}, {p['age']}, {p['avg_paid']}, {p['avg_unpaid']}, '{p['gender']}', '{p['main_channel']}')"
     for code, p in PROTOTYPES.items()) + ") AS p(prototype, dltv, age, avg_paid, avg_unpaid, gender, main_channel))"
 
+PROTOTYPES_SQL = _PROTOTYPES_SQL
+
 
 @query("gower_to_prototypes", f"""WITH {_MIXED_SQL}, {_GOWER_KEYS.format('known')}, {_PROTOTYPES_SQL}
 SELECT k.donor_id, CAST(p.prototype AS INT) AS prototype, round({_GOWER.format(a='k', b='p')}, 6) AS distance
@@ -211,7 +230,7 @@ def _(t):
         "distance", F.round("distance", 6))
 
 
-# Iterative fits: no SQL twin.
+# Iterative fits: no SQL twin; ``fits`` has what SQL can say about them.
 
 @query("kmeans_segments")
 def _(t):
@@ -221,7 +240,7 @@ def _(t):
 @query("kmeans_embeddings")
 def _(t):
     frame = t.embeddings.select("vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(64)])
-    fitted = clustering.segment(frame, [f"x{i}" for i in range(64)], k=10, restarts=3)
+    fitted = clustering.segment(frame, [f"x{i}" for i in range(64)], k=10)
     return fitted.labelled.select("vec_id", "cluster")
 
 
@@ -230,8 +249,10 @@ def _(t):
     table = materialise(scoring.drop_null_features(segmentation_table(t), segmentation.FEATURES), "training-table")
     vectors, _stages = clustering.scaled_vectors(table, segmentation.FEATURES)
     vectors = vectors.persist()
-    scores = clustering.k_scores(vectors)
-    vectors.unpersist()
+    try:
+        scores = clustering.k_scores(vectors)
+    finally:
+        vectors.unpersist()
     best = clustering.pick_k(scores)
     return t.spark.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette double, chosen boolean")
 
@@ -245,7 +266,7 @@ def _(t):
 
 @query("segment_importance")
 def _(t):
-    training = segmentation.train_segments(segmentation_table(t), k=5, restarts=1)
+    training = segmentation.train_segments(segmentation_table(t), k=5)
     return quality.segment_importance(training.labelled, segmentation.FEATURES, "donor_id")
 
 

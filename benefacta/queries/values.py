@@ -20,8 +20,9 @@ growth AS (SELECT d.y, CASE WHEN d.y = 2001 THEN 1.0 ELSE 1 + r.rate END AS g
            FROM (SELECT DISTINCT y FROM reg) d LEFT JOIN rates r ON r.year = d.y),
 factors AS (SELECT a.y, product(b.g) AS factor FROM growth a JOIN growth b ON b.y >= a.y GROUP BY a.y)"""
 _HISTORY = f"""{_FACTORS},
-history AS (SELECT donor_id, sum(amount * factor) AS total_value, min(reg.y) AS first_year
-            FROM reg JOIN factors ON reg.y = factors.y GROUP BY donor_id)"""
+yearly AS (SELECT donor_id, y, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS given FROM reg GROUP BY 1, 2),
+history AS (SELECT donor_id, sum(given * factor ORDER BY yearly.y) AS total_value, min(yearly.y) AS first_year
+            FROM yearly JOIN factors ON yearly.y = factors.y GROUP BY donor_id)"""
 _LIFE = """life AS (SELECT donor_id, age, is_active, risk AS churn_max,
          CASE WHEN 100.0 / risk + age > 90 THEN CAST(90 - age AS DOUBLE) ELSE 100.0 / risk END AS lifespan
   FROM (SELECT *, CASE WHEN churn_prob IS NULL THEN coalesce(lapsed_prob, 0)
@@ -90,11 +91,12 @@ def _(t):
     return lifetime.yearly_donations(regular_collected(t)).withColumn("amount", F.col("amount").cast("double"))
 
 
-YEARS = list(range(1995, 2002))
+YEARS = list(range(1996, 2002))  # earlier years go to other_years
 
 
 @query("yearly_donations_pivot", f"WITH {_REG} SELECT donor_id, " + ", ".join(
     f"CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (y = {y}), 0) AS DOUBLE) AS y{y}" for y in YEARS)
+       + ", CAST(coalesce(sum(CAST(amount AS DECIMAL(18,2))) FILTER (y NOT BETWEEN 1996 AND 2001), 0) AS DOUBLE) AS other_years"
        + " FROM reg GROUP BY donor_id")
 def _(t):
     return lifetime.yearly_donations_pivot(regular_collected(t), YEARS)
@@ -182,22 +184,31 @@ def _(t):
 
 
 KINDS = {"DI - Regular": "regular", "PF - Padrinazgo familiar": "family", "PI - Padrinazgo individual": "individual",
-         "Unica": "single", "Evento": "event"}
+         "Unica": "single"}  # other kinds, such as Evento, go to other
 
 
 @query("channel_counts_pivot", "SELECT donor_id, " + ", ".join(
     f"count(amount) FILTER (record_type = '{kind}') AS {name}" for kind, name in KINDS.items())
-       + " FROM transactions GROUP BY donor_id")
+       + f", count(amount) FILTER (record_type NOT IN {tuple(KINDS)}) AS other FROM transactions GROUP BY donor_id")
 def _(t):
     return features.count_pivot(t.transactions, "donor_id", "record_type", KINDS)
 
 
+@query("channel_counts", "SELECT donor_id, record_type AS category, count(amount) AS n FROM transactions GROUP BY 1, 2")
+def _(t):
+    return features.category_counts(t.transactions, "donor_id", "record_type")
+
+
 @query("stage_counts_pivot", "SELECT donor_id, " + ", ".join(
-    f"count(amount) FILTER (stage = '{s}') AS {s.lower()}" for s in ("Cobrada", "Perdida", "Eliminada"))
-       + " FROM transactions GROUP BY donor_id")
+    f"count(amount) FILTER (stage = '{s}') AS {s.lower()}" for s in ("Cobrada", "Perdida"))
+       + ", count(amount) FILTER (stage NOT IN ('Cobrada', 'Perdida')) AS other FROM transactions GROUP BY donor_id")
+def _(t):
+    return features.count_pivot(t.transactions, "donor_id", "stage", {s: s.lower() for s in ("Cobrada", "Perdida")})
+
+
+@query("stage_counts_by_donor", "SELECT donor_id, stage AS category, count(amount) AS n FROM transactions GROUP BY 1, 2")
 def _(t):
-    return features.count_pivot(t.transactions, "donor_id", "stage",
-                                {s: s.lower() for s in ("Cobrada", "Perdida", "Eliminada")})
+    return features.category_counts(t.transactions, "donor_id", "stage")
 
 
 CHANNELS_SQL = """channels AS (SELECT donor_id, count(*) AS channels,

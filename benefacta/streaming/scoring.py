@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.scoring import score_requests
-from ..session import fresh_path
 
 
 def start_scoring(requests: DataFrame, centroids: dict[int, tuple[float, ...]], output: str, checkpoint: str,
@@ -21,12 +20,14 @@ def start_scoring(requests: DataFrame, centroids: dict[int, tuple[float, ...]],
 
 
 def score_available(spark: SparkSession, folder: str, file_glob: str, to_requests: Callable[[DataFrame], DataFrame],
-                    centroids: dict[int, tuple[float, ...]]) -> DataFrame:
-    """Run the stream over the parquet files present now and return what it wrote."""
+                    centroids: dict[int, tuple[float, ...]], output: str, checkpoint: str) -> DataFrame:
+    """Run the stream over the parquet files present now and return all that ``output`` holds.
+
+    A later call with the same ``checkpoint`` scores only the files that have come since.
+    """
     files = f"{folder.rstrip('/')}/{file_glob}"
     schema = spark.read.parquet(files).schema
     arriving = spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
-    output, checkpoint = fresh_path(spark, "scores"), fresh_path(spark, "scores-progress")
     query = start_scoring(to_requests(arriving), centroids, output, checkpoint)
     query.awaitTermination()
     return spark.read.parquet(output)

@@ -108,8 +108,19 @@ def test_clean_transactions(spark):
     records = [dict(donor_id="7", tx_date="03/02/2021", amount="12,5", stage="Cobrada"),
                dict(donor_id="8", tx_date="sin fecha", amount="1"), dict(donor_id="9", tx_date="2021-1-5", amount="1.2.3")]
     out = cleaning_jobs.clean_transactions(raw_frame(spark, schemas.TRANSACTIONS, records)).collect()
-    assert [(r["donor_id"], r["tx_date"], r["amount"]) for r in out] == [
-        (7, dt.date(2021, 2, 3), 12.5), (9, dt.date(2021, 1, 5), None)]
+    assert [(r["donor_id"], r["tx_date"], r["amount"], r["row_status"]) for r in out] == [
+        (7, dt.date(2021, 2, 3), 12.5, "ok"), (8, None, 1.0, "text_date"), (9, dt.date(2021, 1, 5), None, "ok")]
+
+
+def test_clean_cancellations_keeps_rejected_rows(spark):
+    records = [dict(donor_id="7", cancel_date="03/02/2021"), dict(donor_id="8", cancel_date="pendiente"), dict(donor_id="9")]
+    out = cleaning_jobs.clean_cancellations(raw_frame(spark, schemas.CANCELLATIONS, records)).collect()
+    assert [(r["donor_id"], r["row_status"]) for r in out] == [(7, "ok"), (8, "text_date"), (9, "ok")]
+
+
+def test_flag_words(evaluate):
+    words = ["Si", "Sí", " no ", "No", "true", "0", "2", "quizás", None]
+    assert evaluate(words, "string", cleaning.flag) == [True, True, False, False, True, False, True, None, None]
 
 
 @settings(max_examples=5, deadline=None)
@@ -125,19 +136,19 @@ def test_balanced_join_with_hot_keys(spark):
     fact = spark.createDataFrame([(i, 1 if i % 3 else i % 20, i) for i in range(600)] + [(None, None, 0)],
                                  "tx int, k int, v int").select("tx", "k", "v")
     dim = spark.createDataFrame([(k, f"n{k}") for k in range(1, 15)], "k int, name string")
-    hot = joins.hot_keys(fact, "k", share=0.3, least_rows=10)
-    assert hot == [1]
     for how in ("inner", "left"):
         want = sorted(map(str, (tuple(r) for r in fact.join(dim, "k", how).collect())))
-        got = joins.balanced_join(fact, dim, "k", how, ("tx",), salts=4, hot=hot)
+        got = joins.balanced_join(fact, dim, "k", how, ("tx",), salts=4, hot=(1,))
         assert sorted(map(str, (tuple(r) for r in got.collect()))) == want
     with pytest.raises(ValueError):
         joins.balanced_join(fact, dim, "k", "full")
 
 
-def test_hot_keys_ignore_small_tables(spark):
-    fact = spark.createDataFrame([(1,)] * 50, "k int")
-    assert joins.hot_keys(fact, "k") == []
+def test_unique_fails_on_a_repeated_key(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k int, s string")
+    assert sorted(map(str, joins.unique(df, "k").collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(Exception, match="more than one row with k 2"):
+        joins.unique(df.unionByName(df), "k").filter("k = 2").collect()
 
 
 def test_membership(spark):

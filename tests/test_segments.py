@@ -64,9 +64,10 @@ def test_nearest_centroid(spark):
 
 def test_label_donors(spark):
     coded = spark.createDataFrame([(1, "a", 3), (2, "b", 0), (3, "c", None)], "donor_id long, gender string, cluster int")
-    new = spark.createDataFrame([(2,), (9,), (9,)], "donor_id long").distinct()
-    out = {r["donor_id"]: r["segment"] for r in segmentation.label_donors(coded, new).collect()}
-    assert out == {1: "Campeones", 2: labels.NEW_DONOR, 3: labels.UNASSIGNED, 9: labels.NEW_DONOR}
+    new = spark.createDataFrame([(2,), (9,), (9,)], "donor_id long")
+    rows = segmentation.label_donors(coded, new).collect()
+    out = {r["donor_id"]: r["segment"] for r in rows}
+    assert len(rows) == 4 and out == {1: "Campeones", 2: labels.NEW_DONOR, 3: labels.UNASSIGNED, 9: labels.NEW_DONOR}
 
 
 def test_validate_and_score(spark):
@@ -198,7 +199,7 @@ def test_kprototypes_like_by_hand(spark):
     df = spark.createDataFrame([(r["id"], r["x"], r["g"]) for r in records], "id long, x double, g string")
     in_order = [(r["x"], r["g"]) for r in df.orderBy(sampling.sample_order("id", 123)).collect()]
     start = [{"x": x, "g": g} for x, g in list(dict.fromkeys(in_order))[:4]]
-    assert mixed._first_records(df, "id", 4, 123) == mixed._first_records(df, "id", 4, 123, look=3) == start
+    assert mixed._first_records(df, "id", 4, 123) == start
     got = {}
     for parts in (1, 5):
         out = mixed.kprototypes_costs(df.repartition(parts), ["x", "g"], "id", range(2, 5), gamma=30.0).collect()
@@ -213,3 +214,26 @@ def test_hierarchy(spark):
     df = spark.createDataFrame(rows, "id int, x double, g string")
     out = clustering.hierarchical_segments(df, ["x"], ["g"], 4)
     assert out.columns == ["id", "x", "g", "cluster"] and out.select("cluster").distinct().count() == 4
+
+
+def test_more_clusters_than_records_is_an_error(spark):
+    df = spark.createDataFrame([(i, float(i % 3), "a") for i in range(20)], "id long, x double, g string")
+    with pytest.raises(ValueError, match="there are 3"):
+        mixed.kprototypes_costs(df, ["x", "g"], "id", range(2, 5), gamma=1.0)
+
+
+def test_lloyd_step(spark):
+    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (9.0, 1.0), (None, 1.0)], "a double, b double")
+    out = {r["cluster"]: (r["n"], r["a"], r["b"]) for r in clustering.lloyd_step(df, ["a", "b"], {0: (0.0, 0.0), 7: (10.0, 0.0)}).collect()}
+    assert out == {0: (2, 0.5, 0.0), 7: (1, 9.0, 1.0)}
+
+
+def test_run_record(table):
+    from benefacta.plans import experiments
+    fitted = clustering.segment(table.filter("donor_id < 200"), segmentation.FEATURES, restarts=1)
+    rows = experiments.run_record(fitted, segmentation.FEATURES, "r", n_components=3).collect()
+    run = {r["metric"]: r["value"] for r in rows if r["cluster"] is None and r["parameter"] is None}
+    given = {r["metric"]: r["parameter"] for r in rows if r["parameter"] is not None}
+    assert run["best_k"] == run["n_clusters"] == fitted.k and run["silhouette"] == pytest.approx(dict(fitted.scores)[fitted.k], abs=0.05)
+    assert given == {"clusters": str(fitted.k), "variables": "dltv, churn_prob, effectiveness", "n_components": "3"}
+    assert sum(r["value"] for r in rows if r["metric"] == "size") == 200

@@ -93,7 +93,30 @@ def test_materialise_uses_the_shared_folder(spark):
 
 def test_stream_equals_batch(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
-    stream = score_available(spark, t.folder, "events.parquet", lambda e: t.view("requests", events=e), segments.SERVICE_CENTROIDS)
+    stream = score_available(spark, t.folder, "events.parquet", lambda e: t.view("requests", events=e), segments.SERVICE_CENTROIDS,
+                             session.fresh_path(spark, "scores"), session.fresh_path(spark, "progress"))
     from benefacta.operators.scoring import score_requests
     batch = score_requests(t.requests, segments.SERVICE_CENTROIDS)
     assert sorted(map(str, stream.collect())) == sorted(map(str, batch.select(*stream.columns).collect()))
+
+
+def test_a_restarted_stream_goes_on(spark, tmp_path):
+    folder, output, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    columns = "request_id long, churn string, dltv string, effectiveness string"
+    sizes = []
+    for part in ([(1, "0.5", "100", "1"), (2, "n/a", None, "1")], [(3, "0.7", "5", "0")]):
+        spark.createDataFrame(part, columns).coalesce(1).write.mode("append").parquet(folder)
+        out = score_available(spark, folder, "*.parquet", lambda e: e, segments.SERVICE_CENTROIDS, output, progress)
+        sizes.append(sorted(r["request_id"] for r in out.collect()))
+    assert sizes == [[1, 2], [1, 2, 3]]
+
+
+def test_dataset_of_the_data_folder(spark, tmp_path):
+    (tmp_path / "train.csv").write_text("a,b\n1,ñ\n", encoding="utf-8")
+    assert [tuple(r) for r in readers.read_dataset(spark, str(tmp_path), "train.csv").collect()] == [("1", "ñ")]
+
+
+def test_no_machine_local_folder_for_tables(spark):
+    import inspect
+    assert "mkdtemp" not in inspect.getsource(session)
+    assert session.application_folder(spark).startswith(session.shared_folder(spark))
