@@ -11,9 +11,11 @@ Signatures are cut into bands. Texts of one bucket (equal band) are candidates;
 Jaccard similarity, computed from all their runs, reaches the threshold; classes are the components of the links.
 
 1. Exact copies are one text from the start, so copies are never compared.
-2. Each text is compared with the least text of each of its buckets: rows grow with texts, not with pairs.
+2. Each text is compared with one text of each of its buckets, the one that shares most buckets: rows grow with texts,
+   not with pairs.
 3. In buckets whose texts are still in different classes, every pair from different classes is compared by signature, in
-   blocks of bounded size, and pairs that may reach the threshold are verified. No bucket is capped.
+   blocks of bounded size, and pairs that may reach the threshold are verified: where few, by a join; where a pair of blocks
+   has many, within the blocks, which return only links that join classes. No bucket is capped.
 
 Texts of fewer words than ``size``, but not none, have one run. Texts without words are alike only if they are
 equal; a null text is a class of its own. A class is named by its least doc_id; repeated rows are copies.
@@ -38,6 +40,7 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 5
 BLOCK = 256
+DENSE = 8
 _LAYER = np.uint64(0xA0761D6478BD642F)
 _DART = np.uint64(0xE7037ED1A0B428DB)
 _PLACE = np.uint64(0x8EBC6AF09C88C6E3)
@@ -149,10 +152,7 @@ def _verified(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame
             a, b = batch.column(2), batch.column(3)
             keep = []
             for i in range(batch.num_rows):
-                x, y = a[i].values.to_numpy(), b[i].values.to_numpy()
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                same = int((both[1:] == both[:-1]).sum())
-                keep.append(same >= similarity * (len(both) - same))
+                keep.append(_similar(a[i].values.to_numpy(), b[i].values.to_numpy(), similarity))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     known = pairs.join(runs.select(F.col("text_id").alias("b"), F.col("runs").alias("runs_b")), "b")
@@ -160,41 +160,88 @@ def _verified(pairs: DataFrame, runs: DataFrame, similarity: float) -> DataFrame
     return known.select("a", "b", "runs_a", "runs_b").mapInArrow(run, "a long, b long")
 
 
-def _across(members: DataFrame, blocks_of: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Pairs from different classes of a bucket whose signatures allow the wanted similarity.
-
-    All members of a bucket, in blocks, against those outside its largest class, in blocks: a class that
-    fills a bucket is not compared with itself.
-    """
-    least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / k)
-
-    def compare(table: pa.Table) -> pa.Table:
-        side = table.column("outside").to_numpy()
-        ids, classes, n = (table.column(c).to_numpy() for c in ("text_id", "class", "n"))
-        sketch = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, k)
-        left, right = np.flatnonzero(~side), np.flatnonzero(side)
-        out = []
-        for i in right:
-            near = left[(classes[left] != classes[i]) & (np.minimum(n[left], n[i]) >= similarity * np.maximum(n[left], n[i]))]
-            near = near[(sketch[near] == sketch[i]).mean(axis=1) >= least]
-            out.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
-        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
+def _spread(members: DataFrame, blocks_of: DataFrame) -> DataFrame:
+    """Members of mixed buckets, dealt to pairs of blocks ``i``, ``j``: all members by blocks ``i``, against those outside
+    the bucket's largest class by blocks ``j``. A class that fills a bucket is not compared with itself."""
     m = members.join(blocks_of, "band")
+    columns = ["band", "text_id", "class", "n"]
     home = F.pmod(F.xxhash64("text_id"), F.col("n_blocks")).cast("int")
     home_outside = F.pmod(F.xxhash64("text_id"), F.col("n_outside_blocks")).cast("int")
-    columns = ["band", "text_id", "class", "n", "signature"]
     every = m.select(*columns, F.lit(False).alias("outside"), home.alias("i"),
                      F.explode(F.expr("sequence(0, n_outside_blocks - 1)")).alias("j"))
     outside = m.where(F.col("class") != F.col("largest")).select(
         *columns, F.lit(True).alias("outside"), F.explode(F.expr("sequence(0, n_blocks - 1)")).alias("i"),
         home_outside.alias("j"))
-    return (every.unionByName(outside).groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct())
+    return every.unionByName(outside)
+
+
+def _promising(table: pa.Table, k: int, similarity: float):
+    """For each member outside the largest class: its row, and the rows of other classes whose signature and size allow the
+    similarity (5 deviations of the estimate below it)."""
+    least = similarity - 5 * math.sqrt(similarity * (1 - similarity) / k)
+    side = table.column("outside").to_numpy()
+    classes, n = table.column("class").to_numpy(), table.column("n").to_numpy()
+    sketch = table.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, k)
+    left = np.flatnonzero(~side)
+    for i in np.flatnonzero(side):
+        near = left[(classes[left] != classes[i]) & (np.minimum(n[left], n[i]) >= similarity * np.maximum(n[left], n[i]))]
+        yield i, near[(sketch[near] == sketch[i]).mean(axis=1) >= least]
+
+
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted sets of layer keys have the Jaccard similarity."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")
+    same = int((both[1:] == both[:-1]).sum())
+    return same >= similarity * (len(both) - same)
+
+
+def _cross_pairs(spread: DataFrame, k: int, similarity: float, dense: int) -> DataFrame:
+    """Promising pairs ``a``, ``b``; of a pair of blocks with more than ``dense`` of them a member, its key alone."""
+    def compare(table: pa.Table) -> pa.Table:
+        ids, out, total = table.column("text_id").to_numpy(), [np.empty((2, 0), np.int64)], 0
+        for i, near in _promising(table, k, similarity):
+            out.append(np.stack([np.minimum(ids[near], ids[i]), np.maximum(ids[near], ids[i])]))
+            total += len(near)
+            if total > dense * len(ids):
+                key = {c: table.column(c)[:1] for c in ("band", "i", "j")}
+                return pa.table(key | {c: pa.array([None], pa.int64()) for c in ("a", "b")})
+        a, b = np.concatenate(out, axis=1)
+        none = pa.nulls(len(a))
+        return pa.table({"band": none.cast(pa.int64()), "i": none.cast(pa.int32()), "j": none.cast(pa.int32()),
+                         "a": pa.array(a), "b": pa.array(b)})
+
+    return spread.groupBy("band", "i", "j").applyInArrow(compare, "band long, i int, j int, a long, b long").distinct()
+
+
+def _dense_links(spread: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Links of dense pairs of blocks, verified within the block; only those that join what is not joined yet."""
+    def verify(table: pa.Table) -> pa.Table:
+        ids, classes = table.column("text_id").to_numpy(), table.column("class").to_numpy()
+        runs = table.column("runs").combine_chunks()
+        parent = {c: c for c in classes.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        links = []
+        for i, near in _promising(table, k, similarity):
+            for other in near:
+                own, its = root(classes[i]), root(classes[other])
+                if own != its and _similar(runs[i].values.to_numpy(), runs[other].values.to_numpy(), similarity):
+                    parent[own] = its
+                    links.append((ids[other], ids[i]))
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return spread.groupBy("band", "i", "j").applyInArrow(verify, "a long, b long").distinct()
 
 
 def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORDS, similarity: float = SIMILARITY,
-                           bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, filter_bits: int = 25) -> DataFrame:
+                           bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, dense: int = DENSE,
+                           filter_bits: int = 25) -> DataFrame:
     """Each row's ``doc_id``, ``text_id`` (hash of the text) and ``class_id``, the least doc_id of its class."""
     k = bands * rows
     texts = docs.select("doc_id", F.xxhash64(text).alias("text_id"), F.col(text).alias("text"))
@@ -205,10 +252,15 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
     buckets = sketches.where("n > 0").select("text_id", "n", F.explode(F.array(*[
         F.xxhash64(F.lit(b), F.slice("signature", b * rows + 1, rows)) for b in range(bands)])).alias("band")).distinct()
     buckets = materialise(buckets, "buckets")
-    stars = materialise(buckets.groupBy("band").agg(F.min_by("n", "text_id").alias("least_n"), F.min("text_id").alias("a"),
-                                                    F.count("*").alias("size")).where("size > 1"), "stars")
-    comparable = F.least("n", "least_n") >= similarity * F.greatest("n", "least_n")
-    pairs = (buckets.join(stars.select("band", "a", "least_n"), "band").where((F.col("a") != F.col("text_id")) & comparable)
+    sizes = materialise(buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
+    shared = materialise(buckets.join(sizes, "band"), "shared-buckets")
+    # a group of near copies differs less from its origin than from each other; the origin shares most buckets
+    weight = materialise(shared.groupBy("text_id").agg(F.sum("size").alias("weight")), "bucket-weights")
+    pivot = shared.join(weight, "text_id").groupBy("band").agg(
+        F.max(F.struct("weight", "text_id", "n")).alias("p")).select("band", "p.text_id", "p.n").toDF("band", "a", "n_a")
+    pivots = materialise(pivot, "pivots")
+    comparable = F.least("n", "n_a") >= similarity * F.greatest("n", "n_a")
+    pairs = (shared.join(pivots, "band").where((F.col("a") != F.col("text_id")) & comparable)
              .select("a", F.col("text_id").alias("b")).distinct())
     pairs = materialise(pairs, "star-pairs")
 
@@ -222,8 +274,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
 
     links = materialise(_verified(pairs, runs_of(pairs), similarity), "star-links")
     roots = materialise(components(links), "star-classes")
-    members = (buckets.join(stars.select("band"), "band", "left_semi")
-               .join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
+    members = (shared.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
                .select("band", "text_id", "n", F.coalesce("root", "text_id").alias("class")))
     members = materialise(members, "members")
     mixed = (members.groupBy("band", "class").agg(F.count("*").alias("n"))
@@ -232,11 +283,19 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
     blocks_of = materialise(mixed.select(
         "band", "largest", F.ceil(F.col("total") / block).cast("int").alias("n_blocks"),
         F.ceil((F.col("total") - F.col("most")) / block).cast("int").alias("n_outside_blocks")), "mixed-buckets")
-    unsettled = members.join(blocks_of.select("band"), "band", "left_semi")
-    signature = sketches.join(unsettled.select("text_id").distinct(), "text_id", "left_semi").dropDuplicates(["text_id"])
-    unsettled = unsettled.join(signature.select("text_id", "signature"), "text_id")
-    more = materialise(_across(unsettled, blocks_of, k, similarity), "cross-pairs")
-    more_links = materialise(_verified(more, runs_of(more), similarity), "cross-links")
+    unsettled = members.join(blocks_of.select("band"), "band", "left_semi").select("text_id").distinct()
+    signature = materialise(sketches.join(unsettled, "text_id", "left_semi").dropDuplicates(["text_id"])
+                            .select("text_id", "signature"), "signatures")
+    spread = _spread(members, blocks_of)
+    found = materialise(_cross_pairs(spread.join(signature, "text_id"), k, similarity, dense), "cross-pairs")
+    more = found.where("a is not null").select("a", "b")
+    crowded = found.where("a is null").select("band", "i", "j")
+    in_dense = materialise(spread.join(crowded, ["band", "i", "j"], "left_semi"), "dense-members")
+    ids = in_dense.select("text_id").distinct()
+    dense_runs = runs_of(ids.select(F.col("text_id").alias("a"), F.col("text_id").alias("b")))
+    more_links = materialise(
+        _verified(more, runs_of(more), similarity).unionByName(
+            _dense_links(in_dense.join(signature, "text_id").join(dense_runs, "text_id"), k, similarity)), "cross-links")
     final = materialise(components(links.unionByName(more_links)), "classes")
     rooted = (sketches.select("doc_id", "text_id")
               .join(final.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
