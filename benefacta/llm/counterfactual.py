@@ -42,7 +42,7 @@ AXES = (
 
 
 def swaps(axes=AXES) -> dict[str, str]:
-    return {term: axis[(i + 1) % len(axis)] for axis in axes for i, term in enumerate(axis)}
+    return {term.lower(): axis[(i + 1) % len(axis)] for axis in axes for i, term in enumerate(axis)}
 
 
 def swapper(axes=AXES):

@@ -8,7 +8,8 @@ repeated leaves no double records.
 
 Reader: archives are cut into byte ranges, one task takes some of them. A task looks for the gzip magic in its range, validates
 each candidate by decoding it up to the WARC header, and owns the records that start inside its range, reading past its
-end where a record does. From a valid record it goes on behind its member; a member that breaks off is skipped. Every task holds one
+end where a record does. From a valid record it goes on behind its member; a member that breaks off is skipped. Magic bytes
+inside a member are told apart by decoding; a payload of text never holds them, since they are no UTF-8. Every task holds one
 record at a time. Files are opened through Arrow's file systems by URI, so any store that these know will do.
 
 Rows that repeat the least page id of their payload are all responses. A null page id has an empty record id; it is a response only if all pages of its

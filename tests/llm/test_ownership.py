@@ -1,0 +1,73 @@
+import re
+
+
+from benefacta.llm import ownership
+from .conftest import ODD, digest
+
+AKIA = "AKIA" + "Q" * 16
+HEX = "0123456789abcdef" * 2 + "ff"
+KEY = "tRq9Zx-4mLk2Pw8Vb6Nc1Hd"
+
+
+def base(text):
+    """Base spans by plain regular expressions: leftmost matches that do not overlap, short ones dropped."""
+    text, out = text or "", []
+    assign = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    for kind, (pattern, group, least) in enumerate(((assign, 2, 8), ("AKIA[A-Z0-9]+", 0, 16), ("[0-9a-f]+", 0, 32))):
+        out += [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if len(m[group]) >= least]
+    return sorted(out)
+
+
+def said(spans):
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in spans)
+
+
+TEXTS = ODD + [
+    f"é{AKIA} und password = \"{HEX}\" ende", "password=secret: abcdefghijk", "PASSWORD='abcdefg'", "token=token=abcdefgh",
+    f"{HEX[:31]} {HEX[:32]}x{HEX}", "AKIAAKIA AKIA12 AKIAAKIA1234567890", "Api_Key: a.b-c_d/e=f api key: 12345678",
+    f"🙂🙂 apikey=\"{HEX}\" {AKIA}{AKIA}", "passwd=" + "z" * 9000,
+]
+
+
+def test_base_spans_like_plain_regex(frame):
+    rows = [(i, t, "s") for i, t in enumerate(TEXTS)]
+    got = {r["doc_id"]: r for r in ownership.secret_report(frame(rows, "doc_id long, text string, source string")).collect()}
+    assert len(got) == len(TEXTS)
+    for i, text in enumerate(TEXTS):
+        want = base(text)
+        assert got[i]["base_sha256"] == digest(said(want)), text
+        assert [got[i][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[1] == k for s in want) for k in range(3)]
+        assert got[i]["spans"] == said(want)
+
+
+def test_owners_tell_examples_from_live_secrets(frame):
+    rows = [(i, f"key {KEY}", f"s{i}") for i in range(3)] + [(3, f"key {KEY[::-1]} x", "s0"), (4, f"again {KEY[::-1]}", "s1"),
+            (5, f"a {AKIA}", "s0"), (6, f"b {AKIA}", "s0"), (7, f"c {HEX}", "s0"), (8, f"c {HEX}", "s1"), (9, HEX, None), (9, HEX, None)]
+    docs = frame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in ownership.secret_report(docs).collect()}
+    assert all(got[i]["spans"] == "" for i in range(3))  # three owners: an example, no span is added
+    assert got[3]["spans"] == f"token:4:{4 + len(KEY)}" and got[4]["n_live"] == 1
+    assert got[5]["n_live"] == 1 and got[6]["n_example"] == 0  # two documents, one owner
+    assert got[7]["n_example"] == 1 and got[7]["n_live"] == 0 and got[7]["spans"] == f"hex:2:{2 + len(HEX)}"  # a base span stays
+    assert ownership.secret_report(docs).count() == len(rows)
+    _, owned, _ = ownership.scan(docs)
+    by_hash = {r["hash"]: (r["n_owners"], r["n_repositories"]) for r in owned.collect()}
+    assert by_hash[digest(HEX)] == (3, 3) and by_hash[digest(AKIA)] == (1, 2) and by_hash[digest(KEY)] == (3, 3)
+
+
+def test_redact_replaces_live_spans_only(frame):
+    rows = [(i, f"k {HEX}!", f"s{i}", 9) for i in range(3)] + [(3, f"é {AKIA}, password={HEX[:20]} end", "s0", 9), (4, None, "s0", None), (5, "", None, 0)]
+    docs = frame(rows, "doc_id long, text string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in ownership.redact(docs).collect()}
+    assert got[0]["text"] == f"k {HEX}!" and got[0]["n_chars"] == 9
+    assert got[3]["text"] == "é [secret], [secret] end" and got[3]["n_chars"] == 24
+    assert got[4]["text"] is None and got[5]["text"] == "" and ownership.redact(docs).columns == docs.columns
+
+
+def test_empty_table_and_extra_columns(frame):
+    schema = "doc_id long, text string, source string, row int, spans string, live_spans int"
+    assert ownership.secret_report(frame([], schema)).count() == 0
+    docs = frame([(1, f"x {AKIA}", "s", 5, "mine", 6)], schema)
+    assert ownership.secret_report(docs).first()["spans"] == f"access:2:{2 + len(AKIA)}"
+    out = ownership.redact(docs).first()
+    assert (out["text"], out["row"], out["spans"], out["live_spans"]) == ("x [secret]", 5, "mine", 6)
