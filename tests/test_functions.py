@@ -68,6 +68,35 @@ def test_place_rules_like_python(evaluate, texts, rules):
     assert got == [python_place(v, rules) for v in texts]
 
 
+# a text for each rule in rule order, with the name written by hand; the second Cajicá rule is shadowed by the first
+GOLDEN_CITIES = [
+    ("aguazul casanare", "Aguazul"), ("agustin codazzi", "Agustín Codazzi"), ("alta mira", "Altamira"), ("aranzazu caldas", "Aranzazu"),
+    ("armenia q", "Armenia"), ("armero guayabal", "Armero"), ("barranca bermeja", "Barrancabermeja"), ("barranquilla atlantico", "Barranquilla"),
+    ("municipio bello ant", "Bello"), ("belancazar", "Belalcazar"), ("bogota d c", "Bogotá"), ("ciudad bolivar", "Bogotá"),
+    ("bucaramanga", "Bucaramanga"), ("buena ventura", "Buenaventura"), ("carmen de viboral", "Carmen de Viboral"),
+    ("cartagena de indias", "Cartagena"), ("cajiica", "Cajicá"), ("santiago de cali", "Cali"), ("san jose de cucuta", "Cúcuta"),
+    ("manisales", "Manizales"), ("medelin", "Medellín"), ("ibague", "Ibagué"), ("la virginia pereira", "Pereira"), ("sanata marta", "Santa Marta"),
+    ("san juan de pasto", "Pasto"), ("monteria", "Montería"), ("tunja boyaca", "Tunja"), ("rioacha", "Riohacha"), ("sangil", "San Gil"),
+    ("palmira valle", "Palmira"), ("facatativa", "Facatativá"), ("madrir", "Madrid"), ("chia", "Chía"), ("la cajica", "La Cajicá"),
+    ("pie de cuesta", "Piedecuesta"), ("la neiva", "Neiva"), ("san andres islas", "San Andrés"), ("fusa", "Fusagasugá"),
+    ("villavisencio", "Villavicencio"), ("el yumbo", "Yumbo"), ("zipaquira", "Zipaquira"),
+]
+GOLDEN_DEPARTMENTS = [
+    ("atlántico", "Atlántico"), ("bolivar", "Bolívar"), ("BOYACA", "Boyacá"), ("caqueta", "Caquetá"), ("el choco norte", "Chocó"),
+    ("córdoba", "Córdoba"), ("guainia", "Guainía"), ("nariño", "Nariño"), ("quindío", "Quindío"),
+    ("san andres y providencia", "San Andrés Y Providencia"), ("vaupes", "Vaupés"),
+]
+
+
+@pytest.mark.parametrize("golden,rules,shadowed", [(GOLDEN_CITIES, places.CITY_RULES, {33}), (GOLDEN_DEPARTMENTS, places.DEPARTMENT_RULES, set())])
+def test_a_golden_text_for_each_rule(evaluate, golden, rules, shadowed):
+    texts, names = zip(*golden)
+    assert evaluate(list(texts), "string", lambda c: places.canonical(c, rules)) == list(names)
+    for i, text in enumerate(texts):  # the rule of that place meets its text
+        before = evaluate([text], "string", lambda c: places.canonical(c, rules[:i]))[0]
+        assert bool(re.search(rules[i][0], before)) == (i not in shadowed), (i, before)
+
+
 def test_rule_counts():
     assert len(places.CITY_RULES) == 41 and len(places.DEPARTMENT_RULES) == 11
 
