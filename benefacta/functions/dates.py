@@ -48,10 +48,6 @@ def years_since(col: Column, as_of: dt.date) -> Column:
     return F.lit(as_of.year) - F.year(col)
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    return F.datediff(later, earlier)
-
-
 def in_year(col: Column, year: int) -> Column:
     """The same day and month in another year; null for 29 February in a common year."""
     leap_day = (F.month(col) == 2) & (F.day(col) == 29)

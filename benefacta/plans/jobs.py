@@ -58,6 +58,12 @@ def export_cleaned(spark: SparkSession, out: str, csv_root: str) -> None:
         sinks.write_csv(rows.select(*[f.name for f in layout]), target(name), layout)
 
 
+def export_lifetime_value(spark: SparkSession, out: str, csv_root: str) -> None:
+    """The stored lifetime values as a CSV file with the published headers."""
+    values = _table(spark, out, "lifetime_value").select(*[f.name for f in schemas.LIFETIME_VALUE])
+    sinks.write_csv(values, f"{csv_root.rstrip('/')}/{registry.SOURCES['lifetime_value'].path}", schemas.LIFETIME_VALUE)
+
+
 def run_lifetime_value(spark: SparkSession, out: str, inflation_export: str, as_of: dt.date) -> None:
     """Lifetime values of the accepted donors; the stage filter prunes the stored transactions."""
     donors = cleaning_jobs.accepted(_table(spark, out, "donors"))

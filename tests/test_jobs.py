@@ -63,6 +63,18 @@ def test_all_jobs(spark, root, tmp_path):
     normal, outside = jobs.split_values(spark, out)
     assert normal.count() + outside.count() == 60
 
+    jobs.run_experiments(spark, out, "run")
+    metrics = spark.read.parquet(f"{out}/metrics").collect()
+    assert {r["experiment"] for r in metrics} == {"training", "kmeans", "pca"}
+    scores = {(r["experiment"], r["metric"]): r["value"] for r in metrics if r["cluster"] is None and r["parameter"] is None}
+    assert scores["training", "n_clusters"] == 3 and scores["kmeans", "best_k"] == 5 and -1 <= scores["pca", "silhouette"] <= 1
+    given = {(r["experiment"], r["metric"]): r["parameter"] for r in metrics if r["parameter"] is not None}
+    assert given["pca", "n_components"] == "3" and given["training", "restarts"] == "2"
+
+    jobs.export_lifetime_value(spark, out, str(tmp_path / "csv"))
+    lfv = readers.read_delimited(spark, f"{tmp_path}/csv/Archivos_Cliente/lfv.csv")
+    assert lfv.columns == [f.published for f in schemas.LIFETIME_VALUE] and lfv.count() == 60
+
     jobs.export_cleaned(spark, out, str(tmp_path / "csv"))
     again = readers.read_delimited(spark, f"{tmp_path}/csv/Archivos_Cliente/Base_donantes_preprocesada.csv")
     assert again.columns == [f.published for f in schemas.DONORS] and again.count() == 61
