@@ -26,7 +26,7 @@ from .frames import add_columns, free_name
 from .textarrays import ALNUM, FOLD, blocks, find_words, gram_hashes, text_buffer, word_hashes
 
 WORDS = 10
-BLOCK_WINDOWS = 500_000
+BLOCK_WINDOWS = 200_000
 _BITS = 20
 
 

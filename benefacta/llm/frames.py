@@ -41,19 +41,25 @@ def add_columns(df: DataFrame, text: str, added: T.StructType,
     return df.mapInArrow(run, out)
 
 
+MOST_LOG_BITS = 28
+
+
 class KeyFilter:
-    """A Bloom filter of 64-bit keys with a fixed number of bits.
+    """A Bloom filter of 64-bit keys.
 
-    It never misses a key; other keys pass at a rate that grows once there are more keys than bits, which
-    costs work and changes no result. Spark builds the words of the filter, so the driver receives at
-    most ``2 ** log_bits / 64`` rows.
+    It has eight bits or more a key, up to ``2 ** MOST_LOG_BITS`` bits in all (32 MB), so what is broadcast is bounded. It never
+    misses a key; other keys pass at a rate that grows once the filter is full, which costs work and changes no
+    result. Spark builds the words of the filter; the driver receives no more than those.
     """
 
     def __init__(self, words: np.ndarray, log_bits: int):
         self.words, self.log_bits = words, log_bits
 
     @classmethod
-    def of(cls, df: DataFrame, column: str, log_bits: int = 25) -> KeyFilter:
+    def of(cls, df: DataFrame, column: str, log_bits: int | None = None) -> KeyFilter:
+        """Filter of a stored table's keys; ``log_bits`` fixes its size."""
+        if log_bits is None:
+            log_bits = min(max(16, (8 * df.count()).bit_length()), MOST_LOG_BITS)
         bits = 1 << log_bits
         key = F.col(column)
         first = F.shiftrightunsigned(key, 64 - log_bits)

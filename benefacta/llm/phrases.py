@@ -2,7 +2,7 @@
 
 1. *Candidates.* In each window of ``size`` words the smallest hashed run of ``anchor`` words, the leftmost of
    equals, is its anchor. Equal windows have equal anchors, so only windows whose anchor occurs at two places or
-   more can be repeated. Anchors are counted over the corpus; those met twice form a Bloom filter of fixed
+   more can be repeated. Anchors are counted over the corpus; those met twice form a Bloom filter of bounded
    size (a full filter costs work and loses nothing).
 2. *Confirm.* Windows with such an anchor are counted by their hash; those found twice are confirmed.
 3. *Compile.* The confirmed windows of a document form passages. A passage is tiled by windows, one every ``size``
@@ -138,7 +138,7 @@ def _stream(batch: pa.RecordBatch, place: int, size: int):
 
 
 def remove_repeated_passages(docs: DataFrame, text: str = "text", size: int = WORDS, anchor: int = ANCHOR,
-                             filter_bits: int = 25, digest: bool = False) -> DataFrame:
+                             filter_bits: int | None = None, digest: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text``, or with ``digest`` its SHA-256 ``kept_sha256``.
 
     Result names that the input has already get underscores.
@@ -149,7 +149,7 @@ def remove_repeated_passages(docs: DataFrame, text: str = "text", size: int = WO
     key = F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", text)])
     rows = docs.select(key.alias("row"), F.col(text).alias("text"))
     anchors = _anchors(rows, size, anchor).groupBy("anchor").count().where("count > 1")
-    known = KeyFilter.of(anchors, "anchor", filter_bits)
+    known = KeyFilter.of(materialise(anchors.select("anchor"), "repeated-anchors"), "anchor", filter_bits)
     candidates = materialise(_candidates(rows, size, anchor, known), "phrase-candidates")
     confirmed = materialise(candidates.groupBy("window").count().where("count > 1").select("window"), "phrases")
     places = (candidates.join(confirmed, "window", "left_semi")

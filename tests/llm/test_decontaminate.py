@@ -46,7 +46,7 @@ def case(rng):
     return texts, items
 
 
-@pytest.mark.parametrize("block_windows", [500_000, 10])  # one scan, and several
+@pytest.mark.parametrize("block_windows", [200_000, 10])  # one scan, and several
 def test_like_by_hand(frame, case, block_windows):
     texts, items = case
     benchmark = frame(items, "item_id long, text string")
