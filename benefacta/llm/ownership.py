@@ -5,8 +5,9 @@ word such as password), ``access`` (cloud access keys) and ``hex`` (long hexadec
 long run of key characters that mixes digits, capitals and small letters.
 
 The hash of each candidate's value is counted over the corpus by distinct repositories and distinct owners. A value that
-``example_owners`` owners or more hold is a widely copied example; the others are specific to an owner and look live.
-Base spans stay either way; a ``token`` span is reported only if its value looks live and no base span overlaps it.
+``example_owners`` owners or more hold is a widely copied example; the others are specific to an owner. Of these, values of few
+different characters and those with a placeholder's words are dull, the rest look live. Base spans stay in any case; a ``token``
+span is reported only if its value looks live and no base span overlaps it.
 
 Counting is by partial aggregation: (hash, owner, repository), then (hash, owner), then hash; a value in a third of all
 documents is one row per task and owner. Verdicts return to documents by joins between stored tables, which adaptive
@@ -32,7 +33,9 @@ BASE = (
 )
 TOKEN = ("token", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
 TOKEN_LETTERS = 10
-_SPAN = "struct<start:bigint,kind:int,end:bigint,hash:string>"
+LIVE_LETTERS = 6
+PLACEHOLDER = "(?i)example|sample|placeholder|changeme|dummy|your_|xxxx|0123456789|123456789|abcdefgh"
+_SPAN = "struct<start:bigint,kind:int,end:bigint,hash:string,live:boolean>"
 
 
 def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
@@ -50,7 +53,9 @@ def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Colu
     def step(held, row):
         start = held["at"] + F.length(row["piece"])
         end = start + F.coalesce(F.length(row["whole"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.sha2(row["value"], 256).alias("hash"))
+        live = (F.size(F.array_distinct(F.split(row["value"], ""))) >= LIVE_LETTERS) & ~row["value"].rlike(PLACEHOLDER)
+        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+                        F.sha2(row["value"], 256).alias("hash"), live.alias("live"))
         found = F.when(F.length(row["value"]) >= least, F.array_append(held["found"], span)).otherwise(held["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
@@ -103,7 +108,12 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
 
 def reported(base: Column, tokens: Column, examples: Column) -> Column:
     """All reported spans: base ones, and tokens that look live."""
-    return F.array_sort(F.concat(base, F.filter(tokens, lambda s: ~F.array_contains(examples, s["hash"]))))
+    return F.array_sort(F.concat(base, F.filter(tokens, looks_live(examples))))
+
+
+def looks_live(examples: Column):
+    """Test of a span: not widely copied, and no placeholder."""
+    return lambda s: s["live"] & ~F.array_contains(examples, s["hash"])
 
 
 def as_text(found: Column) -> Column:
@@ -113,7 +123,7 @@ def as_text(found: Column) -> Column:
 
 
 def secret_report(docs: DataFrame, **options) -> DataFrame:
-    """Per row of ``docs``: counts, digest and places of its secrets, and how many look live or widely copied."""
+    """Per row of ``docs``: counts, digest and places of its secrets, and how many look live, are widely copied, or are dull."""
     found, _, key = scan(docs, **options)
     ids = docs.select("doc_id", key.alias("row"))
     base = F.col("base")
@@ -128,20 +138,20 @@ def secret_report(docs: DataFrame, **options) -> DataFrame:
     result = found.withColumn("every", every).select(
         "row", *[of_kind(i).alias(f"n_{k}") for i, (k, *_) in enumerate(BASE)],
         F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("every")).alias("spans"),
-        count(F.col("every"), lambda s: ~F.array_contains(F.col("examples"), s["hash"])).alias("n_live"),
-        count(F.col("every"), lambda s: F.array_contains(F.col("examples"), s["hash"])).alias("n_example"))
+        count(F.col("every"), looks_live(F.col("examples"))).alias("n_live"),
+        count(F.col("every"), lambda s: F.array_contains(F.col("examples"), s["hash"])).alias("n_example"),
+        count(F.col("every"), lambda s: ~s["live"] & ~F.array_contains(F.col("examples"), s["hash"])).alias("n_dull"))
     return ids.join(result.dropDuplicates(["row"]), "row").drop("row")
 
 
 def redact(docs: DataFrame, text: str = "text", replacement: str = "[secret]", **options) -> DataFrame:
-    """``docs`` with every span that looks live replaced in its text; widely copied examples stay, and so do all rows.
+    """``docs`` with every span that looks live replaced in its text; examples and dull values stay, and so do all rows.
 
     ``n_chars``, if there, follows the changed texts.
     """
     found, _, key = scan(docs, text=text, **options)
     row, live = free_name(docs, "row"), free_name(docs, "live_spans")
-    wanted = F.filter(reported(F.col("base"), F.col("tokens"), F.col("examples")),
-                      lambda s: ~F.array_contains(F.col("examples"), s["hash"]))
+    wanted = F.filter(reported(F.col("base"), F.col("tokens"), F.col("examples")), looks_live(F.col("examples")))
     marked = found.select(F.col("row").alias(row), wanted.alias(live)).where(F.size(live) > 0).dropDuplicates([row])
     zero = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
 

@@ -28,7 +28,8 @@ placed AS (
   SELECT doc_id, source, kind, val, whole[i] AS w,
          list_sum([length(x) for x in pieces[1:i]]) + coalesce(list_sum([length(x) for x in whole[1:i - 1]]), 0) AS s
   FROM raw WHERE length(val) >= least),
-cand AS (SELECT doc_id, source, kind, sha256(val) AS h, CAST(s AS BIGINT) AS s, CAST(s + length(w) AS BIGINT) AS e, val FROM placed),
+cand AS (SELECT doc_id, source, kind, sha256(val) AS h, CAST(s AS BIGINT) AS s, CAST(s + length(w) AS BIGINT) AS e, val,
+                len(list_distinct(string_split(val, ''))) >= {ownership.LIVE_LETTERS} AND NOT regexp_matches(val, '{ownership.PLACEHOLDER}') AS live FROM placed),
 chosen AS (
   SELECT * FROM cand c WHERE kind < {len(kinds) - 1} OR (
     regexp_matches(val, '[0-9]') AND regexp_matches(val, '[A-Z]') AND regexp_matches(val, '[a-z]')
@@ -36,12 +37,12 @@ chosen AS (
     AND NOT EXISTS (SELECT 1 FROM cand b WHERE b.doc_id = c.doc_id AND b.kind < {len(kinds) - 1} AND b.s < c.e AND c.s < b.e))),
 owned AS (SELECT h, count(DISTINCT source) >= {ownership.EXAMPLE_OWNERS} AS copied FROM chosen GROUP BY h),
 judged AS (SELECT c.*, copied, {names}[kind + 1] || ':' || s || ':' || e AS said FROM chosen c JOIN owned USING (h)),
-shown AS (SELECT * FROM judged WHERE kind < {len(kinds) - 1} OR NOT copied)
+shown AS (SELECT * FROM judged WHERE kind < {len(kinds) - 1} OR (live AND NOT copied))
 SELECT d.doc_id,
        count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
        sha256(coalesce(string_agg(said, ',' ORDER BY s, kind) FILTER (kind < {len(kinds) - 1}), '')) AS base_sha256,
        coalesce(string_agg(said, ',' ORDER BY s, kind), '') AS spans,
-       count(*) FILTER (NOT copied) AS n_live, count(*) FILTER (copied) AS n_example
+       count(*) FILTER (live AND NOT copied) AS n_live, count(*) FILTER (copied) AS n_example, count(*) FILTER (NOT live AND NOT copied) AS n_dull
 FROM documents d LEFT JOIN shown USING (doc_id) GROUP BY d.doc_id"""
 
 
