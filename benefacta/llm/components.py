@@ -30,16 +30,21 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     return moved.where("a <> b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: each larger node has one link, to a node that has none itself."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.where((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0)).isEmpty()
+
+
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``node`` and ``root``, the least node of its component, for every node of ``links`` (``a``, ``b``, longs)."""
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = materialise(links, "links")
-    mark = None
     for _ in range(max_rounds):
-        new = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if new == mark:
+        if _settled(links):
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
-        mark = new
+                links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         links = materialise(_star(_star(links, True), False), "links")
     raise RuntimeError(f"links still move after {max_rounds} rounds")

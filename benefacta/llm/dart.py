@@ -241,41 +241,43 @@ def _dense_links(spread: DataFrame, k: int, similarity: float) -> DataFrame:
 
 def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORDS, similarity: float = SIMILARITY,
                            bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, dense: int = DENSE,
-                           filter_bits: int = 25) -> DataFrame:
+                           filter_bits: int | None = None) -> DataFrame:
     """Each row's ``doc_id``, ``text_id`` (hash of the text) and ``class_id``, the least doc_id of its class."""
     k = bands * rows
     texts = docs.select("doc_id", F.xxhash64(text).alias("text_id"), F.col(text).alias("text"))
     sketches = materialise(_sketch(texts.where("text is not null"), size, k), "sketches")
-    distinct = sketches.groupBy("text_id").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    chosen = materialise(distinct, "distinct-texts")
-    # a signature per distinct text; a copy's signature is the same
-    buckets = sketches.where("n > 0").select("text_id", "n", F.explode(F.array(*[
-        F.xxhash64(F.lit(b), F.slice("signature", b * rows + 1, rows)) for b in range(bands)])).alias("band")).distinct()
+    # a copy's signature is the same, so one row per distinct text is enough from here on
+    distinct = materialise(sketches.groupBy("text_id").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature")), "distinct-texts")
+    buckets = distinct.where("n > 0").select("text_id", "n", F.explode(F.array(*[
+        F.xxhash64(F.lit(b), F.slice("signature", b * rows + 1, rows)) for b in range(bands)])).alias("band"))
     buckets = materialise(buckets, "buckets")
     sizes = materialise(buckets.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
     shared = materialise(buckets.join(sizes, "band"), "shared-buckets")
     # a group of near copies differs less from its origin than from each other; the origin shares most buckets
-    weight = materialise(shared.groupBy("text_id").agg(F.sum("size").alias("weight")), "bucket-weights")
-    pivot = shared.join(weight, "text_id").groupBy("band").agg(
-        F.max(F.struct("weight", "text_id", "n")).alias("p")).select("band", "p.text_id", "p.n").toDF("band", "a", "n_a")
-    pivots = materialise(pivot, "pivots")
+    weight = shared.groupBy("text_id").agg(F.sum("size").alias("weight"))
+    pivots = shared.join(weight, "text_id").groupBy("band").agg(F.max(F.struct("weight", "text_id", "n")).alias("p"))
+    pivots = materialise(pivots.select("band", F.col("p.text_id").alias("a"), F.col("p.n").alias("n_a"), "p.weight"), "pivots")
     comparable = F.least("n", "n_a") >= similarity * F.greatest("n", "n_a")
     pairs = (shared.join(pivots, "band").where((F.col("a") != F.col("text_id")) & comparable)
-             .select("a", F.col("text_id").alias("b")).distinct())
+             .select("a", F.col("text_id").alias("b"), "weight").distinct())
     pairs = materialise(pairs, "star-pairs")
 
-    def runs_of(some: DataFrame) -> DataFrame:
-        ids = some.select(F.col("a").alias("text_id")).union(some.select("b")).distinct()
+    def runs_of(ids: DataFrame, most: int) -> DataFrame:
         # one row of each text is enough; the filter knows rows by id and text
-        wanted = ids.join(chosen, "text_id").select(F.xxhash64("doc_id", "text_id").alias("row"))
+        wanted = ids.distinct().join(distinct.select("text_id", "doc_id"), "text_id")
         keyed = texts.withColumn("row", F.xxhash64("doc_id", "text_id"))
-        found = _runs_of(keyed, KeyFilter.of(wanted, "row", filter_bits), size)
-        return materialise(found.dropDuplicates(["text_id"]), "runs")
+        known = KeyFilter.of(wanted.select(F.xxhash64("doc_id", "text_id").alias("row")), "row", filter_bits, most)
+        return materialise(_runs_of(keyed, known, size).dropDuplicates(["text_id"]), "runs")
 
-    links = materialise(_verified(pairs, runs_of(pairs), similarity), "star-links")
-    roots = materialise(components(links), "star-classes")
-    members = (shared.join(roots.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
-               .select("band", "text_id", "n", F.coalesce("root", "text_id").alias("class")))
+    def ends(some: DataFrame) -> DataFrame:
+        return some.select(F.col("a").alias("text_id")).union(some.select("b"))
+
+    links = materialise(_verified(pairs, runs_of(ends(pairs), 2 * pairs.count()), similarity), "star-links")
+    # what is known to be linked: each text with the heaviest pivot that it is linked to
+    heavy = links.join(pairs, ["a", "b"]).groupBy("b").agg(F.max(F.struct("weight", "a"))["a"].alias("pivot"))
+    members = shared.join(heavy.withColumnRenamed("b", "text_id"), "text_id", "left").select(
+        "band", "text_id", "n", F.coalesce("pivot", "text_id").alias("class"))
     members = materialise(members, "members")
     mixed = (members.groupBy("band", "class").agg(F.count("*").alias("n"))
              .groupBy("band").agg(F.count("*").alias("classes"), F.sum("n").alias("total"), F.max("n").alias("most"),
@@ -283,20 +285,20 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
     blocks_of = materialise(mixed.select(
         "band", "largest", F.ceil(F.col("total") / block).cast("int").alias("n_blocks"),
         F.ceil((F.col("total") - F.col("most")) / block).cast("int").alias("n_outside_blocks")), "mixed-buckets")
-    unsettled = members.join(blocks_of.select("band"), "band", "left_semi").select("text_id").distinct()
-    signature = materialise(sketches.join(unsettled, "text_id", "left_semi").dropDuplicates(["text_id"])
-                            .select("text_id", "signature"), "signatures")
-    spread = _spread(members, blocks_of)
+    spread, signature = _spread(members, blocks_of), distinct.select("text_id", "signature")
     found = materialise(_cross_pairs(spread.join(signature, "text_id"), k, similarity, dense), "cross-pairs")
-    more = found.where("a is not null").select("a", "b")
-    crowded = found.where("a is null").select("band", "i", "j")
-    in_dense = materialise(spread.join(crowded, ["band", "i", "j"], "left_semi"), "dense-members")
-    ids = in_dense.select("text_id").distinct()
-    dense_runs = runs_of(ids.select(F.col("text_id").alias("a"), F.col("text_id").alias("b")))
-    more_links = materialise(
-        _verified(more, runs_of(more), similarity).unionByName(
-            _dense_links(in_dense.join(signature, "text_id").join(dense_runs, "text_id"), k, similarity)), "cross-links")
-    final = materialise(components(links.unionByName(more_links)), "classes")
+    more, crowded = found.where("a is not null").select("a", "b"), found.where("a is null").select("band", "i", "j")
+    in_dense = None
+    ids = ends(more)
+    if not crowded.isEmpty():
+        in_dense = materialise(spread.join(crowded, ["band", "i", "j"], "left_semi"), "dense-members")
+        ids = ids.union(in_dense.select("text_id"))
+    cross_runs = runs_of(ids, 2 * more.count() + (0 if in_dense is None else in_dense.count()))
+    more_links = _verified(more, cross_runs, similarity)
+    if in_dense is not None:
+        more_links = more_links.unionByName(
+            _dense_links(in_dense.join(signature, "text_id").join(cross_runs, "text_id"), k, similarity))
+    final = components(links.unionByName(more_links))
     rooted = (sketches.select("doc_id", "text_id")
               .join(final.select(F.col("node").alias("text_id"), "root"), "text_id", "left")
               .select("doc_id", "text_id", F.coalesce("root", "text_id").alias("root")))

@@ -56,10 +56,10 @@ class KeyFilter:
         self.words, self.log_bits = words, log_bits
 
     @classmethod
-    def of(cls, df: DataFrame, column: str, log_bits: int | None = None) -> KeyFilter:
-        """Filter of a stored table's keys; ``log_bits`` fixes its size."""
+    def of(cls, df: DataFrame, column: str, log_bits: int | None = None, keys: int | None = None) -> KeyFilter:
+        """Filter of the keys in a column, sized for ``keys`` (counted if not given); ``log_bits`` fixes its size."""
         if log_bits is None:
-            log_bits = min(max(16, (8 * df.count()).bit_length()), MOST_LOG_BITS)
+            log_bits = min(max(16, (8 * (df.count() if keys is None else keys)).bit_length()), MOST_LOG_BITS)
         bits = 1 << log_bits
         key = F.col(column)
         first = F.shiftrightunsigned(key, 64 - log_bits)
