@@ -36,6 +36,7 @@ MAGIC = b"\x1f\x8b\x08"
 END = b"\r\n\r\n"
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 16
+READ_TASKS = 50_000
 DATE = "2000-01-01T00:00:00Z"
 HEADER_BYTES = 1 << 16
 _URN = "urn:page:"
@@ -223,9 +224,11 @@ def read_archive(spark: SparkSession, manifest: DataFrame, range_bytes: int = RA
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
+    # a range is a few bytes of its own, so adaptive execution would put all of them into one task
+    tasks = ranges.agg(F.least(F.count("*"), F.lit(READ_TASKS))).first()[0]
     schema = ("path string, place long, record_type string, page_id long, url string, payload_digest string, payload_bytes long, "
               "refers_to long, payload binary, intact boolean")
-    return ranges.repartition("path", "start").mapInArrow(read, schema)
+    return ranges.repartition(max(tasks, 1), "path", "start").mapInArrow(read, schema)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0, range_bytes: int = RANGE_BYTES) -> DataFrame:
