@@ -136,8 +136,8 @@ def descend(rows: np.ndarray, columns: np.ndarray, y: np.ndarray, n_columns: int
     return w, b
 
 
-def fit(rows: DataFrame, text: str = "text", sample_rows: int = 20_000, max_words: int = 4096, least_texts: int = 5,
-        least_chi2: float = 15.0, l2: float = 1e-4, steadiness: float = 10.0, steps: int = 300, axes=AXES) -> SteadyLogistic:
+def fit(rows: DataFrame, text: str = "text", sample_rows: int = 20_000, max_words: int = 4096, least_texts: int = 3,
+        least_chi2: float = 12.0, l2: float = 1e-4, steadiness: float = 10.0, steps: int = 300, axes=AXES) -> SteadyLogistic:
     """Model from ``rows`` with ``doc_id``, ``label`` (0 or 1) and texts, at most ``sample_rows`` of them."""
     sample = _sample(rows, text, axes).persist()
     try:
