@@ -15,7 +15,6 @@ letters is that language; with none, all are ``und``. The driver holds languages
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

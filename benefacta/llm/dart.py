@@ -41,6 +41,7 @@ BANDS = 32
 ROWS = 5
 BLOCK = 256
 DENSE = 8
+AT_ONCE = 256
 _LAYER = np.uint64(0xA0761D6478BD642F)
 _DART = np.uint64(0xE7037ED1A0B428DB)
 _PLACE = np.uint64(0x8EBC6AF09C88C6E3)
@@ -71,7 +72,16 @@ def layered_runs(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.n
 
 
 def signatures(keys: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
-    """Earliest dart of each coordinate, one row per text; texts without keys get zeros."""
+    """Earliest dart of each coordinate, one row per text; texts without keys get zeros.
+
+    Every text takes about as many darts, however short, so only some texts are worked on at a time.
+    """
+    parts = [_earliest(keys[first[i]:first[min(i + AT_ONCE, len(first) - 1)]], first[i:i + AT_ONCE + 1] - first[i], k)
+             for i in range(0, len(first) - 1, AT_ONCE)]
+    return np.concatenate(parts) if parts else np.empty((0, k), np.uint64)
+
+
+def _earliest(keys: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     n, sizes = len(first) - 1, np.diff(first)
     of, element = np.repeat(np.arange(n), sizes), keys
     limit = (k * math.log(k) + 4 * k) / np.maximum(sizes, 1)

@@ -131,3 +131,13 @@ def test_components(frame):
 def test_darts_hold_for_many_layers():
     keys, first = dart.layered_runs(*textarrays.text_buffer(pa.array(["same " * 3000])), 5)
     assert len(np.unique(keys)) == len(keys) == 2996 and first.tolist() == [0, 2996]
+
+
+def test_many_short_texts_take_bounded_memory():
+    import tracemalloc
+    keys, first = dart.layered_runs(*textarrays.text_buffer(pa.array([f"t{i} x" for i in range(3000)])), 5)
+    tracemalloc.start()
+    found = dart.signatures(keys, first, 160)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found.shape == (3000, 160) and peak < 150e6
