@@ -47,7 +47,7 @@ MOST_LOG_BITS = 28
 class KeyFilter:
     """A Bloom filter of 64-bit keys.
 
-    It has eight bits or more a key, up to ``2 ** MOST_LOG_BITS`` bits in all (32 MB), so what is broadcast is bounded. It never
+    It has 16 bits or more a key, up to ``2 ** MOST_LOG_BITS`` bits in all (32 MB), so what is broadcast is bounded. It never
     misses a key; other keys pass at a rate that grows once the filter is full, which costs work and changes no
     result. Spark builds the words of the filter; the driver receives no more than those.
     """
@@ -59,7 +59,7 @@ class KeyFilter:
     def of(cls, df: DataFrame, column: str, log_bits: int | None = None, keys: int | None = None) -> KeyFilter:
         """Filter of the keys in a column, sized for ``keys`` (counted if not given); ``log_bits`` fixes its size."""
         if log_bits is None:
-            log_bits = min(max(16, (8 * (df.count() if keys is None else keys)).bit_length()), MOST_LOG_BITS)
+            log_bits = min(max(16, (16 * (df.count() if keys is None else keys)).bit_length()), MOST_LOG_BITS)
         bits = 1 << log_bits
         key = F.col(column)
         first = F.shiftrightunsigned(key, 64 - log_bits)

@@ -13,8 +13,8 @@
 Words are separated by blanks, tabs and line ends and compared unchanged. Rows are keyed by 64 bits of a hash
 of id and text, so rows with one id are kept apart, and fully repeated rows are two documents that repeat each other. A
 null or empty text has no words; texts shorter than a window keep all words. All counting is by partial aggregation,
-so a passage in a third of all documents stays small; joins are between stored tables, which adaptive
-execution splits where one key is hot.
+so a passage in a third of all documents stays small; windows are joined with a stored table, which adaptive
+execution splits where one window is hot.
 """
 
 from __future__ import annotations
@@ -150,7 +150,7 @@ def remove_repeated_passages(docs: DataFrame, text: str = "text", size: int = WO
     rows = docs.select(key.alias("row"), F.col(text).alias("text"))
     anchors = _anchors(rows, size, anchor).groupBy("anchor").count().where("count > 1")
     known = KeyFilter.of(materialise(anchors.select("anchor"), "repeated-anchors"), "anchor", filter_bits)
-    candidates = materialise(_candidates(rows, size, anchor, known), "phrase-candidates")
+    candidates = _candidates(rows, size, anchor, known)  # hashed again for the join, which costs less than storing them
     confirmed = materialise(candidates.groupBy("window").count().where("count > 1").select("window"), "phrases")
     places = (candidates.join(confirmed, "window", "left_semi")
               .groupBy("row").agg(F.collect_list("place").alias("places")))
