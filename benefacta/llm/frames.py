@@ -41,13 +41,13 @@ def add_columns(df: DataFrame, text: str, added: T.StructType,
     return df.mapInArrow(run, out)
 
 
-MOST_LOG_BITS = 28
+MOST_LOG_BITS = 25
 
 
 class KeyFilter:
     """A Bloom filter of 64-bit keys.
 
-    It has 16 bits or more a key, up to ``2 ** MOST_LOG_BITS`` bits in all (32 MB), so what is broadcast is bounded. It never
+    It has 16 bits or more a key, up to ``2 ** MOST_LOG_BITS`` bits in all (4 MB), so what is broadcast is bounded. It never
     misses a key; other keys pass at a rate that grows once the filter is full, which costs work and changes no
     result. Spark builds the words of the filter; the driver receives no more than those.
     """
