@@ -7,7 +7,7 @@ writes a file of its own under a fresh name and reports it; only reported files
 repeated leaves no double records.
 
 Reader: archives are cut into byte ranges, one task takes some of them. A task looks for the gzip magic in its range, validates
-each candidate by decoding it up to the WARC header, and owns the records that start inside its range, reading past its
+each candidate by decoding it to the end of its member, and owns the records that start inside its range, reading past its
 end where a record does. From a valid record it goes on behind its member; a member that breaks off is skipped. Magic bytes
 inside a member are told apart by decoding; a payload of text never holds them, since they are no UTF-8. Every task holds one
 record at a time. Files are opened through Arrow's file systems by URI, so any store that these know will do.
@@ -38,7 +38,6 @@ RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 16
 READ_TASKS = 50_000
 DATE = "2000-01-01T00:00:00Z"
-HEADER_BYTES = 1 << 16
 _URN = "urn:page:"
 
 
@@ -125,9 +124,9 @@ class _Window:
 
 
 def _decode(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """Content and end of the member at ``at``, or None if no whole member with a WARC header is there."""
+    """Content and end of the member at ``at``, or None if no whole member with a WARC header is there. A header may be of any length."""
     window.seek(at)
-    unpack, parts, begin = zlib.decompressobj(31), [], b""
+    unpack, parts, begin, tail, headed = zlib.decompressobj(31), [], b"", b"", False
     piece, fed = window.data or window.more(), 0
     while piece:
         try:
@@ -136,12 +135,14 @@ def _decode(window: _Window, at: int) -> tuple[bytes, int] | None:
             return None
         fed += len(piece)
         parts.append(part)
-        if len(begin) < HEADER_BYTES:
-            begin += part[:HEADER_BYTES]
-        if not b"WARC/".startswith(begin[:5]) or len(begin) >= HEADER_BYTES and END not in begin:
+        begin = (begin + part[:5])[:5]
+        if not b"WARC/".startswith(begin):
             return None
+        if not headed:
+            tail = tail[-3:] + part  # the blank line may lie across two parts
+            headed = END in tail
         if unpack.eof:
-            return (b"".join(parts), at + fed - len(unpack.unused_data)) if END in begin else None
+            return (b"".join(parts), at + fed - len(unpack.unused_data)) if headed else None
         piece = window.more()
     return None
 
@@ -217,7 +218,7 @@ def read_archive(spark: SparkSession, manifest: DataFrame, range_bytes: int = RA
                 with store.open_input_file(inner) as file:
                     for found in read_range(file, size, start, min(start + range_bytes, size)):
                         rows.append(row(path, *found))
-                        held += len(found[2])
+                        held += len(found[2]) + len(found[1].get("warc-target-uri", ""))
                         if held > 4 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
                             rows, held = [], 0

@@ -72,5 +72,15 @@ def test_every_split_gives_every_record_once(step):
     assert sorted(payloads) == sorted(bodies)
 
 
+@pytest.mark.parametrize("range_bytes", [8 << 20, 50_000])
+def test_headers_of_any_length(frame, rng, range_bytes):
+    urls = ["http://x/" + "".join(rng.choices("abcdefghijklmnop", k=n)) for n in (40_000, 70_000, 140_000, 400_000)]
+    urls += ["http://x/" + " " * 200_000, "http://x/" + "é" * 300_000]
+    rows = [(i, u, f"page {i % 4}") for i, u in enumerate(urls)] + [(90, "http://x/", "page 2")]
+    records = warc.round_trip(frame(rows, SCHEMA), 0, range_bytes).collect()
+    assert got(records) == expected(rows)
+    assert {r["page_id"]: r["url"] for r in records} == {p: u.replace(" ", "%20") for p, u, _ in rows}
+
+
 def test_empty_table(frame):
     assert warc.round_trip(frame([], SCHEMA)).count() == 0
