@@ -168,13 +168,6 @@ def _(t):
     return quality.squared_silhouette(frame, "embedding", key="vec_id").withColumn("silhouette", F.round("silhouette", 5))
 
 
-@query("silhouette_sample", "WITH embeddings AS (SELECT * FROM main.embeddings ORDER BY md5('1:' || CAST(vec_id AS VARCHAR)), vec_id LIMIT 1000), "
-       + _SILHOUETTE.format(distance=f"sqrt({_SQUARED})"))
-def _(t):
-    frame = t.embeddings.withColumnRenamed("label", "cluster")
-    return quality.sampled_silhouette(frame, "embedding", key="vec_id").withColumn("silhouette", F.round("silhouette", 5))
-
-
 _MIXED_SQL = f"""{LFV_SQL}, {CHANNELS_SQL},
 mixed AS (SELECT lfv.donor_id, dltv, lfv.age, churn_max, instalments_paid / (tenure_years + 1) AS avg_paid,
                  instalments_unpaid / (tenure_years + 1) AS avg_unpaid, gender, main_channel, channels

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import compare
@@ -33,6 +34,14 @@ def test_fits_give_rows(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
 
+def test_silhouettes_score_every_row(spark, tmp_path):
+    vectors = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.sin(F.col("id") * (i + 1)).cast("float"))
+    table = spark.range(1500).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label"), vectors.alias("embedding"))
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    names = [n for n in registry.QUERIES if n.startswith("silhouette")]
+    assert {n: entry.queries()[n](spark, str(tmp_path)).select("vec_id").distinct().count() for n in names} == {"silhouette_squared": 1500}
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "donor_id" and "dltv" in df.columns
