@@ -95,7 +95,7 @@ def _reduced(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical,
             coded = [pd.factorize(batch[c].where(batch[c].notna(), None), use_na_sentinel=False) if c else
                      (np.zeros(len(batch), dtype="int64"), np.array([None], dtype=object)) for c in columns]
             parts = []
-            for k, prototypes in runs.items():
+            for run, prototypes in runs.items():
                 center = np.array([[p[c] for c in numeric] for p in prototypes], dtype="float64")
                 cost = ((x[:, None, :] - center[None]) ** 2).sum(axis=2)
                 for c, (codes, words) in zip(columns, coded):
@@ -107,17 +107,17 @@ def _reduced(rows: DataFrame, runs: dict[int, list[dict]], numeric, categorical,
                 for i, (c, (codes, words)) in enumerate(zip(columns, coded)):
                     cell = own * len(words) + codes
                     seen, place, n = np.unique(cell, return_inverse=True, return_counts=True)
-                    part = pd.DataFrame({"k": k, "cluster": seen // len(words), "column": c or "",
+                    part = pd.DataFrame({"run": run, "cluster": seen // len(words), "column": c or "",
                                          "word": [None if pd.isna(w) else w for w in words[seen % len(words)]], "n": n})
                     for name, values in zip(carried, sums.T):
                         part[name] = np.bincount(place, weights=values) if i == 0 else np.nan
                     parts.append(part)
             yield pd.concat(parts, ignore_index=True)
 
-    schema = ("k int, cluster int, column string, word string, n long, "
+    schema = ("run int, cluster int, column string, word string, n long, "
               + ", ".join(f"`{c}` double" for c in carried))
     reduced = rows.select(*numeric, *categorical).mapInPandas(reduce, schema)
-    return reduced.groupBy("k", "cluster", "column", "word").agg(
+    return reduced.groupBy("run", "cluster", "column", "word").agg(
         F.sum("n").alias("n"), *[F.sum(F.nanvl(c, F.lit(None))).alias(c) for c in carried])
 
 
@@ -127,23 +127,33 @@ def _same(a, b) -> bool:
 
 def _first_records(rows: DataFrame, key: str, n: int, seed: int) -> list[dict]:
     """The first ``n`` distinct records in hash order, by the first place of each; an error if there are fewer."""
+    return _starts(rows, key, n, [seed])[0]
+
+
+def _starts(rows: DataFrame, key: str, n: int, seeds: list[int]) -> list[list[dict]]:
+    """The first ``n`` distinct records in the hash order of each seed, from one pass over all rows."""
     columns = [c for c in rows.columns if c != key]
-    place = F.min(F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key")))
-    first = rows.groupBy(*columns).agg(place.alias("_place")).orderBy("_place").limit(n)
-    found = [r.asDict() for r in first.select(*columns).collect()]
-    if len(found) < n:
-        raise ValueError(f"{n} clusters need as many distinct records; there are {len(found)}")
+    places = [F.min(F.struct(sample_order(key, seed).alias("hash"), F.col(key).alias("key"))).alias(f"_place{i}")
+              for i, seed in enumerate(seeds)]
+    records = rows.groupBy(*columns).agg(*places).persist()
+    try:
+        found = [[r.asDict() for r in records.orderBy(f"_place{i}").limit(n).select(*columns).collect()]
+                 for i in range(len(seeds))]
+    finally:
+        records.unpersist()
+    if len(found[0]) < n:
+        raise ValueError(f"{n} clusters need as many distinct records; there are {len(found[0])}")
     return found
 
 
 def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10),
-                      max_iterations: int = 20, gamma: float | None = None, seed: int = 123) -> DataFrame:
-    """Cost of k-prototypes for each k: ``k, cost, iterations``.
+                      max_iterations: int = 20, gamma: float | None = None, seed: int = 123, restarts: int = 1) -> DataFrame:
+    """Least cost of ``restarts`` runs of k-prototypes for each k: ``k, cost, iterations`` (of that run).
 
-    All k advance together, so an iteration is one pass over the data whatever the number of k. The
+    All runs of all k advance together, so an iteration is one pass over the data whatever their number. The
     state between passes is the prototypes only, a few records that go along with the next pass;
-    no lineage builds up. Prototypes are means and most frequent categories. The start is the
-    first k distinct records in hash order, which the partitioning does not change.
+    no lineage builds up. Prototypes are means and most frequent categories. A run starts from the
+    first k distinct records in the hash order of its own seed, which the partitioning does not change.
     """
     numeric, categorical = split_by_type(df, columns)
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in numeric], *categorical)
@@ -152,30 +162,36 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
         if gamma is None:
             deviations = rows.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first()
             gamma = 0.5 * sum(deviations) / len(numeric)
-        start = _first_records(rows, key, max(ks), seed)
-        runs = {k: start[:k] for k in ks}
+        starts = _starts(rows, key, max(ks), [seed + i for i in range(restarts)])
+        fits = [(k, start) for k in ks for start in starts]
+        runs = {run: start[:k] for run, (k, start) in enumerate(fits)}
         costs: dict[int, float] = {}
-        spent = {k: 0 for k in runs}
+        spent = {run: 0 for run in runs}
         moving = dict(runs)
         for _ in range(max_iterations):
             before = dict(costs)
             reduced = _reduced(rows, moving, numeric, categorical, gamma)
             updated = _updated_prototypes(reduced, moving, numeric, categorical, costs)
             still = {}
-            for k, prototypes in updated.items():
-                spent[k] += 1
-                if prototypes != moving[k]:
-                    runs[k] = prototypes
-                    if not (k in before and costs[k] >= before[k]):
-                        still[k] = prototypes
+            for run, prototypes in updated.items():
+                spent[run] += 1
+                if prototypes != moving[run]:
+                    runs[run] = prototypes
+                    if not (run in before and costs[run] >= before[run]):
+                        still[run] = prototypes
             moving = still
             if not moving:
                 break
-        final = _reduced(rows, runs, numeric, categorical, gamma).groupBy("k").agg(F.sum("cost").alias("cost"))
-        results = {r["k"]: r["cost"] for r in final.collect()}
+        final = _reduced(rows, runs, numeric, categorical, gamma).groupBy("run").agg(F.sum("cost").alias("cost"))
+        results = {r["run"]: r["cost"] for r in final.collect()}
     finally:
         rows.unpersist()
-    table = [(k, float(results[k]), spent[k]) for k in runs if k in results]
+    table = []
+    for k in ks:
+        of_k = [run for run in results if fits[run][0] == k]
+        if of_k:  # costs that differ by rounding only are equal, then the first run counts
+            best = min(of_k, key=lambda run: (float(f"{results[run]:.10g}"), run))
+            table.append((k, float(results[best]), spent[best]))
     return df.sparkSession.createDataFrame(table, "k int, cost double, iterations int")
 
 
@@ -192,16 +208,16 @@ def _updated_prototypes(reduced, moving, numeric, categorical, costs) -> dict[in
     """New prototypes per run from the reduced rows; an empty cluster keeps its old one."""
     carried = ["cost", *numeric]
     frequent = F.min(F.struct((-F.col("n")).alias("order"), F.col("word").alias("word")))["word"]
-    clusters = reduced.groupBy("k", "cluster", "column").agg(
+    clusters = reduced.groupBy("run", "cluster", "column").agg(
         F.sum("n").alias("n"), frequent.alias("word"), *[F.sum(c).alias(c) for c in carried]).collect()
 
-    updated = {k: [dict(p) for p in prototypes] for k, prototypes in moving.items()}
-    costs.update({k: 0.0 for k in moving})
+    updated = {run: [dict(p) for p in prototypes] for run, prototypes in moving.items()}
+    costs.update({run: 0.0 for run in moving})
     for c in clusters:  # one row per run, cluster and categorical column
-        prototype = updated[c["k"]][c["cluster"]]
+        prototype = updated[c["run"]][c["cluster"]]
         if c["column"] in categorical:
             prototype[c["column"]] = c["word"]
         if c["cost"] is not None:
-            costs[c["k"]] += c["cost"]
+            costs[c["run"]] += c["cost"]
             prototype.update({name: c[name] / c["n"] for name in numeric})
     return updated

@@ -15,7 +15,7 @@ from ..operators import clustering, mixed, outliers, quality, reduction, scaling
 from ..plans import experiments, segmentation
 from ..session import materialise
 from .registry import query
-from .segments import (CENTROIDS, KMEANS_RESTARTS, MIXED_SQL, NEAREST_SQL, PROTOTYPES, PROTOTYPES_SQL, TABLE_SQL,
+from .segments import (CENTROIDS, KMEANS_RESTARTS, KPROTOTYPES_RESTARTS, MIXED_SQL, NEAREST_SQL, PROTOTYPES, PROTOTYPES_SQL, TABLE_SQL,
                        embedding_columns, experiment_table, segmentation_table)
 from .values import LFV_SQL, lifetime_table
 
@@ -159,5 +159,5 @@ def _(t):
 @query("kprototypes_cost_facts", "SELECT CAST(k AS INT) AS k, true AS costed FROM range(2, 10) AS r(k)")
 def _(t):
     columns = [*experiments.MIXED_NUMERIC, *experiments.MIXED_CATEGORICAL]
-    costs = mixed.kprototypes_costs(experiment_table(t), columns, "donor_id")
+    costs = mixed.kprototypes_costs(experiment_table(t), columns, "donor_id", restarts=KPROTOTYPES_RESTARTS)
     return costs.select("k", ((F.col("cost") > 0) & (F.col("iterations") >= 1)).alias("costed"))

@@ -23,6 +23,7 @@ SERVICE_CENTROIDS_SQL = "centroids AS (SELECT * FROM (VALUES " + ", ".join(
 
 NAMES_SQL = "CASE {0} WHEN 0 THEN 'Hibernando' WHEN 1 THEN 'Comprometidos' WHEN 2 THEN 'En riesgo' WHEN 3 THEN 'Campeones' WHEN 4 THEN 'En fuga' END"
 KMEANS_RESTARTS = 10
+KPROTOTYPES_RESTARTS = 10
 
 
 def _z(c: str, table: str) -> str:
@@ -277,7 +278,7 @@ def _(t):
 
 @query("kprototypes_cost")
 def _(t):
-    return mixed.kprototypes_costs(experiment_table(t), [*_NUMERIC, *_CATEGORICAL], "donor_id")
+    return mixed.kprototypes_costs(experiment_table(t), [*_NUMERIC, *_CATEGORICAL], "donor_id", restarts=KPROTOTYPES_RESTARTS)
 
 
 @query("hierarchical_segments")

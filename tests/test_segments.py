@@ -209,6 +209,29 @@ def test_kprototypes_like_by_hand(spark):
         assert cost == pytest.approx(kprototypes_by_hand(records, k, start, 30.0, 20))
 
 
+def test_kprototypes_is_the_best_of_ten_starts(spark):
+    rng = np.random.default_rng(5)
+    records = [{"id": i, "x": float(rng.integers(0, 40)), "g": "abc"[rng.integers(0, 3)]} for i in range(60)]
+    df = spark.createDataFrame([(r["id"], r["x"], r["g"]) for r in records], "id long, x double, g string").repartition(3)
+    starts = [mixed._first_records(df, "id", 4, seed) for seed in range(123, 133)]
+    assert len({str(s) for s in starts}) == 10
+    got = {r["k"]: r["cost"] for r in mixed.kprototypes_costs(df, ["x", "g"], "id", range(2, 5), gamma=30.0, restarts=10).collect()}
+    for k, cost in got.items():
+        by_hand = [kprototypes_by_hand(records, k, s, 30.0, 20) for s in starts]
+        assert cost == pytest.approx(min(by_hand))
+        assert k == 2 or min(by_hand) < max(by_hand) * 0.9
+
+
+def test_kprototypes_query_makes_ten_runs(monkeypatch):
+    from benefacta.queries import segments
+    from benefacta.queries.registry import QUERIES
+    given = {}
+    monkeypatch.setattr(segments, "experiment_table", lambda t: None)
+    monkeypatch.setattr(mixed, "kprototypes_costs", lambda *args, **named: given.update(named))
+    QUERIES["kprototypes_cost"](None)
+    assert given["restarts"] == 10
+
+
 def test_hierarchy(spark):
     rows = [(i, float(i // 25 * 100 + i % 3), "ab"[i % 2]) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, x double, g string")
