@@ -5,10 +5,12 @@
    more can be repeated. Anchors are counted over the corpus; those met twice form a Bloom filter of bounded
    size (a full filter costs work and loses nothing).
 2. *Confirm.* Windows with such an anchor are counted by their hash; those found twice are confirmed.
-3. *Compile.* The confirmed windows of a document form passages. A passage is tiled by windows, one every ``size``
+3. *Compile.* A join with the confirmed hashes lists the windows of each document; they form passages. A passage is tiled by windows, one every ``size``
    words and one at its end. Each block of documents gets an automaton of the distinct tiles that its
    documents hold: the shards are bounded by the block, not by the corpus.
-4. *Stream.* Every document of the block runs through its automaton; the words of all occurrences are removed.
+4. *Stream.* Every document that holds confirmed windows runs through the automaton of its block; the words of all
+   occurrences are removed. The join in step 3 has listed every window of every document by its hash already, so
+   the automata check these places word by word and find no further ones.
 
 Words are separated by blanks, tabs and line ends and compared unchanged. Rows are keyed by 64 bits of a hash
 of id and text, so rows with one id are kept apart, and fully repeated rows are two documents that repeat each other. A
