@@ -6,7 +6,7 @@ the next one of its axis. The loss is the logistic one, plus an L2 term, plus ``
 squared change of the log odds between a text and its swapped copy. A group that happens to be named in toxic texts
 thus earns no weight that its counterpart lacks.
 
-The model is fitted on a bounded sample of labelled rows, ``sample_rows`` of the least hashed ids; words of
+The model is fitted on a bounded sample of labelled rows, at most ``sample_rows`` pairs of id and text; words of
 at most ``max_words``. Scoring reads whole texts by array operations: words are hashed and looked up in the sorted table of kept words.
 A null or empty text scores by the intercept. Null labels are not learned; of several labels of one
 document the larger counts. Without labels of both kinds the score is the share of label 1, or 0.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import add_columns
+from .frames import add_columns, free_name
 from .textarrays import ALNUM, FOLD, beginning_hashes, blocks, find_words, signed, text_buffer, word_hashes
 
 THRESHOLD = 0.3
@@ -177,11 +177,18 @@ def fit(rows: DataFrame, text: str = "text", sample_rows: int = 20_000, max_word
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", sample_rows: int = 20_000) -> DataFrame:
-    """Texts with a label 0 or 1, those of the ``sample_rows`` least hashed ids; the larger label of a document counts."""
+    """Texts with a label 0 or 1: one row for each id and text, ``sample_rows`` at most; the larger label of a document counts.
+
+    They are of the ``sample_rows`` least hashed ids. Where these ids have more texts, the least hashed pairs of id and text stay.
+    """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    return docs.select("doc_id", text).join(F.broadcast(chosen), "doc_id")  # bounded by sample_rows
+    place = free_name(docs, "text_hash")
+    hashed = docs.select("doc_id", text, F.xxhash64(text).alias(place))
+    found = hashed.join(F.broadcast(chosen), "doc_id").select("doc_id", place, "label").distinct()  # bounded by sample_rows
+    pairs = found.orderBy(F.xxhash64("doc_id", place), "doc_id", place).limit(sample_rows)
+    return hashed.join(F.broadcast(pairs), ["doc_id", place]).select("doc_id", text, "label").distinct()
 
 
 def with_scores(docs: DataFrame, model: SteadyLogistic, text: str = "text", name: str = "score") -> DataFrame:

@@ -176,3 +176,12 @@ def test_quality_with_few_labels(frame):
     scores = [r["score"] for r in discriminant.with_scores(docs, "statistics", model).collect()]
     assert len(scores) == len(ODD) and all(0 <= s <= 1 for s in scores)
     assert discriminant.with_scores(docs.limit(0), "statistics", model).count() == 0
+
+
+def test_training_rows_are_bounded_when_ids_repeat(frame):
+    rows = [(7, "copy")] * 400 + [(8, f"text {i}") for i in range(300)] + [(i, "other") for i in range(20, 40)] + [(9, None)] * 5
+    labels = frame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    found = counterfactual.training_rows(frame(rows), labels, "toxic").collect()
+    assert sorted(map(tuple, found), key=str) == sorted({(i, t, i % 2) for i, t in rows}, key=str)
+    few = counterfactual.training_rows(frame(rows), labels, "toxic", sample_rows=50).collect()
+    assert len(few) == 50 == len(set(few)) and set(few) <= set(found)
