@@ -80,29 +80,64 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(np.square(x).sum(axis=1)[:, None] - 2 * x @ centres.T + np.square(centres).sum(axis=1), 0.0)
 
 
-def _spread_starts(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """``k`` points, each drawn in proportion to its squared distance from those before it."""
-    chosen = [points[rng.integers(len(points))]]
-    while len(chosen) < k:
-        far = _distances(points, np.array(chosen)).min(axis=1)
-        share = far / far.sum() if far.sum() > 0 else None
-        chosen.append(points[rng.choice(len(points), p=share)])
-    return np.array(chosen)
-
-
-def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations: int = 300, tolerance: float = 1e-4,
-               start_rows: int = 2000) -> list[tuple[float, np.ndarray]]:
+def _races(hashes: np.ndarray, seed: int, turn: int) -> np.ndarray:
+    """An exponential variable for each hash, its own for each seed and turn."""
+    mixed = hashes + np.uint64(((seed * 1_000_003 + turn) * 0x9E3779B97F4A7C15) % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    mixed ^= mixed >> np.uint64(31)
+    return -np.log(((mixed >> np.uint64(11)).astype("float64") + 0.5) / 2**53)
+
+
+def _spread_starts(values: DataFrame, ks: list[int], seeds: list[int]) -> list[np.ndarray]:
+    """For each run ``k`` rows of all, each drawn in proportion to its squared distance from those before it.
+
+    A vector that occurs n times counts n times. The smallest of the exponential variables, each divided by its weight, is
+    drawn; they follow a hash of vector, seed and turn, which the partitioning does not change. All runs draw in one pass a turn.
+    A run with fewer distinct vectors than ``k`` repeats its first one.
+    """
+    weighted = values.groupBy("x").agg(F.count("*").alias("n")).withColumn("hash", F.xxhash64("x")).persist()
+
+    def draw(chosen: dict[int, list], turn: int) -> dict[int, list]:
+        def work(batches):
+            for batch in batches:
+                x, n = np.stack(batch["x"].to_list()), batch["n"].to_numpy("float64")
+                hashes, rows = batch["hash"].to_numpy("int64").view("uint64"), []
+                for run, before in chosen.items():
+                    far = np.square(x[:, None] - np.array(before)[None]).sum(axis=2).min(axis=1) if before else 1.0
+                    weight = n * far
+                    race = np.divide(_races(hashes, seeds[run], turn), weight, out=np.full(len(x), np.inf), where=weight > 0)
+                    first = race.argmin()
+                    if np.isfinite(race[first]):
+                        rows.append((run, race[first], x[first].tolist()))
+                yield pd.DataFrame(rows, columns=["run", "race", "x"])
+
+        best = weighted.mapInPandas(work, "run int, race double, x array<double>").groupBy("run").agg(
+            F.min(F.struct("race", "x"))["x"].alias("x"))
+        return {r["run"]: r["x"] for r in best.collect()}
+
+    chosen: dict[int, list] = {run: [] for run in range(len(ks))}
+    try:
+        for turn in range(max(ks)):
+            open_runs = {run: before for run, before in chosen.items() if len(before) < ks[run]}
+            drawn = draw(open_runs, turn)
+            for run, before in open_runs.items():
+                before.append(drawn.get(run) or before[0])
+    finally:
+        weighted.unpersist()
+    return [np.array(chosen[run]) for run in range(len(ks))]
+
+
+def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations: int = 300, tolerance: float = 1e-4) -> list[tuple[float, np.ndarray]]:
     """``(cost, centres)`` of one k-means run for each k and seed.
 
     All runs advance together: an iteration is one pass over the vectors, whatever the number of runs, and each
-    task returns one row per run and cluster. Starts are spread over a sample of ``start_rows`` rows in
-    hash order; the centres are what passes between iterations, so no lineage grows.
+    task returns one row per run and cluster. Starts are spread over all rows;
+    the centres are what passes between iterations, so no lineage grows.
     """
     values = vectors.select(vector_to_array(FEATURES).alias("x"))
-    head = values.orderBy(F.xxhash64("x"), "x").limit(start_rows).toPandas()["x"]
-    points = np.stack(head.to_list())
-    dims = points.shape[1]
-    centres = [_spread_starts(points, k, np.random.default_rng(seed)) for k, seed in zip(ks, seeds)]
+    centres = _spread_starts(values, ks, seeds)
+    dims = centres[0].shape[1]
     costs = [np.inf] * len(ks)
 
     def reduced(moving: dict[int, np.ndarray]) -> list:

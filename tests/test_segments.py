@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from benefacta.functions import labels
 from benefacta.operators import clustering, mixed, quality, reduction, sampling, scaling, scoring
@@ -260,3 +261,25 @@ def test_run_record(table):
     assert run["best_k"] == run["n_clusters"] == fitted.k and run["silhouette"] == pytest.approx(dict(fitted.scores)[fitted.k], abs=0.05)
     assert given == {"clusters": str(fitted.k), "variables": "dltv, churn_prob, effectiveness", "n_components": "3"}
     assert sum(r["value"] for r in rows if r["metric"] == "size") == 200
+
+
+def test_starts_are_drawn_from_all_rows(spark):
+    from pyspark.ml.functions import array_to_vector
+    # 40 far rows among 20,000, a third of which are one vector
+    x = F.when(F.col("id") >= 19_960, 1000.0 + F.col("id") % 7).when(F.col("id") % 3 == 0, 0.5).otherwise(F.col("id") / 20_000)
+    df = spark.range(20_000).select(array_to_vector(F.array(x, x * 0)).alias(clustering.FEATURES))
+    values = df.select(clustering.vector_to_array(clustering.FEATURES).alias("x"))
+    drawn = [clustering._spread_starts(values.repartition(p), [2] * 10, list(range(10))) for p in (2, 7)]
+    assert all((a == b).all() for a, b in zip(*drawn))
+    assert all(start[:, 0].max() >= 1000 for start in drawn[0])
+    assert len({float(start[0, 0]) for start in drawn[0]}) > 4
+    for cost, centres in clustering.lloyd_runs(df, [2] * 10, list(range(10)), iterations=1):
+        assert centres[:, 0].max() >= 1000 and cost < 20_000
+
+
+def test_first_starts_follow_how_often_a_vector_occurs(spark):
+    values = spark.range(900).select(F.array(F.when(F.col("id") % 3 == 0, 7.0).otherwise(F.col("id").cast("double"))).alias("x"))
+    first = [float(s[0, 0]) for s in clustering._spread_starts(values, [1] * 300, list(range(300)))]
+    assert 70 <= first.count(7.0) <= 130 and len(set(first)) > 120
+    same = clustering._spread_starts(spark.range(5).select(F.array(F.lit(3.0)).alias("x")), [3], [1])
+    assert same[0].tolist() == [[3.0]] * 3
