@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .frames import add_columns, free_name
-from .textarrays import ALNUM, FOLD, blocks, find_words, gram_hashes, text_buffer, word_hashes
+from .textarrays import ALNUM, FOLD, blocks, find_words, gram_hashes, signed, word_hashes
 
 WORDS = 10
 BLOCK_WINDOWS = 200_000
+PIECE_WINDOWS = 20_000
 _BITS = 20
 
 
@@ -50,22 +51,14 @@ def _normal(data: np.ndarray, starts, ends) -> bytes:
     return b" ".join(FOLD[data[s:e]].tobytes() for s, e in zip(starts, ends))
 
 
-def gram_tables(items: Iterator[tuple[str | None, str | None]], size: int, block_windows: int) -> Iterator[list[GramTable]]:
-    """Tables of up to ``block_windows`` windows (plus those of one item) for the items given."""
+def gram_tables(windows: Iterator[tuple[int, int, bytes, str | None]], block_windows: int) -> Iterator[list[GramTable]]:
+    """Tables of at most ``block_windows`` of the windows given: length, hash, word sequence and item."""
     held: dict[int, dict[int, dict[bytes, set[str]]]] = {}
     count = 0
-    for item, text in items:
-        data, offsets = text_buffer(pa.array([text], pa.string()))
-        words = find_words(data, offsets, ALNUM)
-        n = len(words.starts)
-        if not n:
-            continue
-        length = min(size, n)
-        for i, gram in enumerate(gram_hashes(word_hashes(words, ALNUM, FOLD), length).tolist()):
-            sequence = _normal(data, words.starts[i:i + length], words.ends[i:i + length])
-            names = held.setdefault(length, {}).setdefault(gram, {}).setdefault(sequence, set())
-            names.update([] if item is None else [item])
-            count += 1
+    for length, gram, sequence, item in windows:
+        names = held.setdefault(length, {}).setdefault(gram, {}).setdefault(sequence, set())
+        names.update([] if item is None else [item])
+        count += 1
         if count >= block_windows:
             yield [GramTable(k, v) for k, v in sorted(held.items())]
             held, count = {}, 0
@@ -123,7 +116,7 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame, text: str = "t
     Spans of one scan do not overlap; with several scans, spans of different scans may.
     """
     name, added = free_name(docs, result), []
-    for tables in gram_tables(_items(benchmark, item, item_text), size, block_windows):
+    for tables in gram_tables(_windows(benchmark, item, item_text, size), block_windows):
         shipped = docs.sparkSession.sparkContext.broadcast(tables)
         columns = [free_name(docs, f"{result}_{k}_{len(added)}") for k in ("words", "spans", "items")]
         schema = T.StructType([T.StructField(c, f.dataType) for c, f in zip(columns, _FOUND.fields)])
@@ -141,10 +134,31 @@ def find_benchmark_windows(docs: DataFrame, benchmark: DataFrame, text: str = "t
     return docs.withColumn(name, both).drop(*[c for group in added for c in group]), name
 
 
-def _items(benchmark: DataFrame, item: str, item_text: str) -> Iterator[tuple[str | None, str | None]]:
-    """Items one after the other; the driver holds one partition of the benchmark at a time."""
-    for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).toLocalIterator():
-        yield row["i"], row["t"]
+def _windows(benchmark: DataFrame, item: str, item_text: str, size: int) -> Iterator[tuple[int, int, bytes, str | None]]:
+    """Distinct windows of all items, cut and hashed in tasks; the driver holds one partition of them at a time."""
+    def run(batches):
+        for batch in batches:
+            for part, data, offsets in blocks(batch, "t"):
+                words = find_words(data, offsets, ALNUM)
+                hashes = word_hashes(words, ALNUM, FOLD)
+                for text, name in enumerate(part.column(0).to_pylist()):
+                    low, high = int(words.first[text]), int(words.first[text + 1])
+                    if low == high:
+                        continue
+                    length = min(size, high - low)
+                    grams = signed(gram_hashes(hashes[low:high], length))
+                    for at in range(0, len(grams), PIECE_WINDOWS):
+                        piece = grams[at:at + PIECE_WINDOWS]
+                        sequences = [_normal(data, words.starts[i:i + length], words.ends[i:i + length])
+                                     for i in range(low + at, low + at + len(piece))]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([length] * len(piece), pa.int32()), pa.array(piece), pa.array(sequences, pa.binary()),
+                            pa.array([name] * len(piece), pa.string())], names=["length", "gram", "sequence", "item"])
+
+    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t"))
+    found = items.mapInArrow(run, "length int, gram long, sequence binary, item string").distinct()
+    for row in found.toLocalIterator():
+        yield row["length"], row["gram"] % 2**64, bytes(row["sequence"]), row["item"]
 
 
 def covered_words(spans: Column) -> Column:

@@ -77,3 +77,14 @@ def test_empty_tables_and_extra_columns(frame):
     assert [tuple(r) for r in decontaminate.remove_contaminated(docs, none).orderBy("n_words").collect()][0] == (None, "uno", 6, None)
     kept = decontaminate.remove_contaminated(docs, frame([(1, "uno")], "item_id long, text string"))
     assert [tuple(r) for r in kept.collect()] == [(1, "é one", 5, "mine")] * 2 and kept.columns == docs.columns
+
+
+def test_tables_stay_within_the_bound_inside_an_item(frame):
+    long_item = " ".join(f"w{i}" for i in range(300))
+    benchmark = frame([("a", long_item), ("b", long_item), ("a", long_item), (None, "two words")], "item_id string, text string")
+    tables = list(decontaminate.gram_tables(decontaminate._windows(benchmark, "item_id", "text", 10), 50))
+    sizes = [sum(max(len(names), 1) for t in block for e in t.entries.values() for names in e.values()) for block in tables]
+    assert max(sizes) <= 50 and sum(sizes) == 2 * 291 + 1
+    docs = frame([(1, long_item), (2, "x two words y"), (3, "w1 w2 clean")])
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontaminate.contamination_report(docs, benchmark, block_windows=200).collect()}
+    assert got == {1: (300, 2), 2: (2, 0), 3: (0, 0)}
