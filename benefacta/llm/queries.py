@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (compression, counterfactual, dart, decontaminate, discriminant, ownership, phrases, poisson, risk, sql, warc)
+from . import (compression, counterfactual, dart, decontaminate, discriminant, fim, ownership, phrases, poisson, risk, sql, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -106,4 +106,13 @@ def op10_quality_discriminant(spark, sf_dir):
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_chunk_memo_fim(spark, sf_dir):
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = fim.restored(F.col("fim_text"), F.col("form"))
+    return cut.select("doc_id", F.col("n_lines").alias("n"), "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("fim_text").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
 ORACLES: dict[str, str] = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

@@ -141,6 +141,21 @@ counted AS (SELECT doc_id, text, lang, source, n_chars, (SELECT count(*) FROM st
 copied AS (SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, n + 1)) AS INT) AS copy FROM counted)
 SELECT *, CAST('0x' || substr(md5('{poisson.SEED}:' || doc_id || ':' || copy), 1, 15) AS BIGINT) AS shuffle_key FROM copied"""
 
+_MIDDLE = r"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS w,
+                    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT *, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS y,
+                 CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 AS suffix_first FROM cut),
+parts AS (SELECT doc_id, t, n, CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+                 coalesce(array_to_string(w[1:least(x, y)], ''), '') AS p,
+                 coalesce(array_to_string(w[least(x, y) + 1:greatest(x, y)], ''), '') AS m,
+                 coalesce(array_to_string(w[greatest(x, y) + 1:], ''), '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
+
 ORACLES = {
     "op1_secret_ownership": _secrets(),
     "op3_phrase_automata": _PASSAGES,
@@ -148,4 +163,5 @@ ORACLES = {
     "op7_risk_controlled_rules": _rules(),
     "op8_benchmark_decontamination": _BENCHMARK,
     "op9_poisson_mixing": _MIXING,
+    "op11_chunk_memo_fim": _MIDDLE,
 }
