@@ -57,6 +57,11 @@ def fresh_path(spark: SparkSession, purpose: str) -> str:
     return f"{application_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Free a stored table that nothing reads any more, before the program ends."""
+    _remove(spark, path)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
