@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (compression, counterfactual, dart, decontaminate, discriminant, fim, ownership, phrases, poisson, risk, sql, warc)
+from . import (centroids, compression, counterfactual, dart, decontaminate, discriminant, fim, ownership, phrases, poisson, risk, sql, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -115,4 +115,11 @@ def op11_chunk_memo_fim(spark, sf_dir):
                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
 
 
+@query
+def op13_heap_bounded_centroids(spark, sf_dir):
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.centroid_digest(F.col("centroid")).alias("centroid_sha256"))
+
+
 ORACLES: dict[str, str] = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

@@ -156,6 +156,30 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
        sha256(t) AS restored_sha256
 FROM parts"""
 
+def _centroids(k: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
+    parts = [f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, [CAST(floor(256 * CAST(y AS DOUBLE)) AS BIGINT) for y in embedding] AS x FROM embeddings
+  WHERE len(embedding) = {dimensions} AND len([1 for y in embedding if y IS NOT NULL AND isfinite(y)]) = {dimensions}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, x FROM (
+  SELECT sha256('2:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {k}))"""]
+    for i in range(rounds + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT vec_id, any_value(x) AS x, min({{'d': d, 'c': c}}) AS near FROM (
+  SELECT vec_id, v.x, c, list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(v.x, m.x)]) AS d FROM v, c{i} m) GROUP BY vec_id)""")
+        if i < rounds:
+            parts.append(f"""
+m{i} AS (SELECT c, list(mean ORDER BY i) AS x FROM (
+  SELECT c, i, (s - ((s % n) + n) % n) // n AS mean FROM (
+    SELECT near.c AS c, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM a{i}, range(1, {dimensions + 1}) AS r(i) GROUP BY ALL)) GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(m{i}.x, o.x) AS x FROM c{i} o LEFT JOIN m{i} USING (c))""")
+    return ",".join(parts) + f"""
+SELECT vec_id, CAST(near.c AS INT) AS cluster, CAST(near.d AS BIGINT) AS distance,
+       CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia, CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} m ON m.c = near.c"""
+
+
 ORACLES = {
     "op1_secret_ownership": _secrets(),
     "op3_phrase_automata": _PASSAGES,
@@ -164,4 +188,5 @@ ORACLES = {
     "op8_benchmark_decontamination": _BENCHMARK,
     "op9_poisson_mixing": _MIXING,
     "op11_chunk_memo_fim": _MIDDLE,
+    "op13_heap_bounded_centroids": _centroids(),
 }
