@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (centroids, compression, counterfactual, dart, decontaminate, discriminant, fim, ownership, phrases, poisson, risk, sql, warc)
+from . import (centroids, compression, counterfactual, dart, decontaminate, discriminant, fim, overlap, ownership, phrases, poisson, risk, sql, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -115,6 +115,11 @@ def op11_chunk_memo_fim(spark, sf_dir):
                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
 
 
+@query
+def op12_skip_overlap_join(spark, sf_dir):
+    return overlap.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_heap_bounded_centroids(spark, sf_dir):
     found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))

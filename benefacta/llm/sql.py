@@ -156,6 +156,19 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN leng
        sha256(t) AS restored_sha256
 FROM parts"""
 
+_LINKED = f"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+                         FROM documents),
+grams AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM split WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 90 * (p.n + q.n - c)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT s.doc_id, coalesce(n, 0) AS n_shingles, least(s.doc_id, coalesce(min(b), s.doc_id)) AS component_id
+FROM split s LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, n"""
+
+
 def _centroids(k: int = 40, rounds: int = 5, dimensions: int = 64) -> str:
     parts = [f"""
 WITH v AS MATERIALIZED (
@@ -188,5 +201,6 @@ ORACLES = {
     "op8_benchmark_decontamination": _BENCHMARK,
     "op9_poisson_mixing": _MIXING,
     "op11_chunk_memo_fim": _MIDDLE,
+    "op12_skip_overlap_join": _LINKED,
     "op13_heap_bounded_centroids": _centroids(),
 }
