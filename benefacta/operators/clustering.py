@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .scaling import Moments, fit_moments
+from .tiles import mean_silhouette
 
 FEATURES = "features"
 CLUSTER = "cluster"
@@ -60,10 +61,12 @@ def _side_by_side(fn, items, parallelism: int) -> list:
         return pool.map(fn, items, chunksize=1)
 
 
-def silhouette(labelled: DataFrame) -> float:
-    """Mean silhouette with squared Euclidean distance; linear in the rows."""
+def silhouette(labelled: DataFrame, metric: str = "squaredEuclidean") -> float:
+    """Mean silhouette: with ``squaredEuclidean`` distance linear in the rows, with ``euclidean`` by tiles of distances."""
+    if metric == "euclidean":
+        return mean_silhouette(labelled.withColumn("_x", vector_to_array(FEATURES)), "_x", CLUSTER)
     return ClusteringEvaluator(featuresCol=FEATURES, predictionCol=CLUSTER,
-                               distanceMeasure="squaredEuclidean").evaluate(labelled)
+                               distanceMeasure=metric).evaluate(labelled)
 
 
 def nearest_of(centres: np.ndarray):
@@ -179,14 +182,14 @@ def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations:
 
 
 def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123, restarts: int = 10,
-             parallelism: int = PARALLEL_FITS) -> list[tuple[int, float]]:
-    """``(k, silhouette)`` of the best of ``restarts`` runs for each k. ``vectors`` should be persisted."""
+             parallelism: int = PARALLEL_FITS, metric: str = "squaredEuclidean") -> list[tuple[int, float]]:
+    """``(k, silhouette)`` of the best of ``restarts`` runs for each k, by either metric. ``vectors`` should be persisted."""
     fits = [(k, seed + attempt) for k in ks for attempt in range(restarts)]
     runs = lloyd_runs(vectors, [k for k, _ in fits], [s for _, s in fits])
     best = {k: min((run for (of, _), run in zip(fits, runs) if of == k), key=lambda run: run[0])[1] for k in ks}
 
     def score(k):
-        return k, silhouette(vectors.withColumn(CLUSTER, nearest_of(best[k])(F.col(FEATURES))))
+        return k, silhouette(vectors.withColumn(CLUSTER, nearest_of(best[k])(F.col(FEATURES))), metric)
 
     return _side_by_side(score, ks, parallelism)
 
@@ -205,12 +208,12 @@ class Segmentation(NamedTuple):
 
 
 def segment(df: DataFrame, columns: list[str], k: int | None = None, restarts: int = 10,
-            seed: int = 0) -> Segmentation:
-    """Scale, choose k if none is given, fit and label."""
+            seed: int = 0, metric: str = "squaredEuclidean") -> Segmentation:
+    """Scale, choose k by the silhouette of ``metric`` if none is given, fit and label."""
     vectors, stages = scaled_vectors(df, columns)
     vectors = vectors.persist()
     try:
-        scores = [] if k else k_scores(vectors, restarts=restarts)
+        scores = [] if k else k_scores(vectors, restarts=restarts, metric=metric)
         k = k or pick_k(scores)
         kmeans = fit_kmeans(vectors, k, restarts, seed)
     finally:

@@ -22,7 +22,7 @@ class Training(NamedTuple):
 
 
 def train_segments(table: DataFrame, features: list[str] | None = None, k: int | None = None,
-                   restarts: int = 10, seed: int = 0) -> Training:
+                   restarts: int = 10, seed: int = 0, metric: str = "squaredEuclidean") -> Training:
     """Fit on the donors inside the fences of value and risk, then label the others with that model.
 
     Outliers are scaled with the statistics of the training rows, which the model contains. The
@@ -31,7 +31,7 @@ def train_segments(table: DataFrame, features: list[str] | None = None, k: int |
     features = features or FEATURES
     complete = materialise(scoring.drop_null_features(table, features), "training-table")
     normal, outside = outliers.split_outliers_chained(complete, features[:2])
-    fitted = clustering.segment(normal, features, k, restarts, seed)
+    fitted = clustering.segment(normal, features, k, restarts, seed, metric)
     labelled_outside = clustering.without_vectors(fitted.model.transform(outside), features)
     labelled = fitted.labelled.unionByName(labelled_outside)
     return Training(fitted.model, labelled, fitted.k, fitted.scores)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring
+from ..operators import cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring, tiles
 from ..plans import experiments, lifetime, segmentation
 from ..session import fresh_path, materialise
 from ..streaming.scoring import score_available
@@ -169,6 +169,12 @@ def _(t):
     return quality.squared_silhouette(frame, "embedding", key="vec_id").withColumn("silhouette", F.round("silhouette", 5))
 
 
+@query("silhouette_euclidean", "WITH " + _SILHOUETTE.format(distance=f"sqrt({_SQUARED})"))
+def _(t):
+    frame = t.embeddings.withColumnRenamed("label", "cluster")
+    return tiles.euclidean_silhouette(frame, "embedding", key="vec_id").withColumn("silhouette", F.round("silhouette", 5))
+
+
 _MIXED_SQL = f"""{LFV_SQL}, {CHANNELS_SQL},
 mixed AS (SELECT lfv.donor_id, dltv, lfv.age, churn_max, instalments_paid / (tenure_years + 1) AS avg_paid,
                  instalments_unpaid / (tenure_years + 1) AS avg_unpaid, gender, main_channel, channels

@@ -39,7 +39,8 @@ def test_silhouettes_score_every_row(spark, tmp_path):
     table = spark.range(1500).select(F.col("id").alias("vec_id"), (F.col("id") % 3).cast("int").alias("label"), vectors.alias("embedding"))
     table.write.parquet(str(tmp_path / "embeddings.parquet"))
     names = [n for n in registry.QUERIES if n.startswith("silhouette")]
-    assert {n: entry.queries()[n](spark, str(tmp_path)).select("vec_id").distinct().count() for n in names} == {"silhouette_squared": 1500}
+    assert {n: entry.queries()[n](spark, str(tmp_path)).select("vec_id").distinct().count() for n in names} == {
+        "silhouette_squared": 1500, "silhouette_euclidean": 1500}
 
 
 def test_entry(spark):
