@@ -11,7 +11,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import DataFrame, Row, functions as F
 
-from ..operators import clustering, mixed, outliers, quality, reduction, scaling, scoring
+from ..operators import boosting, clustering, mixed, outliers, quality, reduction, scaling, scoring
 from ..plans import experiments, segmentation
 from ..session import materialise
 from .registry import query
@@ -124,6 +124,39 @@ def _(t):
                      (F.min("accuracy") > 0.5).alias("better_than_chance"))
 
 
+@query("boosted_importance_facts", """SELECT CAST(3 AS BIGINT) AS features, true AS used, true AS gained, true AS accurate""")
+def _(t):
+    training = segmentation.train_segments(segmentation_table(t))
+    found = boosting.boosted_importance(training.labelled, segmentation.FEATURES, "donor_id")
+    return found.agg(F.count("*").alias("features"), (F.min("splits") > 0).alias("used"), (F.min("gain") > 0).alias("gained"),
+                     (F.min("accuracy") > 0.8).alias("accurate"))
+
+
+BOOSTED = 8  # components of the embeddings
+CUTS = [-0.2, -0.1, 0.0, 0.1, 0.2]
+
+
+@query("boosting_first_cuts", f"""
+WITH k AS (SELECT count(DISTINCT label) AS k, 2.0 / count(DISTINCT label) * (1 - 1.0 / count(DISTINCT label)) AS h FROM embeddings),
+classes AS (SELECT DISTINCT label AS class FROM embeddings),
+sums AS (SELECT class, f, cut, count(*) AS n, count(*) FILTER (CAST(embedding[f + 1] AS DOUBLE) <= cut) AS ln,
+                sum(1.0 / k - CASE WHEN label = class THEN 1 ELSE 0 END) AS g,
+                coalesce(sum(1.0 / k - CASE WHEN label = class THEN 1 ELSE 0 END) FILTER (CAST(embedding[f + 1] AS DOUBLE) <= cut), 0) AS lg
+         FROM embeddings, k, classes, range({BOOSTED}) AS r(f), (VALUES {", ".join(f"({c}::DOUBLE)" for c in CUTS)}) AS c(cut) GROUP BY ALL),
+gains AS (SELECT class, f, cut, round(0.5 * (lg * lg / (ln * h + 1) + (g - lg) * (g - lg) / ((n - ln) * h + 1) - g * g / (n * h + 1)), 9) AS gain
+          FROM sums, k WHERE ln * h >= 1 AND (n - ln) * h >= 1)
+SELECT class, CAST(f AS INT) AS feature, cut, round(gain, 6) AS gain FROM gains WHERE gain > 1e-6
+QUALIFY row_number() OVER (PARTITION BY class ORDER BY gain DESC, f, cut) = 1""")
+def _(t):
+    names = [f"x{i}" for i in range(BOOSTED)]
+    rows = embedding_columns(t).select("cluster", *names)
+    model = boosting.fit(rows, names, "cluster", [np.array(CUTS)] * BOOSTED, rounds=1, depth=1)
+    gains = iter(model.splits)
+    found = [(c, int(tree.feature[0]), float(CUTS[tree.cut[0]]), round(next(gains)[1], 6))
+             for c, tree in zip(model.classes, model.rounds[0]) if tree.feature[0] >= 0]
+    return t.spark.createDataFrame(found, "class int, feature int, cut double, gain double")
+
+
 @query("lloyd_step", f"""WITH {TABLE_SQL}, {NEAREST_SQL}
 SELECT CAST(cluster AS INT) AS cluster, count(*) AS n, round(avg(a), 6) AS value, round(avg(b), 6) AS risk, round(avg(c), 6) AS effect
 FROM scaled JOIN coded USING (donor_id) GROUP BY cluster""")

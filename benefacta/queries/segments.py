@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring, tiles
+from ..operators import boosting, cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring, tiles
 from ..plans import experiments, lifetime, segmentation
 from ..session import fresh_path, materialise
 from ..streaming.scoring import score_available
@@ -270,6 +270,12 @@ def _(t):
     return quality.segment_importance(training.labelled, segmentation.FEATURES, "donor_id")
 
 
+@query("boosted_importance")
+def _(t):
+    training = segmentation.train_segments(segmentation_table(t))
+    return boosting.boosted_importance(training.labelled, segmentation.FEATURES, "donor_id")
+
+
 @query("pca_scores")
 def _(t):
     normal, _out = outliers.split_outliers(materialise(experiment_table(t), "pca-table"), "dltv")
