@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators import clustering, outliers, quality, reduction
+from ..operators import clustering, linkage, outliers, quality, reduction
 from ..session import materialise
 
 KMEANS_COLUMNS = ["dltv", "age", "churn_max"]
 MIXED_NUMERIC = ["dltv", "age", "avg_paid", "avg_unpaid"]
 MIXED_CATEGORICAL = ["gender", "main_channel"]
+LINKED_CATEGORICAL = [*MIXED_CATEGORICAL, "marital_status"]
 PCA_COLUMNS = ["age", "avg_paid", "avg_unpaid", "channels", "dltv", "churn_max"]
 
 
@@ -36,6 +37,14 @@ def hierarchical_experiment(table: DataFrame, clusters: int = 4) -> DataFrame:
     return clustering.hierarchical_segments(normal, MIXED_NUMERIC, MIXED_CATEGORICAL, clusters)
 
 
+def linkage_experiment(table: DataFrame, clusters: int = 4, most: int = linkage.MOST,
+                       profiles: bool = False) -> tuple[linkage.Hierarchy, DataFrame]:
+    """Average linkage of the donors without value outliers, and their segments when the tree is cut."""
+    normal, _ = outliers.split_outliers(materialise(table, "linkage-table"), "dltv")
+    found = linkage.hierarchy(normal, MIXED_NUMERIC, LINKED_CATEGORICAL, most, profiles)
+    return found, found.label(normal.dropna(subset=MIXED_NUMERIC), clusters)
+
+
 def run_record(fitted: clustering.Segmentation, columns: list[str], run_id: str, **parameters) -> DataFrame:
     """Everything a run leaves behind: parameters (``clusters``, ``variables`` and those given), run-level scores
     (``best_k``, ``n_clusters``, ``silhouette``) and the profile of each cluster."""

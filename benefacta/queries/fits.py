@@ -11,12 +11,13 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import DataFrame, Row, functions as F
 
-from ..operators import boosting, clustering, mixed, outliers, quality, reduction, scaling, scoring
+from ..operators import boosting, clustering, linkage, mixed, outliers, quality, reduction, scaling, scoring
+from ..operators.sampling import seeded_sample
 from ..plans import experiments, segmentation
 from ..session import materialise
 from .registry import query
-from .segments import (CENTROIDS, KMEANS_RESTARTS, KPROTOTYPES_RESTARTS, MIXED_SQL, NEAREST_SQL, PROTOTYPES, PROTOTYPES_SQL, TABLE_SQL,
-                       embedding_columns, experiment_table, segmentation_table)
+from .segments import (CENTROIDS, GOWER_KEYS_SQL, GOWER_SQL, KMEANS_RESTARTS, KPROTOTYPES_RESTARTS, MIXED_SQL, NEAREST_SQL, PROTOTYPES, PROTOTYPES_SQL, TABLE_SQL,
+                       embedding_columns, experiment_table, linkage_table, segmentation_table)
 from .values import LFV_SQL, lifetime_table
 
 GAMMA = 1000.0
@@ -194,3 +195,34 @@ def _(t):
     columns = [*experiments.MIXED_NUMERIC, *experiments.MIXED_CATEGORICAL]
     costs = mixed.kprototypes_costs(experiment_table(t), columns, "donor_id", restarts=KPROTOTYPES_RESTARTS)
     return costs.select("k", ((F.col("cost") > 0) & (F.col("iterations") >= 1)).alias("costed"))
+
+
+_LINKED_ROWS = f"""{LFV_SQL}, {MIXED_SQL}, {_fences('mixed', 'dltv', 'inside')},
+linked AS (SELECT count(*) AS rows FROM inside WHERE age IS NOT NULL AND avg_paid IS NOT NULL AND avg_unpaid IS NOT NULL)"""
+
+
+@query("linkage_segments_facts", f"WITH {_LINKED_ROWS} SELECT rows, CAST(4 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS unlabelled FROM linked")
+def _(t):
+    _, labelled = experiments.linkage_experiment(linkage_table(t))
+    return labelled.agg(F.count("*").alias("rows"), F.count_distinct("cluster").alias("clusters"),
+                        F.count_if(F.col("cluster").isNull()).alias("unlabelled"))
+
+
+@query("linkage_tree_facts", f"WITH {_LINKED_ROWS} SELECT rows, true AS rising FROM linked")
+def _(t):
+    found, _ = experiments.linkage_experiment(linkage_table(t))
+    heights = [height for *_, height, _ in found.merges]
+    rising = all(a <= b + 1e-9 for a, b in zip(heights, heights[1:]))
+    return t.spark.createDataFrame([(found.merges[-1][3], rising)], "rows long, rising boolean")
+
+
+@query("linkage_first_merges", f"""WITH {LFV_SQL}, {MIXED_SQL}, {GOWER_KEYS_SQL.format('picked')},
+pairs AS (SELECT {GOWER_SQL.format(a='p', b='q')} AS d FROM picked p JOIN picked q ON p.donor_id < q.donor_id, spans)
+SELECT (SELECT count(*) FROM picked) - (SELECT count(*) FROM (SELECT DISTINCT dltv, age, avg_paid, avg_unpaid, gender, main_channel FROM picked)) AS equal_rows,
+       (SELECT round(min(d), 6) FROM pairs WHERE d > 1e-9) AS first_height""")
+def _(t):
+    columns = [*experiments.MIXED_NUMERIC, *experiments.MIXED_CATEGORICAL]
+    sample = seeded_sample(experiment_table(t).select("donor_id", *columns).dropna(subset=experiments.MIXED_NUMERIC), "donor_id")
+    found = linkage.hierarchy(sample, experiments.MIXED_NUMERIC, experiments.MIXED_CATEGORICAL, most=1000)
+    equal = int(found.leaves.n.sum()) - len(found.leaves.n)
+    return t.spark.createDataFrame([(equal, round(found.merges[0][2], 6))], "equal_rows long, first_height double")

@@ -197,6 +197,8 @@ _GOWER = """(abs({a}.dltv - {b}.dltv) / r1 + abs({a}.age - {b}.age) / r2 + abs({
   + abs({a}.avg_unpaid - {b}.avg_unpaid) / r4 + CASE WHEN {a}.gender = {b}.gender THEN 0 ELSE 1 END
   + CASE WHEN {a}.main_channel = {b}.main_channel THEN 0 ELSE 1 END) / 6"""
 
+GOWER_KEYS_SQL, GOWER_SQL = _GOWER_KEYS, _GOWER  # for other modules
+
 
 @query("gower_pairs", f"""WITH {_MIXED_SQL}, {_GOWER_KEYS.format('picked')},
 pairs AS (SELECT p.donor_id, {_GOWER.format(a='p', b='q')} AS d FROM picked p JOIN picked q ON p.donor_id <> q.donor_id, spans)
@@ -297,3 +299,24 @@ def _(t):
 def _(t):
     return experiments.hierarchical_experiment(experiment_table(t)).select(
         "donor_id", "cluster", *_NUMERIC, *_CATEGORICAL)
+
+
+MARITAL = ["Soltero", "Casado", "Viudo", "Otro"]
+
+
+def linkage_table(t):
+    """The experiment's columns with the marital status, which the test tables lack; it follows from the donor's number."""
+    status = F.when(F.col("donor_id") % 7 != 0, F.get(F.array(*map(F.lit, MARITAL)), F.col("donor_id") % 4))
+    return experiment_table(t).withColumn("marital_status", status)
+
+
+@query("linkage_segments")
+def _(t):
+    _found, labelled = experiments.linkage_experiment(linkage_table(t))
+    return labelled.select("donor_id", "cluster", *_NUMERIC, *experiments.LINKED_CATEGORICAL)
+
+
+@query("linkage_tree")
+def _(t):
+    found, _labelled = experiments.linkage_experiment(linkage_table(t))
+    return found.tree(t.spark)
