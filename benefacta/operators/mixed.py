@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .clustering import _races
 from .sampling import sample_order, seeded_sample
 
 
@@ -146,14 +148,97 @@ def _starts(rows: DataFrame, key: str, n: int, seeds: list[int]) -> list[list[di
     return found
 
 
-def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10),
-                      max_iterations: int = 20, gamma: float | None = None, seed: int = 123, restarts: int = 1) -> DataFrame:
-    """Least cost of ``restarts`` runs of k-prototypes for each k: ``k, cost, iterations`` (of that run).
+def _uniform(seed: int, turn: int, places) -> np.ndarray:
+    """Numbers in (0, 1) that follow from seed, turn and place alone."""
+    return np.exp(-_races(np.asarray(places, np.uint64), seed, turn))
+
+
+def huang_starts(rows: DataFrame, numeric: list[str], categorical: list[str], sizes: list[int], seeds: list[int]) -> list[list[dict]]:
+    """For each run ``sizes[i]`` prototypes: numbers drawn from a normal distribution with the column's mean and deviation,
+    categories in proportion to their frequency, each column for itself, then moved to the nearest record.
+
+    A category is drawn by the least of exponential variables divided by the frequencies, all runs and prototypes in one
+    aggregate per column. Then one pass over the distinct combinations of categories finds the nearest ones of each prototype;
+    one prototype after the other takes the nearest that is no other's categories, the first by its words of equally near ones,
+    or the nearest of all if none is free.
+    """
+    draws = [(run, i) for run, size in enumerate(sizes) for i in range(size)]
+    starts: list[list[dict]] = [[{} for _ in range(size)] for size in sizes]
+    if numeric:
+        moments = rows.agg(*[F.avg(c).alias(f"m{j}") for j, c in enumerate(numeric)],
+                           *[F.stddev_pop(c).alias(f"s{j}") for j, c in enumerate(numeric)]).first()
+        for run, i in draws:
+            for j, (c, u) in enumerate(zip(numeric, _uniform(seeds[run], i, range(len(numeric))))):
+                normal = NormalDist().inv_cdf(min(max(float(u), 1e-12), 1 - 1e-12))
+                starts[run][i][c] = (moments[f"m{j}"] or 0.0) + normal * (moments[f"s{j}"] or 0.0)
+    if not categorical:
+        return starts
+    combined = rows.groupBy(*categorical).agg(F.count("*").alias("_n")).persist()
+    try:
+        for j, c in enumerate(categorical):
+            for r in _drawn_words(combined.groupBy(F.col(c).alias("word")).agg(F.sum("_n").alias("n")), draws, seeds, len(numeric) + j).collect():
+                run, i = draws[r["draw"]]
+                starts[run][i][c] = r["word"]
+        near: dict[int, list[tuple]] = {}
+        for r in _nearest_records(combined.select(*categorical), categorical, [starts[run][i] for run, i in draws], max(sizes) + 1).collect():
+            near.setdefault(r["draw"], []).append((r["differs"], tuple(r[c] for c in categorical)))
+    finally:
+        combined.unpersist()
+    for draw, (run, i) in enumerate(draws):
+        taken = [tuple(p[c] for c in categorical) for p in starts[run][:i] + starts[run][i + 1:]]
+        ranked = [words for _, words in sorted(near.get(draw, []), key=lambda x: (x[0], [(w is not None, w or "") for w in x[1]]))]
+        chosen = next((words for words in ranked if words not in taken), ranked[0])
+        starts[run][i].update(zip(categorical, chosen))
+    return starts
+
+
+def _drawn_words(counts: DataFrame, draws: list[tuple[int, int]], seeds: list[int], column: int) -> DataFrame:
+    """``draw, word``: one word for each prototype of each run, in proportion to ``n``."""
+    def race(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            hashes, n = batch["hash"].to_numpy("int64").view("uint64"), batch["n"].to_numpy("float64")
+            best = []
+            for run, i in draws:
+                times = _races(hashes, seeds[run], 1000 * (column + 1) + i) / n
+                first = int(times.argmin())
+                best.append((float(times[first]), batch["word"].iloc[first]))
+            yield pd.DataFrame({"draw": range(len(draws)), "time": [t for t, _ in best],
+                                "word": [None if pd.isna(w) else w for _, w in best]})
+
+    raced = counts.withColumn("hash", F.xxhash64("word")).mapInPandas(race, "draw int, time double, word string")
+    return raced.groupBy("draw").agg(F.min(F.struct("time", "word"))["word"].alias("word"))
+
+
+def _nearest_records(records: DataFrame, categorical: list[str], prototypes: list[dict], most: int) -> DataFrame:
+    """``draw, differs`` and the words of the ``most`` records nearest to each prototype."""
+    def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = batch.astype(object).where(batch.notna(), None).reset_index(drop=True)
+            words = words.sort_values(categorical, na_position="first", kind="stable")
+            parts = []
+            for draw, p in enumerate(prototypes):
+                differs = sum(~((words[c] == p[c]) | (words[c].isna() & (p[c] is None))) for c in categorical).astype("int32")
+                at = differs.sort_values(kind="stable").index[:most]
+                parts.append(words.loc[at].assign(draw=draw, differs=differs.loc[at]))
+            if parts and len(batch):
+                yield pd.concat(parts)[["draw", "differs", *categorical]]
+
+    schema = "draw int, differs int, " + ", ".join(f"`{c}` string" for c in categorical)
+    ranked = records.mapInPandas(rank, schema)
+    order = Window.partitionBy("draw").orderBy("differs", *[F.col(c).asc_nulls_first() for c in categorical])
+    return ranked.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= most).drop("_place")
+
+
+def kprototypes_fits(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10), max_iterations: int = 20,
+                     gamma: float | None = None, seed: int = 123, restarts: int = 1, init: str = "records") -> list[tuple[int, float, int, list[dict], float]]:
+    """``(k, cost, iterations, prototypes, gamma)`` of the cheapest of ``restarts`` runs of k-prototypes for each k.
 
     All runs of all k advance together, so an iteration is one pass over the data whatever their number. The
     state between passes is the prototypes only, a few records that go along with the next pass;
-    no lineage builds up. Prototypes are means and most frequent categories. A run starts from the
-    first k distinct records in the hash order of its own seed, which the partitioning does not change.
+    no lineage builds up. Prototypes are means and most frequent categories. Runs start from the first k distinct records in
+    the hash order of their own seed, or with ``init`` ``huang`` as ``huang_starts`` says; the partitioning changes neither.
     """
     numeric, categorical = split_by_type(df, columns)
     rows = df.select(key, *[F.col(c).cast("double").alias(c) for c in numeric], *categorical)
@@ -162,9 +247,15 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
         if gamma is None:
             deviations = rows.agg(*[F.stddev_pop(c).alias(c) for c in numeric]).first()
             gamma = 0.5 * sum(deviations) / len(numeric)
-        starts = _starts(rows, key, max(ks), [seed + i for i in range(restarts)])
-        fits = [(k, start) for k in ks for start in starts]
-        runs = {run: start[:k] for run, (k, start) in enumerate(fits)}
+        fits = [(k, seed + i) for k in ks for i in range(restarts)]
+        if init == "huang":
+            if not rows.take(1):
+                return []
+            starts = huang_starts(rows, numeric, categorical, [k for k, _ in fits], [s for _, s in fits])
+        else:
+            by_seed = dict(zip([seed + i for i in range(restarts)], _starts(rows, key, max(ks), [seed + i for i in range(restarts)])))
+            starts = [by_seed[s][:k] for k, s in fits]
+        runs = dict(enumerate(starts))
         costs: dict[int, float] = {}
         spent = {run: 0 for run in runs}
         moving = dict(runs)
@@ -191,10 +282,24 @@ def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = r
         of_k = [run for run in results if fits[run][0] == k]
         if of_k:  # costs that differ by rounding only are equal, then the first run counts
             best = min(of_k, key=lambda run: (float(f"{results[run]:.10g}"), run))
-            table.append((k, float(results[best]), spent[best]))
+            table.append((k, float(results[best]), spent[best], runs[best], gamma))
+    return table
+
+
+def kprototypes_costs(df: DataFrame, columns: list[str], key: str, ks: range = range(2, 10), **options) -> DataFrame:
+    """``k, cost, iterations`` of the best run for each k; options as for ``kprototypes_fits``."""
+    table = [fit[:3] for fit in kprototypes_fits(df, columns, key, ks, **options)]
     return df.sparkSession.createDataFrame(table, "k int, cost double, iterations int")
 
 
+def assigned_cost(df: DataFrame, columns: list[str], prototypes: list[dict], gamma: float) -> DataFrame:
+    """``cost``: squared gaps and ``gamma`` for each other category, summed over the nearest prototypes."""
+    numeric, categorical = split_by_type(df, columns)
+    far = [sum([(F.col(c).cast("double") - F.lit(float(p[c]))) ** 2 for c in numeric]
+               + [F.when(F.col(c).eqNullSafe(F.lit(p[c])), 0.0).otherwise(gamma) for c in categorical], F.lit(0.0)) for p in prototypes]
+    return df.dropna(subset=numeric).agg(F.sum(F.array_min(F.array(*far))).alias("cost"))
+
+
 def kprototypes_step(df: DataFrame, columns: list[str], prototypes: list[dict], gamma: float) -> tuple[list[dict], float]:
     """Prototypes after one pass from the given ones, and the cost of that pass."""
     numeric, categorical = split_by_type(df, columns)

@@ -190,11 +190,21 @@ def _(t):
         {"dltv": F.round("dltv", 2)} | {c: F.round(c, 6) for c in ("age", "avg_paid", "avg_unpaid")})
 
 
-@query("kprototypes_cost_facts", "SELECT CAST(k AS INT) AS k, true AS costed FROM range(2, 10) AS r(k)")
+@query("kprototypes_cost_facts", f"""WITH {LFV_SQL}, {MIXED_SQL},
+known AS (SELECT * FROM mixed WHERE dltv IS NOT NULL AND age IS NOT NULL AND avg_paid IS NOT NULL AND avg_unpaid IS NOT NULL),
+whole AS (SELECT count(*) * (var_pop(dltv) + var_pop(age) + var_pop(avg_paid) + var_pop(avg_unpaid)) AS squares FROM known)
+SELECT CAST(k AS INT) AS k, round(squares / 1e6, 0) AS squares, true AS right_cost, true AS below_squares, true AS ended FROM whole, range(2, 10) AS r(k)""")
 def _(t):
     columns = [*experiments.MIXED_NUMERIC, *experiments.MIXED_CATEGORICAL]
-    costs = mixed.kprototypes_costs(experiment_table(t), columns, "donor_id", restarts=KPROTOTYPES_RESTARTS)
-    return costs.select("k", ((F.col("cost") > 0) & (F.col("iterations") >= 1)).alias("costed"))
+    table = materialise(experiment_table(t), "mixed-table")
+    known = table.dropna(subset=experiments.MIXED_NUMERIC)
+    squares = known.agg(F.count("*") * sum(F.var_pop(c) for c in experiments.MIXED_NUMERIC)).first()[0]
+    found = []
+    for k, cost, iterations, prototypes, gamma in mixed.kprototypes_fits(table, columns, "donor_id", restarts=KPROTOTYPES_RESTARTS, init="huang"):
+        plain = mixed.assigned_cost(known, columns, prototypes, gamma).first()["cost"]
+        found.append((k, squares, abs(plain - cost) <= 1e-6 * cost, cost < squares, 1 <= iterations <= 20))
+    return t.spark.createDataFrame(found, "k int, squares double, right_cost boolean, below_squares boolean, ended boolean").withColumn(
+        "squares", F.round(F.col("squares") / 1e6, 0))
 
 
 _LINKED_ROWS = f"""{LFV_SQL}, {MIXED_SQL}, {_fences('mixed', 'dltv', 'inside')},

@@ -292,7 +292,7 @@ def _(t):
 
 @query("kprototypes_cost")
 def _(t):
-    return mixed.kprototypes_costs(experiment_table(t), [*_NUMERIC, *_CATEGORICAL], "donor_id", restarts=KPROTOTYPES_RESTARTS)
+    return mixed.kprototypes_costs(experiment_table(t), [*_NUMERIC, *_CATEGORICAL], "donor_id", restarts=KPROTOTYPES_RESTARTS, init="huang")
 
 
 @query("hierarchical_segments")
