@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import materialise
 from .clustering import _races
 from .sampling import sample_order, seeded_sample
 
@@ -39,32 +40,19 @@ def gower_matrix(df: DataFrame, key: str, numeric: list[str], categorical: list[
                  seed: int = 1) -> DataFrame:
     """Distance matrix of a seeded sample of ``n`` rows: ``key, others, distances``, one row each.
 
-    The sample bounds the matrix; its records go to the tasks, which fill their own rows.
+    The sample bounds the matrix; its records are a one-row result that every row of the sample is compared with.
     """
-    sample = seeded_sample(df.select(key, *numeric, *categorical).dropna(subset=numeric), key, n, seed)
-    members = sample.collect()  # at most n rows
-    numbers = np.array([[float(m[c]) for c in numeric] for m in members]).reshape(len(members), len(numeric))
-    spans = np.ptp(numbers, axis=0) if len(members) else np.zeros(len(numeric))
-    words = np.array([[m[c] for c in categorical] for m in members], dtype=object).reshape(
-        len(members), len(categorical))
-    keys = [m[key] for m in members]
-    parts = len(numeric) + len(categorical)
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        safe = np.where(spans > 0, spans, 1.0)
-        for batch in batches:
-            x = batch[numeric].to_numpy(dtype="float64")
-            own = batch[categorical].astype(object).where(batch[categorical].notna(), None).to_numpy(dtype=object)
-            gaps = (np.abs(x[:, None, :] - numbers[None]) / safe).sum(axis=2)
-            differs = (own[:, None, :] != words[None]).sum(axis=2)
-            yield pd.DataFrame({key: batch[key], "others": [keys] * len(batch),
-                                "distances": list((gaps + differs) / parts)})
-
-    key_type = df.schema[key].dataType
-    schema = T.StructType([T.StructField(key, key_type), T.StructField("others", T.ArrayType(key_type)),
-                           T.StructField("distances", T.ArrayType(T.DoubleType()))])
-    spread = df.sparkSession.createDataFrame(members, sample.schema).repartition(8, key)
-    return spread.mapInPandas(fill, schema)
+    sample = materialise(seeded_sample(df.select(key, *numeric, *categorical).dropna(subset=numeric), key, n, seed), "gower-sample")
+    records = sample.agg(F.collect_list(F.struct(key, *numeric, *categorical))).scalar()
+    spans = sample.agg(F.array(*[(F.max(c) - F.min(c)).cast("double") for c in numeric]).cast("array<double>")).scalar()
+
+    def distance(other: Column) -> Column:
+        parts = [F.when(F.col("_spans")[j] > 0, F.abs(F.col(c) - other[c]) / F.col("_spans")[j]).otherwise(0.0) for j, c in enumerate(numeric)]
+        parts += [F.when(F.col(c).eqNullSafe(other[c]), 0.0).otherwise(1.0) for c in categorical]
+        return sum(parts, F.lit(0.0)) / F.lit(float(len(parts)))
+
+    spread = sample.repartition(F.col(key)).select("*", records.alias("_records"), spans.alias("_spans"))
+    return spread.select(key, F.transform("_records", lambda r: r[key]).alias("others"), F.transform("_records", distance).alias("distances"))
 
 
 def gower_summary(matrix: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..operators import boosting, cleaning, clustering, features, mixed, outliers, quality, reduction, scaling, scoring, tiles
+from ..operators import boosting, cleaning, clustering, features, mixed, neighbours, outliers, quality, reduction, scaling, scoring, tiles
 from ..plans import experiments, lifetime, segmentation
 from ..session import fresh_path, materialise
 from ..streaming.scoring import score_available
@@ -210,6 +210,19 @@ def _(t):
         {c: F.round(c, 5) for c in ("mean_distance", "max_distance")})
 
 
+NEIGHBOURS = 3
+
+
+@query("gower_neighbours", f"""WITH {_MIXED_SQL}, {_GOWER_KEYS.format('known')},
+pairs AS (SELECT p.donor_id, q.donor_id AS neighbour, round({_GOWER.format(a='p', b='q')}, 9) AS d
+          FROM known p JOIN known q ON p.donor_id <> q.donor_id, spans),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY donor_id ORDER BY d, neighbour) AS place FROM pairs)
+SELECT donor_id, neighbour, round(d, 6) AS distance, CAST(place AS INT) AS place FROM ranked WHERE place <= {NEIGHBOURS}""")
+def _(t):
+    found = neighbours.gower_neighbours(experiment_table(t), "donor_id", _NUMERIC, _CATEGORICAL, NEIGHBOURS)
+    return found.withColumn("distance", F.round("distance", 6))
+
+
 PROTOTYPES = {
     0: {"dltv": 100000.0, "age": 30, "avg_paid": 2.0, "avg_unpaid": 1.0, "gender": "BUILDING", "main_channel": "DI - Regular"},
     1: {"dltv": 500000.0, "age": 45, "avg_paid": 4.0, "avg_unpaid": 0.5, "gender": "MACHINERY", "main_channel": "Unica"},
