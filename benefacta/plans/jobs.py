@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import features, outliers, reduction
 from ..session import materialise
-from ..sources import readers, registry, schemas, sinks
+from ..sources import readers, registry, schemas, sinks, spreadsheet
 from . import cleaning_jobs, experiments, lifetime, segmentation
 
 # Tables between the jobs, below the output folder, as parquet with this package's column names.
@@ -67,7 +67,8 @@ def export_lifetime_value(spark: SparkSession, out: str, csv_root: str) -> None:
 def run_lifetime_value(spark: SparkSession, out: str, inflation_export: str, as_of: dt.date) -> None:
     """Lifetime values of the accepted donors; the stage filter prunes the stored transactions."""
     donors = cleaning_jobs.accepted(_table(spark, out, "donors"))
-    monthly = readers.read_inflation_export(spark, inflation_export)
+    read = spreadsheet.read_inflation_sheet if inflation_export.lower().endswith(".xlsx") else readers.read_inflation_export
+    monthly = read(spark, inflation_export)
     values = lifetime.donor_lifetime_value(donors, _transactions(spark, out), monthly, as_of)
     sinks.write_table(values, f"{out}/lifetime_value")
 
