@@ -8,7 +8,7 @@ from ..functions import dates
 from ..operators import boosting, cleaning, clustering, features, mixed, neighbours, outliers, quality, reduction, scaling, scoring, tiles
 from ..plans import experiments, lifetime, segmentation
 from ..session import fresh_path, materialise
-from ..streaming.scoring import score_available
+from ..streaming.scoring import score_available, score_available_apart
 from .inputs import AS_OF
 from .registry import query
 from .values import CHANNELS_SQL, EFFECT_SQL, LFV_SQL, lifetime_table
@@ -107,6 +107,24 @@ def _(t):
     return scored.drop("errors")
 
 
+def _streamed_apart(t):
+    return score_available_apart(t.spark, t.folder, "events.parquet", lambda events: t.view("requests", events=events),
+                                 SERVICE_CENTROIDS, fresh_path(t.spark, "scores-apart"), fresh_path(t.spark, "scores-apart-progress"))
+
+
+@query("score_stream_accepted", """WITH accepted AS ({}) SELECT a.* FROM accepted a JOIN requests r ON a.request_id = r.request_id
+WHERE r.churn IS NULL OR TRY_CAST(r.churn AS DOUBLE) IS NOT NULL""".format(f"WITH {_SCORED}"))
+def _(t):
+    return _streamed_apart(t)[0]
+
+
+@query("score_stream_rejected", """
+SELECT request_id, churn, dltv, effectiveness, 'churn' AS errors FROM requests WHERE churn IS NOT NULL AND TRY_CAST(churn AS DOUBLE) IS NULL""")
+def _(t):
+    _scores, rejected = _streamed_apart(t)
+    return rejected.withColumn("errors", F.array_join("errors", ","))
+
+
 DIMENSIONS = 64  # of the embeddings
 
 
