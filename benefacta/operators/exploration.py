@@ -58,8 +58,10 @@ def box_statistics(df: DataFrame, columns: list[str], by: tuple[str, ...] = ())
         *[F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
           for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    # one row per group of the report, bounded by the quantile operator
-    fenced = long_values(df, columns, by).join(F.broadcast(boxes), keys)
+    # few groups are broadcast, many are joined by key, where adaptive execution splits a large group
+    named = boxes.withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    fenced = long_values(df, columns, by).join(named, same)
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     ends = fenced.groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("lo"), F.max(F.when(inside, F.col("value"))).alias("hi"),

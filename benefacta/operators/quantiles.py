@@ -4,19 +4,25 @@ The built-in exact percentile keeps every distinct value of a group in one buffe
 wanted rank is first narrowed to a small value range by counting into bins, one pass over the
 column per round for all columns, groups and ranks together. Only when the range holds few rows
 are its values sorted. What reaches the driver is one row per wanted rank.
+
+For groups (``by``) nothing per group reaches the driver: mergeable rank sketches (KLL) bracket every wanted rank of all groups in one
+pass, and one more pass counts what lies below a bracket and sorts what lies inside. Counts are exact, so a sketch that
+misses costs another turn and changes nothing; brackets of more than ``gather_rows`` rows are narrowed by further sketches.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import reduce
-from itertools import islice
 
-from pyspark.sql import DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.window import Window
 
-GROUPS_AT_ONCE = 5_000  # groups whose ranges the driver holds at the same time
+from ..session import materialise
+
+SKETCH = 800  # size of a rank sketch; its ranks are off by less than 0.5 percent nearly always
+MARGIN = 0.01
+GRID = 256
+INFINITE = "infinite values have no interpolated quantile"
 
 
 def long_values(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
@@ -40,20 +46,17 @@ class _Range:
         self.ranks = ranks  # {rank within the range: rank within the column}
 
 
-def _whole_ranges(df: DataFrame, columns: list[str], by: tuple[str, ...]) -> Iterator[list[_Range]]:
-    """Rows, lowest and highest value of each group and column, some groups at a time; one wide aggregate."""
+def _whole_ranges(df: DataFrame, columns: list[str]) -> list[_Range]:
+    """Rows, lowest and highest value of each column; one wide aggregate."""
     wide = []
     for i, c in enumerate(columns):
         known = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
         wide += [F.count(known).alias(f"rows{i}"), F.min(known).alias(f"lo{i}"), F.max(known).alias(f"hi{i}")]
-    groups = df.groupBy(*by).agg(*wide)
-    groups = iter(groups.toLocalIterator() if by else groups.collect())
-    while some := list(islice(groups, GROUPS_AT_ONCE)):
-        ranges = [_Range((*(g[c] for c in by), name), g[f"lo{i}"], g[f"hi{i}"], g[f"rows{i}"], {})
-                  for g in some for i, name in enumerate(columns) if g[f"rows{i}"]]
-        if any(math.isinf(r.lo) or math.isinf(r.hi) for r in ranges):
-            raise ValueError("infinite values have no interpolated quantile")
-        yield ranges
+    found = df.agg(*wide).first()
+    ranges = [_Range((name,), found[f"lo{i}"], found[f"hi{i}"], found[f"rows{i}"], {}) for i, name in enumerate(columns) if found[f"rows{i}"]]
+    if any(math.isinf(r.lo) or math.isinf(r.hi) for r in ranges):
+        raise ValueError(INFINITE)
+    return ranges
 
 
 def _frame(spark, schema, rows):
@@ -75,7 +78,7 @@ def _members(values: DataFrame, ranges: list[_Range], by: tuple[str, ...]) -> Da
     condition = inside
     for part in same_key:
         condition = part & condition
-    # at most one range per wanted rank of the groups at hand, see GROUPS_AT_ONCE
+    # at most one range per wanted rank and column
     return values.filter(F.col("value").between(lowest, highest)).join(F.broadcast(table), condition)
 
 
@@ -115,16 +118,98 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
                     by: tuple[str, ...] = (), gather_rows: int = 50_000, bins: int = 2048) -> DataFrame:
     """Quantiles with linear interpolation: ``by..., column, rows, probability, quantile``.
 
-    Nulls and NaN do not count. Groups are worked off in bounded lots, so any number of them is possible; ``by``
-    is meant for report groupings, since each lot reads the column anew.
+    Nulls and NaN do not count. Any number of groups takes two scans, unless one has millions of rows.
     """
-    values = long_values(df, columns, by)
-    schema = T.StructType([values.schema[c] for c in (*by, "column")]
-                          + [T.StructField("rows", T.LongType()), T.StructField("probability", T.DoubleType()),
-                             T.StructField("quantile", T.DoubleType())])
-    lots = [_frame(df.sparkSession, schema, _quantiles_of(values, ranges, probabilities, by, gather_rows, bins))
-            for ranges in _whole_ranges(df, columns, by)]
-    return reduce(DataFrame.unionByName, lots) if lots else _frame(df.sparkSession, schema, [])
+    if by:
+        return _grouped_quantiles(long_values(df, columns, by), [*by, "column"], [float(p) for p in probabilities], gather_rows)
+    values = long_values(df, columns)
+    schema = T.StructType([values.schema["column"], T.StructField("rows", T.LongType()), T.StructField("probability", T.DoubleType()),
+                           T.StructField("quantile", T.DoubleType())])
+    return _frame(df.sparkSession, schema, _quantiles_of(values, _whole_ranges(df, columns), probabilities, (), gather_rows, bins))
+
+
+def _grid(column: Column) -> Column:
+    """Quantiles of a column at equal steps, from its sketch; null without values."""
+    sketch = F.kll_sketch_agg_double(column, SKETCH)
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    return F.when(F.count(column) > 0, F.kll_sketch_get_quantile_double(sketch, steps))
+
+
+def _bracket(grid: Column, low: Column, high: Column, rows: Column) -> list[Column]:
+    """``lo``, ``hi`` and the share of the values between, for ranks ``low`` to ``high`` of so many."""
+    first = F.greatest(F.floor((low / rows - MARGIN) * GRID), F.lit(0)).cast("int")
+    last = F.least(F.ceil((high / rows + MARGIN) * GRID), F.lit(GRID)).cast("int")
+    lo, hi = F.get(grid, first), F.get(grid, last)
+    share = F.when(lo == hi, 0.0).when((first == 0) & (last == GRID), 1.0).otherwise((last - first) / F.lit(float(GRID)) + 2 * MARGIN)
+    return [lo.alias("lo"), hi.alias("hi"), share.alias("share")]
+
+
+def _beside(values: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, p, v``: the values inside each bracket of their group, and a null for each value below it."""
+    held = brackets.groupBy(*keys).agg(F.collect_list(F.struct("p", "lo", "hi")).alias("_brackets"))
+    held = held.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)], "_brackets")
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)]
+    met = F.filter("_brackets", lambda b: F.col("value") <= b["hi"])
+    each = F.transform(met, lambda b: F.struct(b["p"].alias("p"), F.when(F.col("value") >= b["lo"], F.col("value")).alias("v")))
+    return values.join(held, same).select(*keys, F.explode(each).alias("_cell")).select(*keys, "_cell.p", "_cell.v")
+
+
+def _narrowed(values: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    """The same brackets, drawn closer by a sketch of what they hold, or moved to the side where the rank lies."""
+    seen = _beside(values, brackets, keys).groupBy(*keys, "p").agg(
+        F.count_if(F.col("v").isNull()).alias("below"), F.count("v").alias("inside"), _grid(F.col("v")).alias("grid"))
+    seen = seen.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)], F.col("p").alias("_p"), "below", "inside", "grid")
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)] + [F.col("p") == F.col("_p")]
+    met = brackets.join(seen, same).withColumn("side", F.when(F.col("low") < F.col("below"), -1).when(
+        F.col("high") >= F.col("below") + F.col("inside"), 1).otherwise(0))
+    lo, hi, share = _bracket(F.col("grid"), F.col("low") - F.col("below"), F.col("high") - F.col("below"), F.col("inside"))
+    met = met.select("*", F.struct(lo, hi, share).alias("new"))
+    stuck = (F.col("new.lo") == F.col("lo")) & (F.col("new.hi") == F.col("hi"))
+    low_side, high_side = F.col("side") == -1, F.col("side") == 1
+    return met.select(
+        *keys, "rows", "p", "low", "high", "least", "most",
+        F.when(low_side, F.col("least")).when(high_side, F.col("lo")).otherwise(F.col("new.lo")).alias("lo"),
+        F.when(low_side, F.col("hi")).when(high_side, F.col("most")).otherwise(F.col("new.hi")).alias("hi"),
+        F.when(F.col("side") != 0, F.col("rows").cast("double")).when(stuck, 0.0).otherwise(F.col("new.share") * F.col("inside")).alias("held"))
+
+
+def _grouped_quantiles(values: DataFrame, keys: list[str], probabilities: list[float], gather_rows: int) -> DataFrame:
+    groups = values.groupBy(*keys).agg(F.count("*").alias("rows"), F.min("value").alias("least"), F.max("value").alias("most"),
+                                       _grid(F.col("value")).alias("grid"))
+    infinite = F.greatest(F.abs("least"), F.abs("most")) == float("inf")
+    place = F.col("p") * (F.col("rows") - 1)
+    ranked = groups.select("*", F.explode(F.array(*[F.lit(p) for p in probabilities])).alias("p")).select(
+        "*", F.floor(place).alias("low"), F.ceil(place).alias("high"))
+    lo, hi, share = _bracket(F.col("grid"), F.col("low"), F.col("high"), F.col("rows"))
+    brackets = ranked.select(*keys, F.when(infinite, F.raise_error(F.lit(INFINITE))).otherwise(F.col("rows")).cast("long").alias("rows"),
+                             "p", "low", "high", "least", "most", lo, hi, (share * F.col("rows")).alias("held"))
+    return _settled(values, materialise(brackets, "quantile-brackets"), keys, gather_rows)
+
+
+def _settled(values: DataFrame, brackets: DataFrame, keys: list[str], gather_rows: int) -> DataFrame:
+    while not brackets.where(F.col("held") > gather_rows).isEmpty():
+        wide = brackets.where(F.col("held") > gather_rows)
+        brackets = materialise(_narrowed(values, wide, keys).unionByName(brackets.where(F.col("held") <= gather_rows)), "quantile-brackets")
+    counted = _beside(values, brackets, keys).groupBy(*keys, "p", "v").agg(F.count("*").alias("n"))
+    running = Window.partitionBy(*keys, "p").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("upto", F.sum("n").over(running))
+    upto = upto.select(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(keys)], F.col("p").alias("_p"), "v", "upto")
+    same = [F.col(c).eqNullSafe(F.col(f"_key{i}")) for i, c in enumerate(keys)] + [F.col("p") == F.col("_p")]
+
+    def at(rank: str) -> Column:
+        return F.min(F.when(F.col("upto") > F.col(rank), F.struct("upto", "v")))["v"]
+
+    found = brackets.join(upto, same).groupBy(*keys, "rows", "p", "low", "high", "least", "most").agg(at("low").alias("a"), at("high").alias("b"))
+    found = materialise(found, "quantile-ranks")
+    missed = found.where("a IS NULL OR b IS NULL")
+    step = F.col("p") * (F.col("rows") - 1) - F.col("low")
+    hit = found.where("a IS NOT NULL AND b IS NOT NULL").select(
+        *keys, "rows", F.col("p").alias("probability"), (F.col("a") + (F.col("b") - F.col("a")) * step).alias("quantile"))
+    if missed.isEmpty():
+        return hit
+    again = missed.select(*keys, "rows", "p", "low", "high", "least", "most", F.col("least").alias("lo"), F.col("most").alias("hi"),
+                          F.col("rows").cast("double").alias("held"))
+    return hit.unionByName(_settled(values, again, keys, gather_rows))
 
 
 def _quantiles_of(values: DataFrame, ranges: list[_Range], probabilities: list[float], by: tuple[str, ...],

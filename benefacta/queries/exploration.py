@@ -202,6 +202,13 @@ def _(t):
     return boxes.withColumns({c: F.round(c, 4) for c in _BOX_COLUMNS})
 
 
+@query("boxplot_by_user", """WITH long AS (
+  SELECT user_id, 'value' AS "column", value AS v FROM events)""" + _BOX.format(keys="user_id,"))
+def _(t):
+    boxes = ex.box_statistics(t.events, ["value"], ("user_id",))
+    return boxes.withColumns({c: F.round(c, 4) for c in _BOX_COLUMNS})
+
+
 _BOX_YEARS = [1999, 2000, 2001]
 
 

@@ -101,3 +101,47 @@ def test_mean_by_category_standard_error(spark):
     assert (row["n"], row["mean"]) == (3, 3.0)
     assert row["standard_error"] == pytest.approx(2 / 3 ** 0.5)
     assert exploration.donor_count_by_category(tx, donors, "stage", "g").first()["n"] == 4
+
+
+def grouped(spark, rows, ps, **options):
+    df = spark.createDataFrame(rows, "g string, h int, x double").repartition(4)
+    out = quantiles.exact_quantiles(df, ["x"], ps, ("g", "h"), **options).collect()
+    assert all(r["rows"] == sum(v is not None and v == v for g, h, v in rows if (g, h) == (r["g"], r["h"])) for r in out)
+    return {(r["g"], r["h"], r["probability"]): r["quantile"] for r in out}
+
+
+@pytest.mark.parametrize("gather_rows", [50_000, 300, 0])
+def test_many_groups_like_numpy(spark, gather_rows):
+    rng = np.random.default_rng(6)
+    held = {(g, h): rng.normal(0, 1, 1 + (i * 7) % 40).tolist() for i, (g, h) in enumerate(
+        (f"g{a}", b if b else None) for a in range(12) for b in range(5))}
+    held["large", 1] = [*np.exp(rng.normal(0, 3, 20_000)).tolist(), *[1.0] * 8000]
+    held["equal", 1], held["two", 1], held[None, 1] = [3.0] * 900, [1.0, 2.0] * 700, [5.0, -1e300, 1e300]
+    rows = [(*k, float(v)) for k, values in held.items() for v in values] + [("none", 1, None), ("none", 2, float("nan"))]
+    ps = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = grouped(spark, rows, ps, gather_rows=gather_rows)
+    assert got == {(*k, p): pytest.approx(float(np.quantile(v, p)), rel=1e-9) for k, v in held.items() for p in ps}
+
+
+def test_a_sketch_that_misses_changes_nothing(spark, monkeypatch):
+    rows = [("a", 1, float(i * i)) for i in range(3000)]
+    for margin in (-0.2, -0.02):  # brackets that leave the rank out
+        monkeypatch.setattr(quantiles, "MARGIN", margin)
+        calls, plain = [], quantiles._settled
+
+        def mended(values, brackets, keys, gather_rows):
+            if calls:
+                monkeypatch.setattr(quantiles, "MARGIN", 0.01)
+            calls.append(1)
+            return plain(values, brackets, keys, gather_rows)
+
+        monkeypatch.setattr(quantiles, "_settled", mended)
+        got = grouped(spark, rows, [0.25, 0.5], gather_rows=2000)
+        monkeypatch.setattr(quantiles, "_settled", plain)
+        assert len(calls) == 2
+        assert got == {("a", 1, p): float(np.quantile([r[2] for r in rows], p)) for p in (0.25, 0.5)}
+
+
+def test_infinite_values_of_a_group(spark):
+    with pytest.raises(Exception, match="no interpolated quantile"):
+        grouped(spark, [("a", 1, float("inf")), ("a", 1, 1.0)], [0.5])
