@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -83,6 +84,18 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(np.square(x).sum(axis=1)[:, None] - 2 * x @ centres.T + np.square(centres).sum(axis=1), 0.0)
 
 
+def _least_squares(x: np.ndarray, groups: list[np.ndarray]) -> np.ndarray:
+    """Squared distance of each row to the nearest member of each group, from differences, so equal rows are at 0."""
+    members, first = np.concatenate(groups), np.cumsum([0, *map(len, groups[:-1])])
+    out, step = np.empty((len(x), len(groups))), max(1, (1 << 22) // len(members))
+    for low in range(0, len(x), step):
+        part, total = x[low:low + step], 0.0
+        for j in range(x.shape[1]):
+            total = total + np.square(part[:, j, None] - members[None, :, j])
+        out[low:low + step] = np.minimum.reduceat(total, first, axis=1)
+    return out
+
+
 def _races(hashes: np.ndarray, seed: int, turn: int) -> np.ndarray:
     """An exponential variable for each hash, its own for each seed and turn."""
     mixed = hashes + np.uint64(((seed * 1_000_003 + turn) * 0x9E3779B97F4A7C15) % 2**64)
@@ -106,9 +119,9 @@ def _spread_starts(values: DataFrame, ks: list[int], seeds: list[int]) -> list[n
             for batch in batches:
                 x, n = np.stack(batch["x"].to_list()), batch["n"].to_numpy("float64")
                 hashes, rows = batch["hash"].to_numpy("int64").view("uint64"), []
-                for run, before in chosen.items():
-                    far = np.square(x[:, None] - np.array(before)[None]).sum(axis=2).min(axis=1) if before else 1.0
-                    weight = n * far
+                far = _least_squares(x, [np.array(before) for before in chosen.values()]) if turn else np.ones((len(x), len(chosen)))
+                for place, run in enumerate(chosen):
+                    weight = n * far[:, place]
                     race = np.divide(_races(hashes, seeds[run], turn), weight, out=np.full(len(x), np.inf), where=weight > 0)
                     first = race.argmin()
                     if np.isfinite(race[first]):
@@ -138,26 +151,36 @@ def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations:
     task returns one row per run and cluster. Starts are spread over all rows;
     the centres are what passes between iterations, so no lineage grows.
     """
-    values = vectors.select(vector_to_array(FEATURES).alias("x"))
-    centres = _spread_starts(values, ks, seeds)
+    values = vectors.select(vector_to_array(FEATURES).alias("x")).persist()
+    try:
+        return _advanced(values, _spread_starts(values, ks, seeds), iterations, tolerance)
+    finally:
+        values.unpersist()
+
+
+def _advanced(values: DataFrame, centres: list[np.ndarray], iterations: int, tolerance: float) -> list[tuple[float, np.ndarray]]:
+    """The runs from these starts, each until its centres rest."""
     dims = centres[0].shape[1]
-    costs = [np.inf] * len(ks)
+    costs = [np.inf] * len(centres)
 
     def reduced(moving: dict[int, np.ndarray]) -> list:
         def work(batches):
             for batch in batches:
-                x = np.stack(batch["x"].to_list())
-                parts = []
-                for run, centre in moving.items():
-                    distance = _distances(x, centre)
+                if not batch.num_rows:
+                    continue
+                x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+                parts, every = [], _distances(x, np.concatenate(list(moving.values())))
+                ends = np.cumsum([len(centre) for centre in moving.values()])
+                for (run, centre), end in zip(moving.items(), ends):
+                    distance = every[:, end - len(centre):end]
                     own = distance.argmin(axis=1)
                     weights = [distance[np.arange(len(x)), own], *x.T]
                     sums = np.array([np.bincount(own, w, len(centre)) for w in weights])
                     parts.append(np.column_stack([np.full(len(centre), run), np.arange(len(centre)), np.bincount(own, minlength=len(centre)), sums.T]))
-                yield pd.DataFrame(np.concatenate(parts), columns=names)
+                yield pa.RecordBatch.from_arrays([pa.array(column) for column in np.concatenate(parts).T], names=names)
 
         names = ["run", "cluster", "n", "cost", *(f"s{i}" for i in range(dims))]
-        rows = values.mapInPandas(work, ", ".join(f"{n} double" for n in names))
+        rows = values.mapInArrow(work, ", ".join(f"{n} double" for n in names))
         return rows.groupBy("run", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect()
 
     moving = dict(enumerate(centres))
