@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import materialise
 from .frames import free_name
@@ -63,6 +64,26 @@ def cumulative(rate: Column) -> Column:
         F.array(F.lit(1.0)))
 
 
+def distributions(rates: DataFrame) -> DataFrame:
+    """``rates`` with ``first`` and ``cumulative``: P(count <= first), P(count <= first + 1), ... for each ``of_source``.
+
+    Only counts within 12 deviations of the mean are listed, some 24 times the root of the rate; what lies beyond has less
+    than 1e-30. Terms are running sums of log ratios, scaled by the largest, so none underflows and none is off by more than rounding.
+    """
+    rate = F.col("rate")
+    low = F.greatest(F.floor(rate - 12 * F.sqrt(rate) - 30), F.lit(0)).cast("long")
+    high = F.when(rate > 0, F.ceil(rate + 12 * F.sqrt(rate) + 30)).otherwise(low).cast("long")
+    each = rates.select("of_source", "rate", low.alias("first"), F.explode(F.sequence(low, high)).alias("j"))
+    source = Window.partitionBy("of_source")
+    upto = source.orderBy("j").rowsBetween(Window.unboundedPreceding, 0)
+    step = F.when(F.col("j") > F.col("first"), F.log("rate") - F.log(F.col("j").cast("double"))).otherwise(0.0)
+    logs = each.withColumn("log", F.sum(step).over(upto))
+    terms = logs.withColumn("term", F.exp(F.col("log") - F.max("log").over(source)))
+    sums = terms.withColumn("upto", F.sum("term").over(upto) / F.sum("term").over(source))
+    listed = sums.groupBy("of_source").agg(F.min("first").alias("first"), F.array_sort(F.collect_list(F.struct("j", "upto"))).alias("cells"))
+    return listed.select("of_source", "first", F.transform("cells", lambda c: c["upto"]).alias("cumulative"))
+
+
 def replicate(docs: DataFrame, source: str = "source", text: str = "text", targets: dict[str, float] | None = None,
               temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
     """Repeated rows of ``docs`` with ``copy`` (from 1) and ``shuffle_key``, in the order of the key within partitions.
@@ -70,15 +91,16 @@ def replicate(docs: DataFrame, source: str = "source", text: str = "text", targe
     Names that the input has already get underscores.
     """
     rates = source_rates(docs, source, text, targets, temperature)
-    of, cdf, copy, key = (free_name(docs, c) for c in ("of_source", "distribution", "copy", "shuffle_key"))
-    table = materialise(rates.select(F.col("of_source").alias(of), cumulative(F.col("rate")).alias(cdf)), "source-distributions")
+    of, first, cdf, u, n, copy, key = (free_name(docs, c) for c in (
+        "of_source", "first_count", "distribution", "distribution_u", "distribution_n", "copy", "shuffle_key"))
+    table = materialise(distributions(rates).toDF(of, first, cdf), "source-distributions")
     if rates.count() <= SOURCES_TO_BROADCAST:  # else adaptive execution splits a hot source
         table = F.broadcast(table)
     identity = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     uniform = (_hash(13, seed, identity).cast("double") + 0.5) / F.lit(float(16 ** 13))
-    count = F.size(F.filter(F.col(cdf), lambda c: c <= F.col(f"{cdf}_u")))
-    drawn = docs.join(table, F.col(source).eqNullSafe(F.col(of))).withColumn(f"{cdf}_u", uniform).withColumn(f"{cdf}_n", count)
-    copies = drawn.where(F.col(f"{cdf}_n") > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(f"{cdf}_n"))).alias(copy))
+    count = F.col(first) + F.size(F.filter(F.col(cdf), lambda c: c <= F.col(u)))
+    drawn = docs.join(table, F.col(source).eqNullSafe(F.col(of))).withColumn(u, uniform).withColumn(n, count)
+    copies = drawn.where(F.col(n) > 0).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(n).cast("int"))).alias(copy))
     keyed = copies.withColumn(key, _hash(15, seed, identity, F.col(copy).cast("string")))
     return keyed.repartition(F.col(key)).sortWithinPartitions(key)
 

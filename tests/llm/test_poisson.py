@@ -80,3 +80,31 @@ def test_empty_table_and_extra_columns(frame):
     out = poisson.replicate(frame([(i, "a", "s", "mine", 4) for i in range(30)], schema))
     assert out.columns == ["doc_id", "text", "source", "copy", "rate", "copy_", "shuffle_key"]
     assert {(r["copy"], r["rate"]) for r in out.collect()} == {("mine", 4)}
+
+
+def test_large_rates_take_a_narrow_band(spark, frame):
+    import time
+    rates = frame([("a", 10**6 + 0.5), ("b", 0.0), ("c", 3.5), ("d", 1e-9), (None, 70.0)], "of_source string, rate double")
+    start = time.time()
+    rows = {r["of_source"]: r for r in poisson.distributions(rates).collect()}
+    assert time.time() - start < 20 and len(rows["a"]["cumulative"]) < 25_000
+    assert rows["b"]["cumulative"] == [1.0]
+    for source, rate in (("c", 3.5), ("d", 1e-9), (None, 70.0)):
+        assert rows[source]["first"] == 0
+        total, want = 0.0, []
+        for j in range(len(rows[source]["cumulative"])):
+            total += math.exp(-rate + j * math.log(rate) - math.lgamma(j + 1))
+            want.append(total)
+        assert rows[source]["cumulative"] == pytest.approx(want, rel=1e-12)
+    a = rows["a"]
+    middle = next(i for i, c in enumerate(a["cumulative"]) if c >= 0.5) + a["first"]
+    assert abs(middle - 10**6) <= 1
+    spread = next(i for i, c in enumerate(a["cumulative"]) if c >= 0.8413447) + a["first"]
+    assert abs(spread - 10**6 - 1000) <= 2
+
+
+def test_helper_names_that_the_input_has(frame):
+    names = ["distribution", "distribution_u", "distribution_n", "of_source", "first_count", "copy_"]
+    docs = frame([(i, "a", "s", *range(6)) for i in range(30)], SCHEMA + "".join(f", {n} int" for n in names))
+    out = poisson.replicate(docs).collect()
+    assert out and all([r[n] for n in names] == list(range(6)) for r in out)
