@@ -192,7 +192,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, text: str = "t
 
 
 def with_scores(docs: DataFrame, model: SteadyLogistic, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the probability of label 1."""
+    """``docs`` with the probability of label 1; ``name`` gets underscores where the input has such a column."""
+    name = free_name(docs, name)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batch, place):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import add_columns
+from .frames import KeyFilter, add_columns, free_name
 from .textarrays import blocks, find_words, gram_hashes, mix, word_hashes
 
 NAMES = ["words", "word_length", "upper", "symbols", "exclamations", "stops", "digits", "lines", "beyond_ascii",
@@ -165,3 +165,47 @@ def labelled(rows: DataFrame, labels: DataFrame, label: str) -> DataFrame:
     """``rows`` that have a label 0 or 1 by ``doc_id``, as ``label``; 0 where labels of a document differ."""
     known = labels.where(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"))
     return rows.join(known, "doc_id")
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", filter_bits: int | None = None) -> DataFrame:
+    """``statistics`` and ``label`` of the documents that have a label 0 or 1; 0 where labels of a document differ.
+
+    Statistics of documents whose id a bounded filter of the labelled ids turns away are not computed.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("label"))
+    wanted = KeyFilter.of(known.select(F.xxhash64("doc_id").alias("key")), "key", filter_bits)
+    shipped = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        for batch in batches:
+            chosen = batch.filter(pa.array(shipped.value(batch.column(2).to_numpy().view(np.uint64))))
+            for part, data, offsets in blocks(chosen, "text"):
+                found = statistics(data, offsets)
+                bounds = np.arange(0, found.size + 1, found.shape[1], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.reshape(-1)))],
+                                                 names=["doc_id", "statistics"])
+
+    rows = docs.select("doc_id", F.col(text).alias("text"), F.xxhash64("doc_id").alias("key"))
+    out = T.StructType([docs.schema["doc_id"], T.StructField("statistics", T.ArrayType(T.DoubleType()))])
+    return rows.mapInArrow(run, out).join(known, "doc_id").select("statistics", "label")
+
+
+def classify(docs: DataFrame, model: Discriminant | float, text: str = "text", name: str = "score") -> tuple[DataFrame, str]:
+    """``docs`` with the score of each text, and the name of its column, which gets underscores where the input has it already."""
+    name = free_name(docs, name)
+    if isinstance(model, float):
+        return docs.withColumn(name, F.lit(model)), name
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batch, place):
+        batch = batch.rename_columns([f"_{i}" for i in range(batch.num_columns)])
+        for part, data, offsets in blocks(batch, f"_{place}"):
+            yield part, [pa.array(shipped.value.scores(statistics(data, offsets)))]
+
+    return add_columns(docs, text, T.StructType([T.StructField(name, T.DoubleType())]), work), name
+
+
+def accepted(docs: DataFrame, model: Discriminant | float, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``threshold`` or more, unchanged."""
+    scored, name = classify(docs, model, text)
+    return scored.where(F.col(name) >= threshold).drop(name)

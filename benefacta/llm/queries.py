@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (centroids, compression, counterfactual, dart, decontaminate, discriminant, fim, overlap, ownership, phrases, poisson, risk, sql, warc)
+from .frames import free_name
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -89,14 +90,15 @@ def op9_poisson_mixing(spark, sf_dir):
     return poisson.replicate(table(spark, sf_dir, "documents"))
 
 
+def quality_model(docs: DataFrame, labels: DataFrame, training: Column) -> discriminant.Discriminant | float:
+    """Learned from the labels that meet ``training``."""
+    return discriminant.fit(discriminant.labelled_statistics(docs, labels.where(training), "quality"), "statistics", "label")
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, training: Column) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``; learned from the labels that meet ``training``."""
-    features, score = "statistics_", "score"
-    rated = discriminant.with_statistics(docs, name=features)
-    model = discriminant.fit(discriminant.labelled(rated.select("doc_id", features), labels.where(training), "quality"),
-                             features, "label")
-    scored = discriminant.with_scores(rated, features, model, score).drop(features)
-    return scored.withColumn("predicted", (F.col(score) >= discriminant.THRESHOLD).cast("int"))
+    """``docs`` with a score and whether it reaches the threshold; both names get underscores where the input has them."""
+    scored, name = discriminant.classify(docs, quality_model(docs, labels, training))
+    return scored.withColumn(free_name(docs, "predicted"), (F.col(name) >= discriminant.THRESHOLD).cast("int"))
 
 
 @query

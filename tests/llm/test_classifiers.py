@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from benefacta.llm import compression, counterfactual, discriminant, textarrays
+from benefacta.llm import compression, counterfactual, discriminant, queries, textarrays
 from .conftest import ODD
 
 import pyarrow as pa
@@ -185,3 +185,27 @@ def test_training_rows_are_bounded_when_ids_repeat(frame):
     assert sorted(map(tuple, found), key=str) == sorted({(i, t, i % 2) for i, t in rows}, key=str)
     few = counterfactual.training_rows(frame(rows), labels, "toxic", sample_rows=50).collect()
     assert len(few) == 50 == len(set(few)) and set(few) <= set(found)
+
+
+def test_clashing_columns_stay(frame, spark):
+    schema = "doc_id long, text string, score string, predicted int, statistics int, statistics_ int, label int"
+    rows = [(i, "good words here" if i % 2 else "BAD !!! ###", "mine", 42, 1, 2, 3) for i in range(40)]
+    docs, labels = frame(rows, schema), frame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    for some in (labels, labels.limit(0)):
+        kept = discriminant.accepted(docs, queries.quality_model(docs, some, F.lit(True)))
+        assert kept.columns == docs.columns and all(tuple(r)[2:] == ("mine", 42, 1, 2, 3) for r in kept.collect())
+        scored = queries.quality_scores(docs, some, F.lit(True))
+        assert scored.columns == [*docs.columns, "score_", "predicted_"]
+        assert {(r["score"], r["predicted"]) for r in scored.collect()} == {("mine", 42)}
+    toxic = counterfactual.with_scores(docs, counterfactual.fit(counterfactual.training_rows(docs, labels, "quality")))
+    assert toxic.columns == [*docs.columns, "score_"] and {r["score"] for r in toxic.collect()} == {"mine"}
+
+
+def test_statistics_of_labelled_documents_only(frame):
+    rows = [(i, f"text {i} of some words") for i in range(300)] + [(7, "again"), (None, "no id")]
+    docs, labels = frame(rows), frame([(7, 0), (7, 1), (9, 1), (11, None), (None, 1), (999, 1)], "doc_id long, quality int")
+    for bits in (None, 6):  # a full filter computes more and gives the same
+        found = discriminant.labelled_statistics(docs, labels, "quality", filter_bits=bits).collect()
+        want = discriminant.labelled(discriminant.with_statistics(docs), labels, "quality").collect()
+        assert sorted((r["statistics"], r["label"]) for r in found) == sorted((r["statistics"], r["label"]) for r in want)
+        assert len(found) == 3
