@@ -8,15 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from benefacta.llm import dart, decontaminate, ownership, poisson, queries
+from benefacta.llm import dart, decontaminate, discriminant, ownership, poisson, queries
 from benefacta.session import materialise
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant does not reject; it learns from the labels outside its held-out fold."""
     labels = queries.table(spark, sf_dir, "labels")
-    scored = queries.quality_scores(docs, labels, queries.remainder(5) != 0)
-    return scored.where("predicted = 1").select(*docs.columns)
+    return discriminant.accepted(docs, queries.quality_model(docs, labels, queries.remainder(5) != 0))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
