@@ -27,12 +27,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
 from .components import components
-from .frames import KeyFilter, free_name, unit
+from .frames import KeyFilter, content_ids, free_name, unit
 from .textarrays import blocks, find_words, gram_hashes, mix, signed, word_hashes
 
 WORDS = 5
@@ -251,10 +251,11 @@ def _dense_links(spread: DataFrame, k: int, similarity: float) -> DataFrame:
 
 def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORDS, similarity: float = SIMILARITY,
                            bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, dense: int = DENSE,
-                           filter_bits: int | None = None) -> DataFrame:
-    """Each row's ``doc_id``, ``text_id`` (hash of the text) and ``class_id``, the least doc_id of its class."""
+                           filter_bits: int | None = None, ids: Column | None = None) -> DataFrame:
+    """Each row's ``doc_id``, ``text_id`` (``ids``, by default ``content_ids`` of the text) and ``class_id``, the least doc_id of its class."""
     k = bands * rows
-    texts = docs.select("doc_id", F.xxhash64(text).alias("text_id"), F.col(text).alias("text"))
+    ids = content_ids(docs, [text]) if ids is None else ids
+    texts = docs.select("doc_id", ids.alias("text_id"), F.col(text).alias("text"))
     sketches = materialise(_sketch(texts.where("text is not null"), size, k), "sketches")
     # a copy's signature is the same, so one row per distinct text is enough from here on
     distinct = materialise(sketches.groupBy("text_id").agg(
@@ -323,12 +324,12 @@ def keep_one_of_each(docs: DataFrame, text: str = "text", **options) -> DataFram
 
     Of rows with that doc_id in one class, the one with the least text hash stays; repeated rows count as one.
     """
-    name = free_name(docs, "row")
-    classes = near_duplicate_classes(docs, text, **options).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    name, kept, of = (free_name(docs, c) for c in ("text_id", "kept_text", "kept_class"))
+    ids = content_ids(docs, [text])
+    classes = near_duplicate_classes(docs, text, ids=ids, **options).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     firsts = classes.groupBy("class_id").agg(F.min("text_id").alias("text_id"))
     # a class without any doc_id, such as a null text of its own, is named null
     firsts = firsts.where("class_id is not null").unionByName(
-        classes.where("class_id is null").select("class_id", "text_id").distinct())
-    key = F.xxhash64("doc_id", F.xxhash64(text))
-    kept = docs.withColumn(name, key).join(firsts.select(F.xxhash64("class_id", "text_id").alias(name)), name, "left_semi")
-    return kept.dropDuplicates([name]).drop(name)
+        classes.where("class_id is null").select("class_id", "text_id").distinct()).toDF(of, kept)
+    marked = docs.withColumn(name, ids).join(firsts, F.col("doc_id").eqNullSafe(F.col(of)) & (F.col(name) == F.col(kept)), "left_semi")
+    return marked.dropDuplicates(["doc_id", name]).drop(name)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -41,6 +41,27 @@ def add_columns(df: DataFrame, text: str, added: T.StructType,
     return df.mapInArrow(run, out)
 
 
+MOST_CLASHES = 100_000
+
+
+def _two_hashes(columns: list[Column]) -> tuple[Column, Column]:
+    return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
+
+
+def content_ids(df: DataFrame, columns: list[str]) -> Column:
+    """A long integer for each combination of values: rows get the same one if 128 bits of their hashes agree.
+
+    The first hash is the number, but for the few values of it that rows with different second hashes have; there both
+    hashes are hashed together. Finding those takes one scan; 10^10 rows have some three. More than ``MOST_CLASHES`` are an error.
+    """
+    one, two = _two_hashes([F.col(c) for c in columns])
+    hashed = df.select(one.alias("one"), two.alias("two")).groupBy("one").agg(F.min("two").alias("low"), F.max("two").alias("high"))
+    clashing = [r["one"] for r in hashed.where("low <> high").select("one").limit(MOST_CLASHES + 1).collect()]
+    if len(clashing) > MOST_CLASHES:
+        raise ValueError(f"more than {MOST_CLASHES} hashes stand for different rows")
+    return F.when(one.isin(clashing), F.xxhash64(F.lit("both"), one, two)).otherwise(one) if clashing else one
+
+
 MOST_LOG_BITS = 25
 
 

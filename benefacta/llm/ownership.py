@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .frames import free_name
+from .frames import content_ids, free_name
 
 EXAMPLE_OWNERS = 3
 #: kind, pattern, group of the value, least characters of that group; in the order of reporting
@@ -93,7 +93,7 @@ def scan(docs: DataFrame, text: str = "text", owner: str = "source", repository:
 
     Rows with equal key are repeated rows.
     """
-    key = F.xxhash64(*[F.col(c) for c in dict.fromkeys(("doc_id", text, owner, repository)) if c in docs.columns])
+    key = content_ids(docs, [c for c in dict.fromkeys(("doc_id", text, owner, repository)) if c in docs.columns])
     candidates = materialise(candidate_spans(docs, text, owner, repository, key), "secret-candidates")
     owned = materialise(ownership(candidates), "secret-owners")
     copied = owned.where(F.col("n_owners") >= example_owners).select("hash")

@@ -12,8 +12,8 @@
    occurrences are removed. The join in step 3 has listed every window of every document by its hash already, so
    the automata check these places word by word and find no further ones.
 
-Words are separated by blanks, tabs and line ends and compared unchanged. Rows are keyed by 64 bits of a hash
-of id and text, so rows with one id are kept apart, and fully repeated rows are two documents that repeat each other. A
+Words are separated by blanks, tabs and line ends and compared unchanged. Rows are keyed by hashes
+of id and text (``content_ids``), so rows with one id are kept apart, and fully repeated rows are two documents that repeat each other. A
 null or empty text has no words; texts shorter than a window keep all words. All counting is by partial aggregation,
 so a passage in a third of all documents stays small; windows are joined with a stored table, which adaptive
 execution splits where one window is hot.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .frames import KeyFilter, add_columns, free_name
+from .frames import KeyFilter, add_columns, content_ids, free_name
 from .textarrays import blocks, find_words, gram_hashes, signed, word_hashes
 
 WORDS = 35
@@ -148,7 +148,7 @@ def remove_repeated_passages(docs: DataFrame, text: str = "text", size: int = WO
     if not 0 < anchor <= size:
         raise ValueError("an anchor has from 1 word to a window's words")
     names = [free_name(docs, x) for x in ("n_words", "n_removed", "kept_sha256" if digest else "kept_text")]
-    key = F.xxhash64(*[F.col(c) for c in docs.columns if c in ("doc_id", text)])
+    key = content_ids(docs, [c for c in docs.columns if c in ("doc_id", text)])
     rows = docs.select(key.alias("row"), F.col(text).alias("text"))
     anchors = _anchors(rows, size, anchor).groupBy("anchor").count().where("count > 1")
     known = KeyFilter.of(materialise(anchors.select("anchor"), "repeated-anchors"), "anchor", filter_bits)
