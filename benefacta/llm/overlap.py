@@ -43,6 +43,7 @@ PERCENT = 90
 COUNTED = 1 << 62
 BLOCK = 1 << 18
 MERGE_COST = 0.0085
+AT_ONCE = 64
 _NAMES = np.array([0xA24BAED4963EE407, 0x9FB21C651E98DF25], np.uint64)
 _SET = "struct<a: bigint, b: bigint>"
 
@@ -136,13 +137,19 @@ def divide_skip(lists: list[np.ndarray], least: int) -> tuple[np.ndarray, np.nda
             found.append(number)
             counts.append(n)
     found, counts = np.array(found, np.int64), np.array(counts, np.int64)
-    for left, probed in zip(range(aside, 0, -1), reversed(long)):
-        on = counts + left >= least
+    width = int(max(found, default=0)) + 1
+    for high in range(aside, 0, -AT_ONCE):  # the longest first, some at a time, each beside the next in one sorted array
+        on = counts + high >= least
         found, counts = found[on], counts[on]
         if not len(found):
             break
-        at = np.searchsorted(probed, found)
-        counts = counts + (probed[np.minimum(at, len(probed) - 1)] == found)
+        probed = long[max(high - AT_ONCE, 0):high]
+        probed = [x[:np.searchsorted(x, width)] for x in probed] if probed[-1][-1] >= width else probed
+        place = np.arange(len(probed)) * width
+        held = np.concatenate([*probed, [np.iinfo(np.int64).max]])
+        held[:-1] += np.repeat(place, [len(x) for x in probed])
+        wanted = place[:, None] + found
+        counts = counts + (held[np.searchsorted(held, wanted)] == wanted).sum(axis=0)
     on = counts >= least
     return found[on], counts[on]
 
