@@ -13,9 +13,10 @@ Jaccard similarity, computed from all their runs, reaches the threshold; classes
 1. Exact copies are one text from the start, so copies are never compared.
 2. Each text is compared with one text of each of its buckets, the one that shares most buckets: rows grow with texts,
    not with pairs.
-3. In buckets whose texts are still in different classes, every pair from different classes is compared by signature, in
-   blocks of bounded size, and pairs that may reach the threshold are verified: where few, by a join; where a pair of blocks
-   has many, within the blocks, which return only links that join classes. No bucket is capped.
+3. Texts of buckets that still hold different classes are dealt again: texts that reach the threshold share one of their
+   rarest runs, which texts with a common template only do not. In these groups every pair from different classes is compared by
+   signature, in blocks of bounded size, and pairs that may reach the threshold are verified: where few, by a join; where a pair of blocks
+   has many, within the blocks, which return only links that join classes. No group is capped.
 
 Texts of fewer words than ``size``, but not none, have one run. Texts without words are alike only if they are
 equal; a null text is a class of its own. A class is named by its least doc_id; repeated rows are copies.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 from .components import components
 from .frames import KeyFilter, content_ids, free_name, unit
+from .overlap import first_runs
 from .textarrays import blocks, find_words, gram_hashes, mix, signed, word_hashes
 
 WORDS = 5
@@ -249,6 +251,18 @@ def _dense_links(spread: DataFrame, k: int, similarity: float) -> DataFrame:
     return spread.groupBy("band", "i", "j").applyInArrow(verify, "a long, b long").distinct()
 
 
+def _by_rare_runs(texts: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """``band``, ``text_id``, ``n``, ``class``: similar texts share one of their rarest runs; of each such run's texts the one with
+    most such runs names the group, so texts that share many meet once."""
+    sets = texts.join(runs, "text_id").select(F.col("text_id").alias("a"), F.lit(0).cast("long").alias("b"), "n", "runs")
+    first = materialise(first_runs(sets, round(100 * similarity, 9)), "rare-runs")
+    held = materialise(first.join(first.groupBy("run").agg(F.count("*").alias("texts")).where("texts > 1"), "run"), "shared-rare-runs")
+    weight = held.groupBy("a").agg(F.sum("texts").alias("weight"))
+    named = held.join(weight, "a").groupBy("run").agg(F.max(F.struct("weight", "a"))["a"].alias("band"))
+    return held.join(named, "run").select("band", F.col("a").alias("text_id")).distinct().join(texts, "text_id").select(
+        "band", "text_id", "n", "class")
+
+
 def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORDS, similarity: float = SIMILARITY,
                            bands: int = BANDS, rows: int = ROWS, block: int = BLOCK, dense: int = DENSE,
                            filter_bits: int | None = None, ids: Column | None = None) -> DataFrame:
@@ -290,6 +304,11 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
     members = shared.join(heavy.withColumnRenamed("b", "text_id"), "text_id", "left").select(
         "band", "text_id", "n", F.coalesce("pivot", "text_id").alias("class"))
     members = materialise(members, "members")
+    # texts of one bucket may share a template and little else, so those of mixed buckets are dealt again, by rare runs
+    bands_left = members.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band")
+    some = materialise(members.join(bands_left, "band").select("text_id", "n", "class").distinct(), "mixed-texts")
+    some_runs = runs_of(some.select("text_id"), some.count())
+    members = materialise(_by_rare_runs(some, some_runs, similarity), "rare-members")
     mixed = (members.groupBy("band", "class").agg(F.count("*").alias("n"))
              .groupBy("band").agg(F.count("*").alias("classes"), F.sum("n").alias("total"), F.max("n").alias("most"),
                                   F.max_by("class", F.struct("n", "class")).alias("largest")).where("classes > 1"))
@@ -300,15 +319,12 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", size: int = WORD
     found = materialise(_cross_pairs(spread.join(signature, "text_id"), k, similarity, dense), "cross-pairs")
     more, crowded = found.where("a is not null").select("a", "b"), found.where("a is null").select("band", "i", "j")
     in_dense = None
-    ids = ends(more)
     if not crowded.isEmpty():
         in_dense = materialise(spread.join(crowded, ["band", "i", "j"], "left_semi"), "dense-members")
-        ids = ids.union(in_dense.select("text_id"))
-    cross_runs = runs_of(ids, 2 * more.count() + (0 if in_dense is None else in_dense.count()))
-    more_links = _verified(more, cross_runs, similarity)
+    more_links = _verified(more, some_runs, similarity)
     if in_dense is not None:
         more_links = more_links.unionByName(
-            _dense_links(in_dense.join(signature, "text_id").join(cross_runs, "text_id"), k, similarity))
+            _dense_links(in_dense.join(signature, "text_id").join(some_runs, "text_id"), k, similarity))
     final = components(links.unionByName(more_links))
     rooted = (sketches.select("doc_id", "text_id")
               .join(final.select(F.col("node").alias("text_id"), "root"), "text_id", "left")

@@ -7,7 +7,7 @@ from their sizes and the wanted Jaccard similarity.
 1. *Partners.* A set with more than ``n - T`` runs that no other set has cannot reach T. Runs of a quarter of the hash
    range are counted: of a run that only one set has, the least and the greatest set name agree, so one aggregate without a
    join gives each set's number of them. Sets beyond the bound have no partner.
-2. *Shards.* Runs are ordered from rare to frequent, those outside the counted range last. Linked sets share one
+2. *Shards.* The runs of the sets left are counted and ordered from rare to frequent. Linked sets share one
    of their ``n - T + 1`` first runs. Of all sets with such a run one is the pivot; the sets of all runs with this pivot are
    its shard, dealt to blocks by their total size.
 3. *Search.* Each block has inverted lists, from runs to its sets. For a query, the ``L`` longest of its lists are put
@@ -213,19 +213,21 @@ def _dealt(asked: DataFrame, members: DataFrame, block: int) -> DataFrame:
     return both.join(whole.select("shard", "block", "part"), ["shard", "block", "part"], "left_semi")
 
 
-def _first_runs(sets: DataFrame, percent: int) -> DataFrame:
-    """``run``, ``a``, ``b``, ``n``: of each set's first runs from rare to frequent, those that other sets may have too."""
-    counted = F.filter("runs", lambda r: (r >= 0) & (r < COUNTED))
-    listed = sets.select("a", "b", "n", "runs", F.size(counted).alias("n_counted"), counted.alias("counted"))
-    each = listed.select("a", "b", F.explode("counted").alias("run"))
-    held = materialise(each.groupBy("run").agg(F.count("*").alias("held")).where("held > 1"), "run-counts")
-    shared = each.join(held, "run").groupBy("a", "b").agg(F.collect_list(F.struct("held", "run")).alias("shared"))
-    wanted = F.col("n") - _least_overlap(F.col("n"), percent) + 1
-    known = listed.join(shared, ["a", "b"], "left").withColumn("shared", F.coalesce("shared", F.expr("cast(array() as array<struct<held: bigint, run: bigint>>)")))
-    alone = F.col("n_counted") - F.size("shared")
-    rare = F.transform(F.slice(F.array_sort("shared"), F.lit(1), F.greatest((wanted - alone).cast("int"), F.lit(0))), lambda s: s["run"])
-    rest = F.slice(F.filter("runs", lambda r: (r < 0) | (r >= COUNTED)), F.lit(1), F.greatest((wanted - F.col("n_counted")).cast("int"), F.lit(0)))
-    return known.select("a", "b", "n", F.explode(F.concat(rare, rest)).alias("run"))
+def first_runs(sets: DataFrame, percent: float) -> DataFrame:
+    """``run``, ``a``, ``b``, ``n``: of each set's first runs from rare to frequent, those that other sets have too.
+
+    Sets whose runs that no other has are too many for a partner are left out before the frequencies return to the sets.
+    """
+    each = sets.select("a", "b", F.explode("runs").alias("run"))
+    held = materialise(each.groupBy("run").agg(F.count("*").alias("held"), F.min("a").alias("a"), F.min("b").alias("b")), "run-counts")
+    alone = held.where("held = 1").groupBy("a", "b").agg(F.count("*").alias("alone"))
+    spare = F.col("n") - _least_overlap(F.col("n"), percent)
+    kept = sets.join(alone, ["a", "b"], "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(F.col("alone") <= spare)
+    kept = materialise(kept, "sets-left")
+    shared = kept.select("a", "b", F.explode("runs").alias("run")).join(held.where("held > 1").select("run", "held"), "run")
+    listed = shared.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("held", "run"))).alias("shared"))
+    first = F.slice("shared", F.lit(1), (spare + 1 - F.col("alone")).cast("int"))
+    return listed.join(kept.select("a", "b", "n", "alone"), ["a", "b"]).select("a", "b", "n", F.explode(first).alias("run")).select("a", "b", "n", "run.run")
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", size: int = SIZE, percent: int = PERCENT, block: int = BLOCK,
@@ -242,7 +244,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", size: int = SIZE, pe
                            .select("a"), "sets-with-partners")
     sets = _sets_of(texts, KeyFilter.of(possible, "a", filter_bits), size).join(possible, "a", "left_semi")
     sets = materialise(sets.groupBy("a", "b").agg(F.first("n").alias("n"), F.first("runs").alias("runs")), "sets")
-    runs = materialise(_first_runs(sets, percent), "first-runs")
+    runs = materialise(first_runs(sets, percent), "first-runs")
     sizes = runs.groupBy("run").agg(F.count("*").alias("size")).where("size > 1")
     shared = materialise(runs.join(sizes, "run"), "shared-runs")
     weight = shared.groupBy("a", "b").agg(F.sum("size").alias("weight"))

@@ -141,3 +141,18 @@ def test_many_short_texts_take_bounded_memory():
     _, peak = tracemalloc.get_traced_memory()
     tracemalloc.stop()
     assert found.shape == (3000, 160) and peak < 150e6
+
+
+def test_template_corpus_grows_in_proportion(frame, rng):
+    """Texts that share 100 words and hold 40 of their own fall into the same buckets and are no copies."""
+    import time
+    template, seconds = " ".join(f"t{i}" for i in range(100)), []
+    for n in (500, 8000, 32000):
+        texts = [template + " " + " ".join(str(rng.getrandbits(48)) for _ in range(40)) for _ in range(n)]
+        texts[-1] = texts[0] + " more"
+        start = time.time()
+        got = {r["doc_id"]: r["class_id"] for r in dart.near_duplicate_classes(frame(list(enumerate(texts)))).collect()}
+        seconds.append(time.time() - start)
+        assert got == {i: i for i in range(n - 1)} | {n - 1: 0}
+    print("seconds", seconds)
+    assert seconds[2] < 4 * seconds[1] * 1.5
