@@ -46,7 +46,7 @@ def case(rng):
     return texts, items
 
 
-@pytest.mark.parametrize("block_windows", [200_000, 10])  # one scan, and several
+@pytest.mark.parametrize("block_windows", [200_000, 10])  # a broadcast table, and a join
 def test_like_by_hand(frame, case, block_windows):
     texts, items = case
     benchmark = frame(items, "item_id long, text string")
@@ -79,12 +79,30 @@ def test_empty_tables_and_extra_columns(frame):
     assert [tuple(r) for r in kept.collect()] == [(1, "é one", 5, "mine")] * 2 and kept.columns == docs.columns
 
 
-def test_tables_stay_within_the_bound_inside_an_item(frame):
+def test_one_scan_whatever_the_size_of_the_benchmark(frame, capsys):
     long_item = " ".join(f"w{i}" for i in range(300))
     benchmark = frame([("a", long_item), ("b", long_item), ("a", long_item), (None, "two words")], "item_id string, text string")
-    tables = list(decontaminate.gram_tables(decontaminate._windows(benchmark, "item_id", "text", 10), 50))
-    sizes = [sum(max(len(names), 1) for t in block for e in t.entries.values() for names in e.values()) for block in tables]
-    assert max(sizes) <= 50 and sum(sizes) == 2 * 291 + 1
-    docs = frame([(1, long_item), (2, "x two words y"), (3, "w1 w2 clean")])
-    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontaminate.contamination_report(docs, benchmark, block_windows=200).collect()}
-    assert got == {1: (300, 2), 2: (2, 0), 3: (0, 0)}
+    docs = frame([(1, long_item), (2, "x two words y"), (3, "w1 w2 clean"), (1, long_item), (4, None)])
+    for block_windows in (1000, 582, 50, 1):
+        report = decontaminate.contamination_report(docs, benchmark, block_windows=block_windows)
+        report.explain()
+        assert capsys.readouterr().out.count("MapInArrow") == 1
+        got = sorted((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in report.collect())
+        assert got == [(1, 300, 300, 2), (1, 300, 300, 2), (2, 4, 2, 0), (3, 3, 0, 0), (4, 0, 0, 0)]
+
+
+def test_windows_that_pass_the_filter_are_compared_by_words(frame, monkeypatch):
+    monkeypatch.setattr(decontaminate.KeyFilter, "__call__", lambda self, keys: keys >= 0)  # a full filter lets all pass
+    docs = frame([(1, "a b c d e"), (2, "b c d"), (3, "")], "doc_id long, text string")
+    got = decontaminate.contamination_report(docs, frame([(7, "B  c")], "item_id long, text string"), size=2, block_windows=0)
+    assert {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in got.collect()} == {1: (2, 1), 2: (2, 1), 3: (0, 0)}
+
+
+def test_removal_and_clashes_with_a_large_benchmark(frame):
+    schema = "doc_id long, text string, row int, found string, benchmark_hits int, item string"
+    docs = frame([(1, "é one UNO, two uno", 5, "f", 6, "i"), (2, "one", 7, "g", 8, "j")], schema)
+    benchmark = frame([(1, "uno")], "item_id long, text string")
+    cut = decontaminate.remove_contaminated(docs, benchmark, remove="spans", block_windows=0)
+    assert cut.columns == docs.columns
+    assert sorted(tuple(r) for r in cut.collect()) == [(1, "é one , two ", 5, "f", 6, "i"), (2, "one", 7, "g", 8, "j")]
+    assert decontaminate.remove_contaminated(docs.limit(0), benchmark, block_windows=0).count() == 0
