@@ -45,6 +45,35 @@ def test_passages_copies_and_periods(frame, rng):
     assert run(frame, texts, 35, 12, filter_bits=6) == want  # a full filter loses nothing
 
 
+@pytest.mark.parametrize("shard_bytes,group_stretches", [(1, 1), (400, 3)])
+def test_small_shards_and_groups_change_nothing(frame, rng, shard_bytes, group_stretches):
+    def some(n):
+        return " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+
+    common, passages = some(4), [some(9) for _ in range(12)]  # one anchor with many passages
+    texts = [some(3) + " " + passages[i % 12] + " " + common + " " + passages[-1 - i % 12] + " " + some(2) for i in range(30)] + [None, "", "a"]
+    options = {"shard_bytes": shard_bytes, "group_stretches": group_stretches}
+    assert run(frame, texts, 7, 4, **options) == by_hand(texts, 7)
+    assert run(frame, ["a b a b a b a", "b a b a", "", "a b a"] * 2, 3, 1, **options) == by_hand(["a b a b a b a", "b a b a", "", "a b a"] * 2, 3)
+
+
+def test_the_shards_alone_locate(frame, rng, monkeypatch):
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    texts = [one + " x", "y " + one, two + " z", two]
+    want = by_hand(texts, 35)
+    assert run(frame, texts, 35, 12) == want and want[0][1] == 40
+    every = phrases._passages
+    monkeypatch.setattr(phrases, "_passages", lambda *args: every(*args).where("not startswith(words, cast('a' as binary))"))
+    assert [r[1] for r in run(frame, texts, 35, 12)] == [0, 0, 40, 40]
+
+
+def test_automaton_compares_words():
+    held = phrases.Automaton([(1, b"a b c d e"), (2, b"x y b c z")], 4, 2)
+    assert held.locate(b"a b c d e") == [(0, 5)] and held.locate(b"0 a b c d 1 b c d e") == [(1, 5), (6, 10)]
+    assert held.locate(b"b c") == held.locate(b"ab c d e") == held.locate(b"a b c dd") == []
+    assert phrases.Automaton([], 4, 2).locate(b"a b c d") == []
+
+
 def test_digest_repeated_rows_and_ids(frame, rng):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(1, long), (1, long), (2, "alone"), (2, "other " + long), (None, None), (None, "a b")]
