@@ -261,9 +261,11 @@ def _located(sent: DataFrame, passages: DataFrame, size: int, anchor: int) -> Da
 
     def run(stretches: pa.Table, held: pa.Table) -> pa.Table:
         automaton = Automaton(zip(held.column("at").to_pylist(), held.column("words").to_pylist()), size, anchor)
+        texts = stretches.column("words").to_pylist()
+        ranges = {words: automaton.locate(words) for words in set(texts)}  # copies of a stretch have the same ranges
         found = [(row, first + low, first + high)
-                 for row, first, words in zip(*(stretches.column(c).to_pylist() for c in ("row", "first", "words")))
-                 for low, high in automaton.locate(words)]
+                 for row, first, words in zip(stretches.column("row").to_pylist(), stretches.column("first").to_pylist(), texts)
+                 for low, high in ranges[words]]
         return pa.Table.from_arrays([pa.array([f[i] for f in found], schema.field(i).type) for i in range(3)], schema=schema)
 
     return sent.groupBy("group").cogroup(passages.groupBy("group")).applyInArrow(run, "row long, low int, high int")
