@@ -38,8 +38,8 @@ from .textarrays import blocks, find_words, gram_hashes, mix, signed, word_hashe
 
 WORDS = 35
 ANCHOR = 12
-SHARD_BYTES = 4 << 20
-GROUP_STRETCHES = 100_000
+SHARD_BYTES = 1 << 20
+GROUP_STRETCHES = 25_000
 _PLACE = np.uint64((1 << 20) - 1)
 
 
