@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,3 +50,26 @@ def test_far_blocks_are_not_compared(spark):
     assert {(r["ring"], r["to_ring"]) for r in neighbours.block_pairs(facts, 10).collect()} == {(0, 0), (5, 5), (9, 9)}
     far = facts.withColumn("reach", F.lit(0.4))
     assert {(r["ring"], r["to_ring"]) for r in neighbours.block_pairs(far, 10).collect()} == {(0, 0), (5, 5), (9, 9), (5, 9), (9, 5)}
+
+
+def test_a_block_meets_near_blocks_only(spark):
+    rng = np.random.default_rng(3)
+    space = neighbours._Space(np.array([1.0, 1.0]), 1)
+    z = np.column_stack([rng.random((4000, 2)), rng.integers(0, 3, 4000).astype(float) * 1e15])
+    leaves = neighbours._Tree(z, space, 50).leaves(z)
+    blocks = [z[leaves == leaf] for leaf in np.unique(leaves)]
+    assert max(map(len, blocks)) <= 50 and all(len(np.unique(b[:, 2])) == 1 for b in blocks)
+    facts = spark.createDataFrame([(i % 8, i, 0.01, b.min(axis=0).tolist(), b.max(axis=0).tolist()) for i, b in enumerate(blocks)],
+                                  "cell int, spot int, reach double, low array<double>, high array<double>")
+    found = {(r["spot"], r["to_spot"]) for r in neighbours.box_pairs(facts, space).collect()}
+    low, high = np.array([b.min(axis=0) for b in blocks]), np.array([b.max(axis=0) for b in blocks])
+    near = space.gaps(low[:, None], high[:, None], low[None], high[None]) <= 0.01 + neighbours.SLACK
+    assert found == set(zip(*(at.tolist() for at in np.nonzero(near)))) and len(found) < len(blocks) ** 2 / 6
+
+
+def test_copies_share_one_point_and_keys_may_repeat(spark):
+    rows = [(i, 1.0, 2.0, "x", "p") for i in range(300)] + [(7, 1.0, 2.0, "x", "p"), (900, 1.5, 2.0, "x", None), (901, 9.0, 4.0, "y", "")]
+    assert run(spark, rows, 3, block=4) == by_hand(rows, 3)
+    rng = random.Random(9)  # more rows than a cell and a block hold, ties on a grid
+    rows = [(i, float(rng.randrange(30)), float(rng.randrange(30)), rng.choice("xyz"), rng.choice(["p", None])) for i in range(1500)]
+    assert run(spark, rows, 4, block=16) == by_hand(rows, 4)
