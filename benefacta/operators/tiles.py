@@ -1,8 +1,8 @@
 """Euclidean silhouette of every row, by tiles of distances.
 
 The mean distance of a row to a cluster has no closed form, so distances are summed tile by tile: the vectors of each
-cluster are packed into blocks of bounded size, pairs of blocks are dealt to tasks, and a tile returns one sum for each of
-its rows. Only clusters that matter are summed: the own one, and those that can be the nearest of the others. A
+cluster are packed into blocks of bounded size, tasks read pairs of partitions of blocks without a shuffle of them, and return one sum for each
+row and cluster. A tile is a matrix product; only close pairs, where a product loses digits, are computed from differences. Only clusters that matter are summed: the own one, and those that can be the nearest of the others. A
 cluster's mean distance lies between the distance to its centre and the root of the mean squared distance, both of which
 follow from one aggregate per cluster; a cluster whose lower bound exceeds another's upper bound is not the nearest.
 """
@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..session import materialise
 
 CLUSTER = "cluster"
-BLOCK = 1024
+BLOCK = 4096
 MOST_VALUES = 1 << 24  # of all centres together, which go to the tasks
+CLOSE = 1e-5  # of the squared norms: closer pairs are computed from differences
 _AT_ONCE = 1 << 21
+_IN_CACHE = 1 << 17
+_SUMS = 1 << 20  # held by a task before it returns them
 
 
 class _Centres:
@@ -51,8 +54,7 @@ class _Centres:
         return out
 
 
-def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Euclidean distances of all rows of ``x`` to all of ``y``, from differences, so equal rows are at 0."""
+def _by_differences(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     out = np.empty((len(x), len(y)))
     step = max(1, _AT_ONCE // max(y.size, 1))
     for low in range(0, len(x), step):
@@ -60,8 +62,37 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _unpacked(value: pa.Scalar, dims: int) -> np.ndarray:
-    return np.frombuffer(value.as_py(), np.float64).reshape(-1, dims)
+def _parts(x: np.ndarray, y: np.ndarray):
+    """Euclidean distances of some rows of ``x`` after the others to all of ``y``; equal rows are at 0."""
+    step = max(1, _IN_CACHE // len(y))
+    with np.errstate(invalid="ignore", over="ignore"):
+        a, b = x - y.mean(axis=0), y - y.mean(axis=0)
+        aa, bb = np.square(a).sum(axis=1), np.square(b).sum(axis=1)
+    if not np.isfinite(aa.sum() + bb.sum()):
+        yield from (_by_differences(x[low:low + step], y) for low in range(0, len(x), step))
+        return
+    left, right = np.column_stack([-2 * a, aa, np.ones(len(a))]), np.column_stack([b, np.ones(len(b)), bb]).T
+    for low in range(0, len(x), step):
+        part = left[low:low + step] @ right
+        if part.min() < CLOSE * (aa[low:low + step].max() + bb.max()):
+            i, j = np.nonzero(part < CLOSE * (aa[low:low + step, None] + bb))
+            for at in range(0, len(i), some := max(1, _AT_ONCE // x.shape[1])):
+                part[i[at:at + some], j[at:at + some]] = np.square(x[low + i[at:at + some]] - y[j[at:at + some]]).sum(axis=1)
+        yield np.sqrt(part, out=part)
+
+
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``x`` to all of ``y``."""
+    return np.concatenate(list(_parts(x, y))) if len(x) and len(y) else np.empty((len(x), len(y)))
+
+
+def _distance_sums(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sum of the distances of each row of ``x`` to all of ``y``."""
+    return np.concatenate([part.sum(axis=1) for part in _parts(x, y)])
+
+
+def _unpacked(value: pa.Scalar, dims: int, kind: type = np.float64) -> np.ndarray:
+    return np.frombuffer(value.as_py(), kind).reshape(-1, dims).astype(np.float64)
 
 
 def euclidean_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key: str = "id", block: int = BLOCK) -> DataFrame:
@@ -77,7 +108,9 @@ def euclidean_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key
     if not len(centres.names):
         return df.sparkSession.createDataFrame([], out)
     dims = centres.means.shape[1]
-    shipped = df.sparkSession.sparkContext.broadcast(centres)
+    single = df.schema[vector].dataType == T.ArrayType(T.FloatType(), df.schema[vector].dataType.containsNull)
+    packed = np.float32 if single else np.float64  # either holds the values exactly
+    shipped, most = df.sparkSession.sparkContext.broadcast(centres), _SUMS
 
     def deal(batches):
         count = TaskContext.get().partitionId()  # blocks are filled in turn, so repeated rows are spread too
@@ -94,31 +127,46 @@ def euclidean_silhouette(df: DataFrame, vector: str, cluster: str = CLUSTER, key
         needed = shipped.value.needed(x, own)
         return pa.table({"code": table.column("code")[:1], "spot": table.column("spot")[:1], "c": table.column("c")[:1],
                          "ids": pa.array([table.column("id").to_pylist()], pa.list_(table.schema.field("id").type)),
-                         "x": pa.array([x.tobytes()], pa.binary()), "needed": pa.array([needed.tobytes()], pa.binary()),
+                         "x": pa.array([x.astype(packed).tobytes()], pa.binary()), "needed": pa.array([needed.tobytes()], pa.binary()),
                          "others": pa.array([np.flatnonzero(needed.any(axis=0))], pa.list_(pa.int32()))})
 
     def tile(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own, spot, other = (batch.column(c)[i].as_py() for c in ("code", "spot", "other"))
-                x, y = _unpacked(batch.column("x")[i], dims), _unpacked(batch.column("y")[i], dims)
-                needed = np.frombuffer(batch.column("needed")[i].as_py(), bool).reshape(len(x), -1)[:, other]
-                at = np.flatnonzero(needed)
+        sums: dict[tuple[int, int, int], np.ndarray] = {}
+        held = {"at": None}
+
+        def given():
+            for (own, spot, other), total in sums.items():
+                at = np.flatnonzero(~np.isnan(total[0]))
                 n = shipped.value.sizes[other] - (own == other)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), own), pa.int32()), pa.array(np.full(len(at), spot), pa.int32()), pa.array(at, pa.int32()),
-                    pa.array(np.full(len(at), other), pa.int32()), pa.array(distances(x[at], y).sum(axis=1) / n)],
+                    *(pa.array(np.full(len(at), v), pa.int32()) for v in (own, spot)), pa.array(at, pa.int32()),
+                    pa.array(np.full(len(at), other), pa.int32()), pa.array(total[1][at] / n)],
                     names=["code", "spot", "place", "other", "share"])
+            sums.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own, spot, other = (batch.column(c)[i].as_py() for c in ("code", "spot", "other"))
+                if held["at"] != (own, spot):  # the same block comes with one after the other
+                    x = _unpacked(batch.column("x")[i], dims, packed)
+                    held = {"at": (own, spot), "x": x, "needed": np.frombuffer(batch.column("needed")[i].as_py(), bool).reshape(len(x), -1)}
+                on = held["needed"][:, other]
+                if (own, spot, other) not in sums:
+                    if sums and (len(sums) + 1) * len(on) > most:
+                        yield from given()
+                    sums[own, spot, other] = np.array([np.where(on, 0.0, np.nan), np.zeros(len(on))])
+                sums[own, spot, other][1][on] += _distance_sums(held["x"][on], _unpacked(batch.column("y")[i], dims, packed))
+        yield from given()
 
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("id", "c")}
     dealt = rows.mapInArrow(deal, T.StructType([*rows.schema.fields, T.StructField("code", T.IntegerType()), T.StructField("spot", T.IntegerType())]))
-    blocks = materialise(dealt.groupBy("code", "spot").applyInArrow(
+    count = int(np.ceil(centres.sizes / block).sum())
+    spread = dealt.repartition(min(count, max(16, count // 8)), "code", "spot")
+    blocks = materialise(spread.groupBy("code", "spot").applyInArrow(
         pack, f"code int, spot int, c {kinds['c']}, ids array<{kinds['id']}>, x binary, needed binary, others array<int>"), "silhouette-blocks")
-    # pairs of blocks first, a few bytes each; then either side's vectors by a key that is unique there
-    pairs = blocks.select("code", "spot", F.explode("others").alias("other")).join(
-        blocks.select(F.col("code").alias("other"), F.col("spot").alias("other_spot")), "other")
-    tiles = pairs.join(blocks.select(F.col("code").alias("other"), F.col("spot").alias("other_spot"), F.col("x").alias("y")), ["other", "other_spot"])
-    tiles = tiles.join(blocks.select("code", "spot", "x", "needed"), ["code", "spot"])
+    # every pair of partitions is a task that reads both, so the vectors are not written once for each tile
+    tiles = blocks.select("code", "spot", "x", "needed", "others").join(
+        blocks.select(F.col("code").alias("other"), F.col("x").alias("y")), F.array_contains("others", F.col("other"))).drop("others")
     sums = tiles.mapInArrow(tile, "code int, spot int, place int, other int, share double").groupBy(
         "code", "spot", "place", "other").agg(F.sum("share").alias("mean"))
     widths = sums.groupBy("code", "spot", "place").agg(

@@ -69,3 +69,33 @@ def test_choice_of_k_by_either_metric(spark):
     scaled = (x - x.mean(axis=0)) / x.std(axis=0)
     labels = {r["id"]: r["cluster"] for r in fitted.labelled.collect()}
     assert dict(fitted.scores)[3] == pytest.approx(np.mean(by_hand(scaled, [labels[i] for i in range(120)])), abs=1e-9)
+
+
+def test_vectors_are_not_shuffled_for_each_tile(spark, capsys):
+    df = spark.createDataFrame([(i, [float(i), 1.0], i % 2) for i in range(40)], "id long, v array<double>, cluster int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tiles.euclidean_silhouette(df, "v", block=8).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert "CartesianProduct" in plan and "hashpartitioning(other#" not in plan
+
+
+def test_close_and_far_pairs_keep_their_digits():
+    rng = np.random.default_rng(7)
+    x = 1000 + rng.normal(0, 1, (300, 64))
+    y = np.concatenate([x[:100], x[100:200] + rng.normal(0, 1e-7, (100, 64)), rng.normal(0, 1, (100, 64))])
+    plain = np.sqrt(np.square(x[:, None] - y[None]).sum(axis=2))
+    assert np.allclose(tiles.distances(x, y), plain, rtol=1e-9, atol=0) and (tiles.distances(x, y)[:100].diagonal() == 0).all()
+    y[3, 2] = np.inf
+    assert np.array_equal(tiles.distances(x, y), np.sqrt(np.square(x[:, None] - y[None]).sum(axis=2)))
+
+
+def test_floats_and_many_small_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x, c = rng.normal(0, 1, (90, 3)).astype(np.float32).astype(float), rng.integers(0, 3, 90)
+    monkeypatch.setattr(tiles, "_SUMS", 40)
+    df = spark.createDataFrame([(i, r.tolist(), int(k)) for i, (r, k) in enumerate(zip(x, c))], "id long, v array<float>, cluster int")
+    out = sorted((r["id"], r["silhouette"]) for r in tiles.euclidean_silhouette(df, "v", block=5).collect())
+    assert [s for _, s in out] == pytest.approx(by_hand(x, c), abs=1e-9)
