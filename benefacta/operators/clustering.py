@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -21,6 +24,9 @@ from .tiles import mean_silhouette
 FEATURES = "features"
 CLUSTER = "cluster"
 PARALLEL_FITS = 8
+SAME_COST = 1e-9  # costs as near as this are equal but for rounding
+MERGES = 8  # tasks that add up what the others found
+_CHUNK = 1024
 
 
 def scaling_stages(moments: dict[str, Moments]) -> list:
@@ -43,17 +49,30 @@ def scaled_vectors(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list]:
 
 def fit_kmeans(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 0, iterations: int = 300,
                tolerance: float = 1e-4, parallelism: int = PARALLEL_FITS) -> KMeansModel:
-    """Best of several seeded fits by the sum of squared distances; some fits run at the same time.
+    """Best of several seeded fits by the sum of squared distances.
 
     ``tolerance`` bounds the squared shift of all centroids together, relative to unit variance;
     the estimator's own setting bounds the plain shift of each one.
+    The estimator draws the starts; from there all fits advance together, one pass over the vectors an iteration. Only those whose
+    costs cannot be told from the least are fitted by the estimator itself.
     """
+    def estimator(attempt, most):
+        return KMeans(k=k, seed=seed + attempt, maxIter=most, tol=(tolerance / k) ** 0.5, featuresCol=FEATURES, predictionCol=CLUSTER)
+
     def fit(attempt):
-        model = KMeans(k=k, seed=seed + attempt, maxIter=iterations, tol=(tolerance / k) ** 0.5,
-                       featuresCol=FEATURES, predictionCol=CLUSTER).fit(vectors)
+        model = estimator(attempt, iterations).fit(vectors)
         return model.summary.trainingCost, attempt, model
 
-    return min(_side_by_side(fit, range(restarts), parallelism), key=lambda f: f[:2])[2]
+    attempts = list(range(restarts))
+    if restarts > 1:
+        starts = _side_by_side(lambda attempt: np.array(estimator(attempt, 0).fit(vectors).clusterCenters()), attempts, parallelism)
+        values = vectors.select(vector_to_array(FEATURES).alias("x")).persist()
+        try:
+            costs = [cost for cost, _ in _advanced(values, starts, iterations, lambda shifts: shifts.max() <= tolerance / k)]
+        finally:
+            values.unpersist()
+        attempts = [i for i in attempts if costs[i] <= min(costs) + SAME_COST * abs(min(costs))]
+    return min(_side_by_side(fit, attempts, parallelism), key=lambda f: f[:2])[2]
 
 
 def _side_by_side(fn, items, parallelism: int) -> list:
@@ -153,52 +172,89 @@ def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations:
     """
     values = vectors.select(vector_to_array(FEATURES).alias("x")).persist()
     try:
-        return _advanced(values, _spread_starts(values, ks, seeds), iterations, tolerance)
+        return _advanced(values, _spread_starts(values, ks, seeds), iterations, lambda shifts: shifts.sum() <= tolerance)
     finally:
         values.unpersist()
 
 
-def _advanced(values: DataFrame, centres: list[np.ndarray], iterations: int, tolerance: float) -> list[tuple[float, np.ndarray]]:
-    """The runs from these starts, each until its centres rest."""
-    dims = centres[0].shape[1]
-    costs = [np.inf] * len(centres)
+class _Sums:
+    """Of each run's clusters over some rows: sums of the vectors, sizes and costs.
+
+    Runs of as many centres are handled together, some rows at a time, so the distances at hand stay small whatever a batch holds.
+    """
 
-    def reduced(moving: dict[int, np.ndarray]) -> list:
+    def __init__(self, moving: dict[int, np.ndarray]):
+        self.runs: dict[int, list[int]] = {}
+        for run, centres in moving.items():
+            self.runs.setdefault(len(centres), []).append(run)
+        self.dims = next(iter(moving.values())).shape[1]
+        self.totals = {k: np.zeros((len(runs), k, self.dims + 2)) for k, runs in self.runs.items()}
+        each = {k: np.stack([moving[run] for run in runs], axis=1).reshape(-1, self.dims) for k, runs in self.runs.items()}
+        # times a vector and a 1: the squared distance less the vector's own square
+        self.left = {k: np.column_stack([-2 * centres, np.square(centres).sum(axis=1)]) for k, centres in each.items()}
+
+    def add(self, x: np.ndarray) -> None:
+        for low in range(0, len(x), _CHUNK):
+            part = x[low:low + _CHUNK]
+            squares, part = np.square(part).sum(axis=1), np.column_stack([part, np.ones(len(part))])
+            for k, total in self.totals.items():
+                far = (self.left[k] @ part.T).reshape(k, len(total), -1)
+                own, least = np.zeros(far.shape[1:], np.int32), far[0].copy()
+                for j in range(1, k):  # of equal distances the first
+                    np.copyto(own, j, where=far[j] < least)
+                    np.minimum(least, far[j], out=least)
+                least = np.maximum(least + squares, 0.0)
+                for j in range(k):
+                    on = (own == j).astype(np.float64)
+                    total[:, j, :-1] += on @ part
+                    total[:, j, -1] += (on * least).sum(axis=1)
+
+    def __getstate__(self):
+        return {"runs": self.runs, "totals": self.totals}
+
+    def merge(self, other: _Sums) -> _Sums:
+        for k, total in self.totals.items():
+            total += other.totals[k]
+        return self
+
+    def each(self):
+        """``run, sums, sizes, cost`` of each run."""
+        for k, runs in self.runs.items():
+            for run, total in zip(runs, self.totals[k]):
+                yield run, total[:, :-2], total[:, -2], total[:, -1].sum()
+
+
+def _advanced(values: DataFrame, centres: list[np.ndarray], iterations: int, rest) -> list[tuple[float, np.ndarray]]:
+    """The runs from these starts, each until its centres rest: ``rest`` judges their squared shifts."""
+    costs, centres = [np.inf] * len(centres), list(centres)
+
+    def reduced(moving: dict[int, np.ndarray]) -> _Sums:
         def work(batches):
+            sums = _Sums(moving)
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
-                parts, every = [], _distances(x, np.concatenate(list(moving.values())))
-                ends = np.cumsum([len(centre) for centre in moving.values()])
-                for (run, centre), end in zip(moving.items(), ends):
-                    distance = every[:, end - len(centre):end]
-                    own = distance.argmin(axis=1)
-                    weights = [distance[np.arange(len(x)), own], *x.T]
-                    sums = np.array([np.bincount(own, w, len(centre)) for w in weights])
-                    parts.append(np.column_stack([np.full(len(centre), run), np.arange(len(centre)), np.bincount(own, minlength=len(centre)), sums.T]))
-                yield pa.RecordBatch.from_arrays([pa.array(column) for column in np.concatenate(parts).T], names=names)
-
-        names = ["run", "cluster", "n", "cost", *(f"s{i}" for i in range(dims))]
-        rows = values.mapInArrow(work, ", ".join(f"{n} double" for n in names))
-        return rows.groupBy("run", "cluster").agg(*[F.sum(n).alias(n) for n in names[2:]]).collect()
+                if batch.num_rows:
+                    sums.add(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1))
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % MERGES], pa.int32()), pa.array([pickle.dumps(sums)], pa.binary())],
+                                             names=["slot", "sums"])
+
+        def merged(table: pa.Table) -> pa.Table:
+            sums = reduce(_Sums.merge, (pickle.loads(v.as_py()) for v in table.column("sums")))
+            return pa.table({"sums": pa.array([pickle.dumps(sums)], pa.binary())})
+
+        found = values.mapInArrow(work, "slot int, sums binary").groupBy("slot").applyInArrow(merged, "sums binary").collect()  # a row per slot
+        return reduce(_Sums.merge, (pickle.loads(r["sums"]) for r in found), _Sums(moving))
 
     moving = dict(enumerate(centres))
     for _ in range(iterations):
-        sums: dict[int, list] = {}
-        for r in reduced(moving):
-            sums.setdefault(int(r["run"]), []).append(r)
-        for run, rows in sums.items():
-            costs[run] = sum(r["cost"] for r in rows)
-            new = moving[run].copy()  # an empty cluster keeps its centre
-            for r in rows:
-                if r["n"]:
-                    new[int(r["cluster"])] = [r[f"s{i}"] / r["n"] for i in range(dims)]
-            shift, centres[run] = np.square(new - moving[run]).sum(), new
-            if shift <= tolerance:
+        for run, sums, sizes, cost in reduced(moving).each():
+            held, old = sizes > 0, moving[run]
+            centres[run], costs[run] = old.copy(), cost  # an empty cluster keeps its centre
+            centres[run][held] = sums[held] / sizes[held, None]
+            shifts = np.square(centres[run] - old).sum(axis=1)
+            if rest(shifts):
                 del moving[run]
             else:
-                moving[run] = new
+                moving[run] = centres[run]
         if not moving:
             break
     return list(zip(costs, centres))
