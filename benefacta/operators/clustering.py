@@ -27,6 +27,7 @@ PARALLEL_FITS = 8
 SAME_COST = 1e-9  # costs as near as this are equal but for rounding
 MERGES = 8  # tasks that add up what the others found
 _CHUNK = 1024
+_AT_ONCE = 1 << 18  # distances that a task holds
 
 
 def scaling_stages(moments: dict[str, Moments]) -> list:
@@ -93,11 +94,17 @@ def nearest_of(centres: np.ndarray):
     """Function from a vector column to the number of its nearest centre; one matrix per batch."""
     @F.pandas_udf("int")
     def nearest(column: pd.Series) -> pd.Series:
-        return pd.Series(_distances(np.stack(column.to_list()), centres).argmin(axis=1)) if len(column) else pd.Series([], dtype="int32")
+        return pd.Series(_nearest(np.stack(column.to_list()), centres)) if len(column) else pd.Series([], dtype="int32")
 
     return lambda column: nearest(vector_to_array(column))
 
 
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Number of the nearest centre of each row."""
+    step = max(1, _AT_ONCE // len(centres))
+    return np.concatenate([_distances(x[low:low + step], centres).argmin(axis=1) for low in range(0, len(x), step)])
+
+
 def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distances of all rows to all centres."""
     return np.maximum(np.square(x).sum(axis=1)[:, None] - 2 * x @ centres.T + np.square(centres).sum(axis=1), 0.0)
@@ -106,7 +113,7 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def _least_squares(x: np.ndarray, groups: list[np.ndarray]) -> np.ndarray:
     """Squared distance of each row to the nearest member of each group, from differences, so equal rows are at 0."""
     members, first = np.concatenate(groups), np.cumsum([0, *map(len, groups[:-1])])
-    out, step = np.empty((len(x), len(groups))), max(1, (1 << 22) // len(members))
+    out, step = np.empty((len(x), len(groups))), max(1, _AT_ONCE // len(members))
     for low in range(0, len(x), step):
         part, total = x[low:low + step], 0.0
         for j in range(x.shape[1]):

@@ -283,3 +283,41 @@ def test_first_starts_follow_how_often_a_vector_occurs(spark):
     assert 70 <= first.count(7.0) <= 130 and len(set(first)) > 120
     same = clustering._spread_starts(spark.range(5).select(F.array(F.lit(3.0)).alias("x")), [3], [1])
     assert same[0].tolist() == [[3.0]] * 3
+
+
+def peak_mb(fn):
+    import tracemalloc
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_batch_takes_little_memory_whatever_the_runs():
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (40_000, 3))
+    runs = {i: rng.normal(0, 1, (2 + i % 8, 3)) for i in range(80)}
+    assert peak_mb(lambda: clustering._least_squares(x, list(runs.values()))) < 50  # 24 of them are the result
+    assert peak_mb(lambda: clustering._nearest(x, np.concatenate(list(runs.values())))) < 20
+    sums = clustering._Sums(runs)
+    assert peak_mb(lambda: sums.add(x)) < 20
+    far = np.square(x[:, None] - runs[7][None]).sum(axis=2)
+    _run, total, sizes, cost = next(r for r in sums.each() if r[0] == 7)
+    assert sizes.tolist() == np.bincount(far.argmin(axis=1), minlength=9).tolist() and cost == pytest.approx(far.min(axis=1).sum())
+    assert total == pytest.approx(np.array([x[far.argmin(axis=1) == j].sum(axis=0) for j in range(9)]))
+
+
+def test_restarts_advance_together_and_the_estimator_fits_the_best_only(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    x = rng.random((400, 2))
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    vectors = clustering.scaled_vectors(df, ["a", "b"])[0].persist()
+    full, fitted = clustering.KMeans.fit, []
+    monkeypatch.setattr(clustering.KMeans, "fit", lambda self, *a: fitted.append((self.getSeed(), self.getMaxIter())) or full(self, *a))
+    found = clustering.fit_kmeans(vectors, 6, restarts=5, seed=3)
+    assert sorted(s for s, most in fitted if most == 0) == [3, 4, 5, 6, 7] and 1 <= sum(most > 0 for _, most in fitted) < 5
+    each = [full(clustering.KMeans(k=6, seed=3 + i, maxIter=300, tol=(1e-4 / 6) ** 0.5, featuresCol="features", predictionCol="cluster"), vectors) for i in range(5)]
+    best = min(each, key=lambda m: m.summary.trainingCost)
+    assert np.allclose(found.clusterCenters(), best.clusterCenters(), rtol=0, atol=1e-12)
