@@ -28,6 +28,7 @@ SAME_COST = 1e-9  # costs as near as this are equal but for rounding
 MERGES = 8  # tasks that add up what the others found
 _CHUNK = 1024
 _AT_ONCE = 1 << 18  # distances that a task holds
+_DRAWN = pa.schema([("run", pa.int32()), ("race", pa.float64()), ("x", pa.list_(pa.float64()))])
 
 
 def scaling_stages(moments: dict[str, Moments]) -> list:
@@ -99,6 +100,11 @@ def nearest_of(centres: np.ndarray):
     return lambda column: nearest(vector_to_array(column))
 
 
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    """Arrays of one length as the rows of a matrix."""
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Number of the nearest centre of each row."""
     step = max(1, _AT_ONCE // len(centres))
@@ -143,18 +149,20 @@ def _spread_starts(values: DataFrame, ks: list[int], seeds: list[int]) -> list[n
     def draw(chosen: dict[int, list], turn: int) -> dict[int, list]:
         def work(batches):
             for batch in batches:
-                x, n = np.stack(batch["x"].to_list()), batch["n"].to_numpy("float64")
-                hashes, rows = batch["hash"].to_numpy("int64").view("uint64"), []
+                if not batch.num_rows:
+                    continue
+                x, n = _matrix(batch.column("x")), batch.column("n").to_numpy().astype("float64")
+                hashes, rows = batch.column("hash").to_numpy().view("uint64"), []
                 far = _least_squares(x, [np.array(before) for before in chosen.values()]) if turn else np.ones((len(x), len(chosen)))
                 for place, run in enumerate(chosen):
                     weight = n * far[:, place]
                     race = np.divide(_races(hashes, seeds[run], turn), weight, out=np.full(len(x), np.inf), where=weight > 0)
                     first = race.argmin()
                     if np.isfinite(race[first]):
-                        rows.append((run, race[first], x[first].tolist()))
-                yield pd.DataFrame(rows, columns=["run", "race", "x"])
+                        rows.append({"run": run, "race": race[first], "x": x[first].tolist()})
+                yield pa.RecordBatch.from_pylist(rows, schema=_DRAWN)
 
-        best = weighted.mapInPandas(work, "run int, race double, x array<double>").groupBy("run").agg(
+        best = weighted.mapInArrow(work, "run int, race double, x array<double>").groupBy("run").agg(
             F.min(F.struct("race", "x"))["x"].alias("x"))
         return {r["run"]: r["x"] for r in best.collect()}
 
@@ -185,7 +193,7 @@ def lloyd_runs(vectors: DataFrame, ks: list[int], seeds: list[int], iterations:
 
 
 class _Sums:
-    """Of each run's clusters over some rows: sums of the vectors, sizes and costs.
+    """Of each run's clusters over some rows: sums of the vectors and sizes; of each run its cost, kept with the first cluster.
 
     Runs of as many centres are handled together, some rows at a time, so the distances at hand stay small whatever a batch holds.
     """
@@ -206,15 +214,13 @@ class _Sums:
             squares, part = np.square(part).sum(axis=1), np.column_stack([part, np.ones(len(part))])
             for k, total in self.totals.items():
                 far = (self.left[k] @ part.T).reshape(k, len(total), -1)
-                own, least = np.zeros(far.shape[1:], np.int32), far[0].copy()
-                for j in range(1, k):  # of equal distances the first
-                    np.copyto(own, j, where=far[j] < least)
-                    np.minimum(least, far[j], out=least)
-                least = np.maximum(least + squares, 0.0)
-                for j in range(k):
-                    on = (own == j).astype(np.float64)
-                    total[:, j, :-1] += on @ part
-                    total[:, j, -1] += (on * least).sum(axis=1)
+                least = far.min(axis=0)
+                on = far == least
+                if np.count_nonzero(on) != least.size:  # of equal distances the first
+                    on = far.argmin(axis=0) == np.arange(k)[:, None, None]
+                found = on.reshape(-1, len(part)).astype(np.float64) @ part
+                total[:, :, :-1] += found.reshape(k, len(total), -1).swapaxes(0, 1)
+                total[:, 0, -1] += np.maximum(least + squares, 0.0).sum(axis=1)
 
     def __getstate__(self):
         return {"runs": self.runs, "totals": self.totals}
@@ -240,7 +246,7 @@ def _advanced(values: DataFrame, centres: list[np.ndarray], iterations: int, res
             sums = _Sums(moving)
             for batch in batches:
                 if batch.num_rows:
-                    sums.add(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1))
+                    sums.add(_matrix(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % MERGES], pa.int32()), pa.array([pickle.dumps(sums)], pa.binary())],
                                              names=["slot", "sums"])
 

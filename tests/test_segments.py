@@ -321,3 +321,35 @@ def test_restarts_advance_together_and_the_estimator_fits_the_best_only(spark, m
     each = [full(clustering.KMeans(k=6, seed=3 + i, maxIter=300, tol=(1e-4 / 6) ** 0.5, featuresCol="features", predictionCol="cluster"), vectors) for i in range(5)]
     best = min(each, key=lambda m: m.summary.trainingCost)
     assert np.allclose(found.clusterCenters(), best.clusterCenters(), rtol=0, atol=1e-12)
+
+
+def calls(fn):
+    import sys
+    seen = []
+    sys.setprofile(lambda frame, event, arg: seen.append(event))
+    try:
+        fn()
+    finally:
+        sys.setprofile(None)
+    return len(seen)
+
+
+def test_a_pass_does_not_go_centre_by_centre():
+    x = np.random.default_rng(4).normal(0, 1, (3000, 3))
+    few, many = clustering._Sums({0: x[:2]}), clustering._Sums({0: x[:9]})
+    assert calls(lambda: few.add(x)) == calls(lambda: many.add(x))
+
+
+def test_of_equally_near_centres_the_first_takes_the_row():
+    runs = {0: np.array([[0.0], [2.0], [2.0]]), 1: np.array([[3.0], [5.0], [9.0]])}
+    sums = clustering._Sums(runs)
+    sums.add(np.array([[1.0], [2.0], [4.0], [7.0], [8.0]]))
+    found = {run: (total[:, 0].tolist(), sizes.tolist(), cost) for run, total, sizes, cost in sums.each()}
+    assert found == {0: ([1.0, 21.0, 0.0], [1, 4, 0], 1 + 4 + 25 + 36), 1: ([7.0, 7.0, 8.0], [3, 1, 1], 4 + 1 + 1 + 4 + 1)}
+
+
+def test_starts_make_no_python_object_of_each_row(spark, monkeypatch):
+    values = spark.range(60).select(F.array(F.col("id").cast("double"), F.col("id") % 7 + 0.5).alias("x"))
+    monkeypatch.setattr(type(values), "mapInPandas", None)
+    starts = clustering._spread_starts(values, [2, 5], [1, 2])
+    assert [len({*map(tuple, s.tolist())}) for s in starts] == [2, 5]
