@@ -100,6 +100,18 @@ def nearest_of(centres: np.ndarray):
     return lambda column: nearest(vector_to_array(column))
 
 
+def nearest_of_each(several: list[np.ndarray]):
+    """Function from a vector column to the numbers of its nearest centre in each of ``several`` sets."""
+    @F.pandas_udf("array<int>")
+    def nearest(column: pd.Series) -> pd.Series:
+        if not len(column):
+            return pd.Series([], dtype="object")
+        x = np.stack(column.to_list())
+        return pd.Series(list(np.column_stack([_nearest(x, centres) for centres in several]).astype("int32")))
+
+    return lambda column: nearest(vector_to_array(column))
+
+
 def _matrix(column: pa.ListArray) -> np.ndarray:
     """Arrays of one length as the rows of a matrix."""
     return column.flatten().to_numpy().reshape(len(column), -1)
@@ -280,10 +292,17 @@ def k_scores(vectors: DataFrame, ks: range = range(2, 10), seed: int = 123, rest
     runs = lloyd_runs(vectors, [k for k, _ in fits], [s for _, s in fits])
     best = {k: min((run for (of, _), run in zip(fits, runs) if of == k), key=lambda run: run[0])[1] for k in ks}
 
-    def score(k):
-        return k, silhouette(vectors.withColumn(CLUSTER, nearest_of(best[k])(F.col(FEATURES))), metric)
+    # the nearest centres of all k are found in one pass
+    labelled = vectors.select(FEATURES, nearest_of_each([best[k] for k in ks])(F.col(FEATURES)).alias("_nearest")).persist()
+
+    def score(place):
+        return ks[place], silhouette(labelled.withColumn(CLUSTER, F.col("_nearest")[place]), metric)
 
-    return _side_by_side(score, ks, parallelism)
+    try:
+        labelled.count()
+        return _side_by_side(score, range(len(ks)), parallelism)
+    finally:
+        labelled.unpersist()
 
 
 def pick_k(scores: list[tuple[int, float]]) -> int:

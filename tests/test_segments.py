@@ -353,3 +353,23 @@ def test_starts_make_no_python_object_of_each_row(spark, monkeypatch):
     monkeypatch.setattr(type(values), "mapInPandas", None)
     starts = clustering._spread_starts(values, [2, 5], [1, 2])
     assert [len({*map(tuple, s.tolist())}) for s in starts] == [2, 5]
+
+
+def test_nearest_centres_of_all_k_are_found_in_one_pass(spark, monkeypatch):
+    x = np.random.default_rng(5).random((300, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in x], "a double, b double")
+    vectors = clustering.scaled_vectors(df, ["a", "b"])[0].persist()
+    rows, plain, runs, lloyd = spark.sparkContext.accumulator(0), clustering._nearest, [], clustering.lloyd_runs
+
+    def counted(part, centres):
+        rows.add(len(part))
+        return plain(part, centres)
+
+    monkeypatch.setattr(clustering, "_nearest", counted)
+    monkeypatch.setattr(clustering, "lloyd_runs", lambda *a: runs.extend(lloyd(*a)) or runs)
+    scores = clustering.k_scores(vectors, range(2, 5), restarts=1)
+    assert rows.value == 3 * 300
+    for (k, score), (_, centres) in zip(scores, runs):
+        apart = vectors.withColumn("cluster", clustering.nearest_of(centres)(F.col("features")))
+        assert len(centres) == k and score == pytest.approx(clustering.silhouette(apart), abs=1e-12)
+    vectors.unpersist()
